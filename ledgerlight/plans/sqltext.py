@@ -80,4 +80,4 @@ def settle(sql: str, doubles: list[str], bits: int = 20) -> str:
 
 
 def whole_days(as_of: str, col: str) -> str:
-    return f"CAST(extract(day FROM (DATE '{as_of}' - {col})) AS INTEGER)"
+    return f"CAST(extract(day FROM (DATE '{as_of}' - ({col}))) AS INTEGER)"
