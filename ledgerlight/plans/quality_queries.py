@@ -1 +1,135 @@
-"""Registered queries (filled in below)."""
+"""Registered validation queries (VQ-01..07)."""
+
+from __future__ import annotations
+
+from ..operators import features as FE
+from ..operators import quality as Q
+from ..sources import tables as T
+from .catalog import register
+from .sqltext import CUSTOMER_ORDERS, SALES_AS_OF
+from .feature_queries import CM_CTE, NORM_CTE
+
+RAW_SALES = """
+raw_sales AS (
+    SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id,
+           CAST(o.o_custkey AS VARCHAR) AS customer_id,
+           CAST(l.l_partkey AS VARCHAR) AS product_id,
+           CAST(o.o_orderdate AS VARCHAR) AS order_date,
+           CAST(l.l_extendedprice AS VARCHAR) AS order_value,
+           CAST(CAST(trunc(l.l_quantity) AS INTEGER) AS VARCHAR) AS quantity,
+           CAST(l.l_discount AS VARCHAR) AS discount,
+           CASE o.o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending'
+                                WHEN 'P' THEN 'cancelled' END AS status
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+CHECKED = """
+checked AS (
+    SELECT *,
+           concat_ws(',',
+               CASE WHEN customer_id IS NULL THEN 'null_customer_id' END,
+               CASE WHEN order_id IS NULL THEN 'null_order_id' END,
+               CASE WHEN product_id IS NULL THEN 'null_product_id' END,
+               CASE WHEN order_value IS NOT NULL AND TRY_CAST(order_value AS DOUBLE) IS NULL THEN 'type_order_value' END,
+               CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS BIGINT) IS NULL THEN 'type_quantity' END,
+               CASE WHEN order_date IS NOT NULL AND TRY_CAST(order_date AS TIMESTAMP) IS NULL THEN 'type_order_date' END,
+               CASE WHEN TRY_CAST(order_value AS DOUBLE) IS NOT NULL
+                     AND NOT (TRY_CAST(order_value AS DOUBLE) BETWEEN 0 AND 100000) THEN 'range_order_value' END,
+               CASE WHEN TRY_CAST(quantity AS BIGINT) IS NOT NULL
+                     AND NOT (TRY_CAST(quantity AS BIGINT) BETWEEN 1 AND 1000) THEN 'range_quantity' END
+           ) AS dq_reasons
+    FROM raw_sales
+)"""
+
+
+def _raw(spark, sf_dir):
+    return T.staging_sales_raw(spark, sf_dir)
+
+
+@register("dq_not_null", ids=("VQ-01",), sql=f"""
+WITH {RAW_SALES}
+SELECT 'customer_id' AS column_name, COUNT(*) FILTER (WHERE customer_id IS NULL) AS null_count FROM raw_sales
+UNION ALL SELECT 'order_id', COUNT(*) FILTER (WHERE order_id IS NULL) FROM raw_sales
+UNION ALL SELECT 'product_id', COUNT(*) FILTER (WHERE product_id IS NULL) FROM raw_sales""")
+def q_dq_not_null(spark, sf_dir):
+    return Q.not_null_report(_raw(spark, sf_dir))
+
+
+@register("dq_types", ids=("VQ-02",), sql=f"""
+WITH {RAW_SALES}
+SELECT 'order_value' AS column_name,
+       COUNT(*) FILTER (WHERE order_value IS NOT NULL AND TRY_CAST(order_value AS DOUBLE) IS NULL) AS invalid_count,
+       'numeric' AS expected_type FROM raw_sales
+UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS BIGINT) IS NULL),
+       'integer' FROM raw_sales
+UNION ALL SELECT 'order_date', COUNT(*) FILTER (WHERE order_date IS NOT NULL AND TRY_CAST(order_date AS TIMESTAMP) IS NULL),
+       'datetime' FROM raw_sales""")
+def q_dq_types(spark, sf_dir):
+    return Q.type_report(_raw(spark, sf_dir))
+
+
+@register("dq_range", ids=("VQ-03",), doubles=["min_value", "max_value"], sql=f"""
+WITH {RAW_SALES}
+SELECT 'order_value' AS column_name,
+       COUNT(*) FILTER (WHERE TRY_CAST(order_value AS DOUBLE) IS NOT NULL
+                          AND NOT (TRY_CAST(order_value AS DOUBLE) BETWEEN 0 AND 100000)) AS out_of_range_count,
+       0.0::DOUBLE AS min_value, 100000.0::DOUBLE AS max_value FROM raw_sales
+UNION ALL SELECT 'quantity',
+       COUNT(*) FILTER (WHERE TRY_CAST(quantity AS BIGINT) IS NOT NULL
+                          AND NOT (TRY_CAST(quantity AS BIGINT) BETWEEN 1 AND 1000)),
+       1.0::DOUBLE, 1000.0::DOUBLE FROM raw_sales""")
+def q_dq_range(spark, sf_dir):
+    return Q.range_report(_raw(spark, sf_dir))
+
+
+@register("dq_quarantine", ids=("VQ-04",), sql=f"""
+WITH {RAW_SALES},{CHECKED}
+SELECT order_id, customer_id, product_id, order_date, order_value, quantity, discount, status, dq_reasons
+FROM checked WHERE dq_reasons <> ''""")
+def q_dq_quarantine(spark, sf_dir):
+    """Quarantined rows with the rules they break (the valid side is the complement)."""
+    _, bad = Q.split_valid(_raw(spark, sf_dir))
+    return bad
+
+
+@register("dq_score", ids=("VQ-05", "D5"), doubles=["quality_score"], sql=f"""
+WITH {RAW_SALES},{CHECKED}
+SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_reasons = '') AS valid_rows,
+       COUNT(*) FILTER (WHERE dq_reasons <> '') AS quarantined_rows,
+       AVG(CASE WHEN dq_reasons = '' THEN 1.0 ELSE 0.0 END)::DOUBLE AS quality_score
+FROM checked""")
+def q_dq_score(spark, sf_dir):
+    return Q.quality_score(_raw(spark, sf_dir))
+
+
+@register("dq_unique", ids=("VQ-06",), sql=f"""
+WITH {CUSTOMER_ORDERS},{CM_CTE},{NORM_CTE},
+long AS (
+    SELECT CAST(customer_id AS VARCHAR) AS customer_id, 'recency_zscore' AS feature_name
+    FROM feature_normalization WHERE recency_zscore IS NOT NULL
+    UNION ALL SELECT CAST(customer_id AS VARCHAR), 'frequency_zscore'
+    FROM feature_normalization WHERE frequency_zscore IS NOT NULL
+    UNION ALL SELECT CAST(customer_id AS VARCHAR), 'monetary_zscore'
+    FROM feature_normalization WHERE monetary_zscore IS NOT NULL
+)
+SELECT customer_id, feature_name, COUNT(*) AS occurrences FROM long
+GROUP BY customer_id, feature_name HAVING COUNT(*) > 1""")
+def q_dq_unique(spark, sf_dir):
+    """Uniqueness of (customer_id, feature_name) in one feature load (created_at is one value per load)."""
+    long = FE.ml_features(T.customer_orders(spark, sf_dir), SALES_AS_OF)
+    return Q.duplicate_keys(long, ["customer_id", "feature_name"])
+
+
+@register("dq_duplicate_lines", ids=("VQ-06",), sql=f"""
+WITH {RAW_SALES}
+SELECT order_id, product_id, COUNT(*) AS occurrences FROM raw_sales
+GROUP BY order_id, product_id HAVING COUNT(*) > 1""")
+def q_dq_duplicate_lines(spark, sf_dir):
+    """Order lines repeating the same product within an order."""
+    return Q.duplicate_keys(_raw(spark, sf_dir), ["order_id", "product_id"])
+
+
+@register("run_metrics", ids=("VQ-07",))
+def q_run_metrics(spark, sf_dir):
+    """Rows and throughput of one full pass over staging_sales (timing is not comparable)."""
+    return Q.run_metrics(T.staging_sales(spark, sf_dir), "staging_sales")

@@ -134,3 +134,25 @@ def metrics_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events")
+
+
+def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``staging_sales`` as landed text, before validation.
+
+    Every column is a string (as read from a CSV / API landing zone) and
+    ``order_value`` is the unscaled line price, so the range rule has real
+    violations to find.
+    """
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
+                                                "l_extendedprice", "l_discount")
+    od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    s = lambda c: F.col(c).cast("string")
+    return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+            .select(s("o_orderkey").alias("order_id"),
+                    s("o_custkey").alias("customer_id"),
+                    s("l_partkey").alias("product_id"),
+                    s("o_orderdate").alias("order_date"),
+                    s("l_extendedprice").alias("order_value"),
+                    F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+                    s("l_discount").alias("discount"),
+                    _status("o_orderstatus").alias("status")))
