@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TIE_NUDGE = 0.500001  # 0.5 plus the 1e-6 tie lift, written as one literal
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -19,12 +22,15 @@ def int_div(a: str | Column, b: str | Column) -> Column:
 def round_half_away(col: str | Column, digits: int) -> Column:
     """``ROUND(x, d)`` half away from zero, as plain IEEE arithmetic.
 
-    Written as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d`` so any engine doing
-    the same IEEE operations gets bit-identical results.
+    Written as ``sign(x) * floor(|x| * 10^d + 0.5 + 1e-6) / 10^d`` so any
+    engine doing the same IEEE operations gets bit-identical results.  The
+    ``1e-6`` (in units of the last kept digit) lifts values that are an
+    exact decimal tie -- common for sums of money -- but carry a few ulps of
+    summation error below it, so ties always round away from zero.
     """
     c = _c(col).cast("double")
     k = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * k + 0.5) / k
+    return F.signum(c) * F.floor(F.abs(c) * k + TIE_NUDGE) / k
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:

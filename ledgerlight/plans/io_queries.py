@@ -1 +1,227 @@
-"""Registered queries (filled in below)."""
+"""Registered source / sink queries (SC-03..10, SK-01..08, SO-03).
+
+Sink queries write a table derived from the given tables into a fresh
+folder under the shared checkpoint directory and return what a reader of
+that table sees, so the check covers the write path and the read path.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+
+from ..operators import customers as C
+from ..operators import features as FE
+from ..operators import sales as S
+from ..session import scratch_path
+from ..sinks import writers as W
+from ..sources import readers as R
+from ..sources import tables as T
+from .catalog import register
+from .customer_queries import ANALYSIS_SQL
+from .sales_queries import SUMMARY_SQL, _INSIGHT_DOUBLES
+from .sqltext import METRICS_EVENTS, SALES_AS_OF, STAGING_SALES, rnd
+
+LAST_RUN = "2001-07-01"
+
+
+@register("src_sales_recent", ids=("SC-05", "PF-02"), doubles=["order_value", "discount"], sql=f"""
+WITH {STAGING_SALES}
+SELECT order_id, customer_id, product_id, order_date, order_value, quantity, discount, status
+FROM staging_sales WHERE order_date >= DATE '{SALES_AS_OF}' - INTERVAL '30 days'""")
+def q_src_sales_recent(spark, sf_dir):
+    """Sales source query: 8 columns of the last 30 days."""
+    from ..functions import dates as D
+    ss = T.staging_sales(spark, sf_dir)
+    return ss.filter(D.since("order_date", SALES_AS_OF, 30, "days"))
+
+
+@register("src_customers", ids=("SC-06",), sql="""
+SELECT c_custkey AS customer_id, c_name AS first_name, CAST(NULL AS VARCHAR) AS last_name,
+       CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS address,
+       CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS zip_code,
+       CAST(NULL AS TIMESTAMP) AS registration_date, c_mktsegment AS customer_segment
+FROM customer""")
+def q_src_customers(spark, sf_dir):
+    return T.customers(spark, sf_dir)
+
+
+@register("src_products", ids=("SC-07",), doubles=["price", "cost"], sql="""
+SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
+       CAST(p_size AS VARCHAR) AS subcategory, p_retailprice AS price, CAST(NULL AS DOUBLE) AS cost,
+       p_brand AS brand, CAST(NULL AS BIGINT) AS supplier_id, CAST(NULL AS TIMESTAMP) AS created_date
+FROM part""")
+def q_src_products(spark, sf_dir):
+    return T.products(spark, sf_dir)
+
+
+@register("src_incremental", ids=("SC-03",), doubles=["o_totalprice"], sql=f"""
+SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{LAST_RUN} 00:00:00'""")
+def q_src_incremental(spark, sf_dir):
+    """Rows strictly newer than the last run (filter pushed into the scan)."""
+    return R.incremental(T.read(spark, sf_dir, "orders"), "o_orderdate", LAST_RUN)
+
+
+@register("src_chunked", ids=("SC-04", "D8"), doubles=["o_totalprice"], sql="SELECT * FROM orders")
+def q_src_chunked(spark, sf_dir):
+    """Whole table in key-range chunks: no row skipped or repeated."""
+    return R.chunked(T.read(spark, sf_dir, "orders"), "o_orderkey", 8)
+
+
+@register("page_rows", ids=("SO-03",), doubles=["o_totalprice"], sql="""
+SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000 OFFSET 10000""")
+def q_page_rows(spark, sf_dir):
+    """Second page of 10,000 rows in key order (paging is the feature)."""
+    return R.page(T.read(spark, sf_dir, "orders"), "o_orderkey", 10000, 10000)
+
+
+@register("src_csv", ids=("SC-09", "AG-19"), doubles=["c_acctbal"], sql="SELECT * FROM customer")
+def q_src_csv(spark, sf_dir):
+    """Customer table landed as CSV with a header, read back with its schema."""
+    src = T.read(spark, sf_dir, "customer")
+    path = scratch_path(spark, "csv-customer")
+    src.write.option("header", "true").csv(path)
+    return R.load_csv(spark, path, src.schema)
+
+
+EVENT_SCHEMA = T_.StructType([
+    T_.StructField("event_id", T_.LongType()), T_.StructField("ts", T_.TimestampNTZType()),
+    T_.StructField("user_id", T_.LongType()), T_.StructField("event_type", T_.StringType()),
+    T_.StructField("value", T_.DoubleType()), T_.StructField("props", T_.StringType()),
+    T_.StructField("_corrupt_record", T_.StringType())])
+
+
+@register("src_json_landed", ids=("SC-08",), doubles=["value"], sql="SELECT * FROM events")
+def q_src_json_landed(spark, sf_dir):
+    """Events landed as JSON pages of at most 1,000 records (the API page size), read back whole."""
+    src = T.read(spark, sf_dir, "events")
+    path = scratch_path(spark, "json-events")
+    src.write.option("maxRecordsPerFile", 1000).option("timestampNTZFormat", R.JSON_TS_FORMAT).json(path)
+    return R.load_json_landed(spark, path, EVENT_SCHEMA).drop("_corrupt_record")
+
+
+@register("dataset_report", ids=("AG-19",), sql="""
+SELECT COUNT(*) AS total_records,
+       'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns
+FROM orders""")
+def q_dataset_report(spark, sf_dir):
+    """Row count and column list of a loaded table (the generation time is left out)."""
+    df = T.read(spark, sf_dir, "orders")
+    return df.agg(F.count(F.lit(1)).alias("total_records")).withColumn("columns", F.lit(",".join(df.columns)))
+
+
+@register("sink_partitioned_month", ids=("SK-02",), doubles=["metric_value"], sql=f"""
+WITH {METRICS_EVENTS}
+SELECT id, metric_name, metric_value, category, subcategory, metadata, created_at, updated_at,
+       strftime(created_at, '%Y-%m') AS created_month
+FROM metrics_events
+WHERE created_at >= TIMESTAMP '2024-01-08 00:00:00' AND created_at < TIMESTAMP '2024-01-22 00:00:00'""")
+def q_sink_partitioned_month(spark, sf_dir):
+    """Metric table written by month partition; a two-week range read prunes to its month."""
+    path = scratch_path(spark, "metrics-by-month")
+    W.write_month_partitioned(T.metrics_events(spark, sf_dir), path)
+    return W.read_month_range(spark, path, _dt.date(2024, 1, 8), _dt.date(2024, 1, 22))
+
+
+@register("load_fact_sales", ids=("SK-05",), doubles=["order_value", "discount"], sql=f"""
+WITH {STAGING_SALES}
+SELECT *, strftime(order_date, '%Y-%m') AS order_month FROM staging_sales""")
+def q_load_fact_sales(spark, sf_dir):
+    """fact_sales load (dynamic month partitions), read back."""
+    path = scratch_path(spark, "fact-sales")
+    W.load_fact_sales(T.staging_sales(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("load_dim_customers", ids=("SK-06",), sql="""
+SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS customer_segment, c_nationkey AS nation_key
+FROM customer""")
+def q_load_dim_customers(spark, sf_dir):
+    """dim_customers rebuilt as newest row per customer and overwritten, read back."""
+    c = T.read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("customer_segment"), F.col("c_nationkey").alias("nation_key"))
+    path = scratch_path(spark, "dim-customers")
+    W.load_dimension(c, ["customer_id"], ["first_name"], path)
+    return spark.read.parquet(path)
+
+
+@register("load_dim_products", ids=("SK-06",), doubles=["price"], sql="""
+WITH versions AS (
+    SELECT l.l_partkey AS product_id, p.p_name AS product_name, p.p_type AS category, p.p_brand AS brand,
+           p.p_retailprice AS price, l.l_shipdate AS seen_at, l.l_orderkey AS order_key,
+           l.l_linenumber AS line_number
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+)
+SELECT product_id, arg_max(product_name, (seen_at, order_key, line_number)) AS product_name,
+       arg_max(category, (seen_at, order_key, line_number)) AS category,
+       arg_max(brand, (seen_at, order_key, line_number)) AS brand,
+       arg_max(price, (seen_at, order_key, line_number)) AS price,
+       MAX(seen_at) AS seen_at, arg_max(order_key, (seen_at, order_key, line_number)) AS order_key,
+       arg_max(line_number, (seen_at, order_key, line_number)) AS line_number
+FROM versions GROUP BY product_id""")
+def q_load_dim_products(spark, sf_dir):
+    """dim_products from product sightings in line items: newest sighting per product wins."""
+    li = T.read(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    p = T.read(spark, sf_dir, "part")
+    versions = li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
+        F.col("p_retailprice").alias("price"), F.col("l_shipdate").alias("seen_at"),
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number"))
+    path = scratch_path(spark, "dim-products")
+    W.load_dimension(versions, ["product_id"], ["seen_at", "order_key", "line_number"], path)
+    return spark.read.parquet(path)
+
+
+@register("load_daily_reports", ids=("SK-07",), doubles=_INSIGHT_DOUBLES, sql=f"""
+SELECT *, strftime(sales_date, '%Y-%m-%d') AS report_date FROM ({SUMMARY_SQL}) AS s""")
+def q_load_daily_reports(spark, sf_dir):
+    """daily_reports load (dynamic day partitions), read back."""
+    path = scratch_path(spark, "daily-reports")
+    summary = S.sales_summary(T.staging_sales(spark, sf_dir), SALES_AS_OF)
+    W.load_daily_reports(summary, path)
+    return W.read_daily_reports(spark, path, summary.schema)
+
+
+def _money(c: str) -> str:
+    return f"'$' || format('{{:,.2f}}', {rnd(c, 2)})"
+
+
+def _pct(c: str) -> str:
+    return f"format('{{:,.2f}}', {rnd(c, 2)}) || '%'"
+
+
+@register("report_daily_sales", ids=("SK-08",), sql=f"""
+SELECT strftime(sales_date, '%Y-%m-%d') AS sales_date, total_orders,
+       {_money('total_revenue')} AS total_revenue, {_money('avg_order_value')} AS avg_order_value,
+       {_money('net_revenue')} AS net_revenue, unique_customers,
+       {_pct('completion_rate')} AS completion_rate, {_pct('high_value_rate')} AS high_value_rate,
+       revenue_performance, performance_score
+FROM ({SUMMARY_SQL}) AS s""")
+def q_report_daily_sales(spark, sf_dir):
+    return W.daily_sales_report(S.sales_summary(T.staging_sales(spark, sf_dir), SALES_AS_OF))
+
+
+@register("report_customer_analysis", ids=("SK-08",), sql=f"""
+SELECT customer_id, customer_segment, value_tier, total_orders,
+       {_money('total_spent')} AS total_spent, {_money('estimated_clv')} AS estimated_clv,
+       strftime(last_order_date, '%Y-%m-%d') AS last_order_date, activity_status
+FROM ({ANALYSIS_SQL}) AS a""")
+def q_report_customer_analysis(spark, sf_dir):
+    return W.customer_analysis_report(C.customer_analysis(T.staging_sales(spark, sf_dir), SALES_AS_OF))
+
+
+@register("sink_ml_features", ids=("SK-01", "SK-03"))
+def q_sink_ml_features(spark, sf_dir):
+    """Feature rows appended to the typed ml_features table (created if missing), read back."""
+    path = scratch_path(spark, "ml-features")
+    name = "ml_features_" + path.rsplit("-", 1)[-1]
+    W.create_typed_table(spark, W.ML_FEATURES_DDL, name=name, location=path)
+    W.append_features(FE.ml_features(T.customer_orders(spark, sf_dir), SALES_AS_OF), name,
+                      _dt.datetime(2001, 8, 2))
+    return spark.table(name)
+
+

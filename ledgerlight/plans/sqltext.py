@@ -67,7 +67,7 @@ metrics_orders AS (
 def rnd(expr: str, digits: int) -> str:
     """SQL twin of ``numeric.round_half_away``."""
     k = f"{10 ** digits}.0"
-    return f"(sign({expr}) * floor(abs({expr}) * {k} + 0.5) / {k})"
+    return f"(sign({expr}) * floor(abs({expr}) * {k} + 0.500001) / {k})"
 
 
 def settle(sql: str, doubles: list[str], bits: int = 20) -> str:
