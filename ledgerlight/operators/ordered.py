@@ -143,3 +143,25 @@ def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence
         next_name: F.when(F.col("_last"), F.col("_in_next")).otherwise(F.col("_lead")),
     })
     return out.drop("_pid", "_lag", "_lead", "_first", "_last", "_in_prev", "_in_next")
+
+
+def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
+                value_col: str, out_col: str, num_partitions: int | None = None) -> DataFrame:
+    """``MAX(v) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING)`` for hot partitions.
+
+    Same slicing as ``neighbors``: a running max inside each range slice, and
+    the max of all earlier slices of the same partition carried in from the
+    bounded edge table.
+    """
+    pc = list(partition_cols)
+    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    P = _num_partitions(df, num_partitions)
+    ranged = _pinned_ranges(df, P, [F.col(c).asc_nulls_first() for c in pc] + oc)
+    w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = ranged.withColumn("_inner", F.max(value_col).over(w))
+    edges = ranged.groupBy("_pid", *pc).agg(F.max(value_col).alias("_slice_max"))
+    ew = Window.partitionBy(*pc).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select("_pid", *pc, F.max("_slice_max").over(ew).alias("_carry"))
+    out = null_safe_join(ranged, edges, ["_pid"] + pc)
+    out = out.withColumn(out_col, F.greatest(F.col("_inner"), F.col("_carry")))
+    return out.drop("_pid", "_inner", "_carry")

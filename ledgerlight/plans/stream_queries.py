@@ -1 +1,85 @@
-"""Registered queries (filled in below)."""
+"""Registered stream-operator queries in batch form (ST-01, ST-03..05, ST-07, PF-10).
+
+Each streaming operator is a DataFrame function, so its batch run over the
+events table is what the oracle checks; the streaming runs are covered by
+tests/test_streaming.py.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+
+from ..sources import tables as T
+from ..streaming import messages as MSG
+from ..streaming.sessions import debounce
+from .catalog import register
+
+EVENT_FIELDS = T_.StructType([
+    T_.StructField("event_id", T_.LongType()), T_.StructField("ts", T_.TimestampNTZType()),
+    T_.StructField("user_id", T_.LongType()), T_.StructField("event_type", T_.StringType()),
+    T_.StructField("value", T_.DoubleType()), T_.StructField("props", T_.StringType())])
+
+
+def message_log(spark, sf_dir):
+    """Events as a raw JSON message log, plus a cut-off copy of every 'error' event's message
+    (a producer that failed mid-write)."""
+    ev = T.events(spark, sf_dir)
+    msgs = MSG.to_json_messages(ev)
+    broken = MSG.to_json_messages(ev.filter(F.col("event_type") == "error")) \
+        .select(F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    return msgs.unionByName(broken)
+
+
+@register("debounce_events", ids=("ST-04",), doubles=["last_value"], sql="""
+WITH f AS (
+    SELECT user_id, ts, value, event_id,
+           CASE WHEN LAG(ts) OVER w IS NULL OR ts - LAG(ts) OVER w >= INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+),
+s AS (
+    SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f
+)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '30 minutes' AS session_end, MAX(ts) AS last_ts,
+       arg_max(value, (ts, event_id)) AS last_value, COUNT(*) AS n_events
+FROM s GROUP BY user_id, sid""")
+def q_debounce_events(spark, sf_dir):
+    """Per user, bursts of events separated by 30 minutes of quiet, with the last value of each."""
+    return debounce(T.events(spark, sf_dir), "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
+
+
+@register("stream_parse", ids=("ST-01", "FN-14"), doubles=["value"], sql="SELECT * FROM events")
+def q_stream_parse(spark, sf_dir):
+    """Parsed messages of the log (the cut-off ones go to the dead letter)."""
+    parsed, _ = MSG.parse_messages(message_log(spark, sf_dir), EVENT_FIELDS)
+    return parsed
+
+
+@register("stream_dead_letter", ids=("ST-01",))
+def q_stream_dead_letter(spark, sf_dir):
+    """Messages that are not valid JSON, with the reason."""
+    _, dead = MSG.parse_messages(message_log(spark, sf_dir), EVENT_FIELDS)
+    return dead
+
+
+@register("stream_json_out", ids=("ST-03", "FN-14"))
+def q_stream_json_out(spark, sf_dir):
+    """Every event serialised as a JSON message."""
+    return MSG.to_json_messages(T.events(spark, sf_dir))
+
+
+@register("stream_kpis", ids=("ST-05",), doubles=["total_value", "max_value"], sql="""
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       event_type, COUNT(*) AS events, SUM(value) AS total_value, MAX(value) AS max_value
+FROM events GROUP BY 1, 2, 3""")
+def q_stream_kpis(spark, sf_dir):
+    """Hourly KPI windows per event type (batch form of the 30-second refreshed stream)."""
+    return MSG.kpi_windows(T.events(spark, sf_dir))
+
+
+@register("enrich_points", ids=("ST-07", "PF-10"))
+def q_enrich_points(spark, sf_dir):
+    """Events with the random-scaled calculated value and parsed timestamp."""
+    ev = T.events(spark, sf_dir).withColumnRenamed("ts", "timestamp")
+    return MSG.enrich_points(ev, seed=42)
