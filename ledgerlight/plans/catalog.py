@@ -51,7 +51,7 @@ def spark_callable(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
 def load_all() -> dict[str, Entry]:
     # Importing the query modules fills REGISTRY.
     from . import (customer_queries, feature_queries, io_queries, metric_queries,  # noqa: F401
-                   quality_queries, sales_queries, stream_queries)
+                   ml_queries, quality_queries, sales_queries, stream_queries)
     return REGISTRY
 
 

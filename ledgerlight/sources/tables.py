@@ -156,3 +156,21 @@ def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").cast("int").cast("string").alias("quantity"),
                     s("l_discount").alias("discount"),
                     _status("o_orderstatus").alias("status")))
+
+
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML training frame from ``lineitem``: quantity, discount, tax and a planted target.
+
+    ``target = 100 * quantity - 500 * discount + noise`` with noise in
+    [-5, 5] from a hash of the row key, so a model has a known signal and an
+    R2 floor.
+    """
+    li = read(spark, sf_dir, "lineitem")
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    noise = (F.conv(F.substring(F.md5(key), 9, 4), 16, 10).cast("bigint").cast("double") / F.lit(65535.0)
+             - F.lit(0.5)) * F.lit(10.0)
+    return li.select(key.alias("row_key"),
+                     F.col("l_quantity").alias("quantity"),
+                     F.col("l_discount").alias("discount"),
+                     F.col("l_tax").alias("tax"),
+                     (F.lit(100.0) * F.col("l_quantity") - F.lit(500.0) * F.col("l_discount") + noise).alias("target"))
