@@ -16,6 +16,7 @@ into the shared checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,7 +73,9 @@ def zscores(cm: DataFrame, features=ZSCORE_FEATURES, materialize: bool = True) -
     """WN-07: ``(x - mean(x)) / stddev_samp(x)`` over all customers; NULL when stddev is 0 or NULL."""
     if materialize:
         checkpoint_dir(cm.sparkSession)
-        cm = cm.checkpoint(eager=True)
+        kept = cm.persist(StorageLevel.MEMORY_AND_DISK)
+        cm = kept.checkpoint(eager=True)
+        kept.unpersist()
     stats = cm.agg(*[F.avg(src).alias(f"m_{name}") for name, src in features],
                    *[F.stddev_samp(src).alias(f"s_{name}") for name, src in features])
     cols = {}

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,12 @@ def _pinned_ranges(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
     checkpoint so every later reader sees the same ids."""
     checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    return ranged.checkpoint(eager=True)
+    # Persist first so the checkpoint write reads the computed partitions
+    # instead of recomputing them.
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    pinned = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    return pinned
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -110,6 +116,47 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return res.select(*g, "n", *outs)
 
 
+def slice_frame(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
+                num_partitions: int | None = None) -> DataFrame:
+    """Range-slice ``df`` on ``partition_cols + order_cols`` and pin the slice id ``_pid``.
+
+    The result can feed several ``*_on_slices`` operators without being
+    re-sliced: they all see the same, checkpointed ``_pid``.
+    """
+    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    return _pinned_ranges(df, _num_partitions(df, num_partitions),
+                          [F.col(c).asc_nulls_first() for c in partition_cols] + oc)
+
+
+def neighbors_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
+                        value_col: str, prev_name: str | None = "prev_value",
+                        next_name: str | None = "next_value") -> DataFrame:
+    """``LAG`` / ``LEAD`` of ``value_col`` on a frame from ``slice_frame`` (keeps ``_pid``)."""
+    pc = list(partition_cols)
+    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    w = Window.partitionBy("_pid", *pc).orderBy(*oc)
+    cols = {"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull()}
+    if prev_name:
+        cols["_lag"] = F.lag(value_col).over(w)
+    if next_name:
+        cols["_lead"] = F.lead(value_col).over(w)
+    ranged = sliced.withColumns(cols)
+    okey = F.struct(*oc)
+    edges = sliced.groupBy("_pid", *pc).agg(F.min_by(value_col, okey).alias("_fv"),
+                                           F.max_by(value_col, okey).alias("_lv"))
+    ew = Window.partitionBy(*pc).orderBy("_pid")
+    edges = edges.select("_pid", *pc, F.lag("_lv").over(ew).alias("_in_prev"),
+                         F.lead("_fv").over(ew).alias("_in_next"))
+    out = null_safe_join(ranged, edges, ["_pid"] + pc)
+    new = {}
+    if prev_name:
+        new[prev_name] = F.when(F.col("_first"), F.col("_in_prev")).otherwise(F.col("_lag"))
+    if next_name:
+        new[next_name] = F.when(F.col("_last"), F.col("_in_next")).otherwise(F.col("_lead"))
+    out = out.withColumns(new)
+    return out.drop("_lag", "_lead", "_first", "_last", "_in_prev", "_in_next")
+
+
 def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
               value_col: str, prev_name: str = "prev_value", next_name: str = "next_value",
               num_partitions: int | None = None) -> DataFrame:
@@ -120,29 +167,23 @@ def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence
     inside each slice, and the first / last row of a slice takes its value
     from the neighbouring slice through a bounded edge table.
     """
+    sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
+    return neighbors_on_slices(sliced, partition_cols, order_cols, value_col, prev_name, next_name).drop("_pid")
+
+
+def running_max_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
+                          value_col: str, out_col: str) -> DataFrame:
+    """Running max on a frame from ``slice_frame`` (keeps ``_pid``)."""
     pc = list(partition_cols)
     oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    P = _num_partitions(df, num_partitions)
-    ranged = _pinned_ranges(df, P, [F.col(c).asc_nulls_first() for c in pc] + oc)
-    w = Window.partitionBy("_pid", *pc).orderBy(*oc)
-    ranged = ranged.withColumns({
-        "_lag": F.lag(value_col).over(w),
-        "_lead": F.lead(value_col).over(w),
-        "_first": F.lag(F.lit(1)).over(w).isNull(),
-        "_last": F.lead(F.lit(1)).over(w).isNull(),
-    })
-    okey = F.struct(*oc)
-    edges = ranged.groupBy("_pid", *pc).agg(F.min_by(value_col, okey).alias("_fv"),
-                                           F.max_by(value_col, okey).alias("_lv"))
-    ew = Window.partitionBy(*pc).orderBy("_pid")
-    edges = edges.select("_pid", *pc, F.lag("_lv").over(ew).alias("_in_prev"),
-                         F.lead("_fv").over(ew).alias("_in_next"))
+    w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = sliced.withColumn("_inner", F.max(value_col).over(w))
+    edges = sliced.groupBy("_pid", *pc).agg(F.max(value_col).alias("_slice_max"))
+    ew = Window.partitionBy(*pc).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select("_pid", *pc, F.max("_slice_max").over(ew).alias("_carry"))
     out = null_safe_join(ranged, edges, ["_pid"] + pc)
-    out = out.withColumns({
-        prev_name: F.when(F.col("_first"), F.col("_in_prev")).otherwise(F.col("_lag")),
-        next_name: F.when(F.col("_last"), F.col("_in_next")).otherwise(F.col("_lead")),
-    })
-    return out.drop("_pid", "_lag", "_lead", "_first", "_last", "_in_prev", "_in_next")
+    out = out.withColumn(out_col, F.greatest(F.col("_inner"), F.col("_carry")))
+    return out.drop("_inner", "_carry")
 
 
 def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
@@ -153,15 +194,5 @@ def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     the max of all earlier slices of the same partition carried in from the
     bounded edge table.
     """
-    pc = list(partition_cols)
-    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    P = _num_partitions(df, num_partitions)
-    ranged = _pinned_ranges(df, P, [F.col(c).asc_nulls_first() for c in pc] + oc)
-    w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = ranged.withColumn("_inner", F.max(value_col).over(w))
-    edges = ranged.groupBy("_pid", *pc).agg(F.max(value_col).alias("_slice_max"))
-    ew = Window.partitionBy(*pc).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select("_pid", *pc, F.max("_slice_max").over(ew).alias("_carry"))
-    out = null_safe_join(ranged, edges, ["_pid"] + pc)
-    out = out.withColumn(out_col, F.greatest(F.col("_inner"), F.col("_carry")))
-    return out.drop("_pid", "_inner", "_carry")
+    sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
+    return running_max_on_slices(sliced, partition_cols, order_cols, value_col, out_col).drop("_pid")

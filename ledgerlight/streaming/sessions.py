@@ -10,8 +10,9 @@ Two events in one bucket are less than ``gap`` apart, so a session never
 breaks inside a bucket: per ``(key, bucket)`` only min / max time, count
 and last value matter, which is a mergeable aggregate (a hot key is
 reduced map-side).  Breaks are then found between consecutive bucket rows
-with the range-sliced ``neighbors`` and ``running_max`` operators, so even
-the bucket rows of a hot key are never gathered into one task.
+on one range-sliced, checkpointed copy of the bucket rows (lag of the
+previous bucket end, then a running max of session starts), so even the
+bucket rows of a hot key are never gathered into one task.
 
 Streaming form: ``withWatermark`` + ``session_window`` + ``max_by``; state is
 kept per key and dropped once the watermark passes a session's end.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import int_div
-from ..operators.ordered import neighbors, running_max
+from ..operators.ordered import neighbors_on_slices, running_max_on_slices, slice_frame
 
 # Fixed value: the reference's debounce delay (300 ms).  The registered
 # query uses a 30-minute gap on the events table (FIXTURES.md).
@@ -57,12 +58,13 @@ def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: s
                     F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"),
                     F.count(F.lit(1)).alias("_n"),
                     F.max_by(value, "_ord").alias("_last_value"), F.max("_ord").alias("_last_ord")))
-    nb = neighbors(buckets, [key], ["_bucket"], "_max_us", "_prev_max_us", "_next_min_unused", num_partitions)
-    nb = nb.drop("_next_min_unused").withColumn(
+    sliced = slice_frame(buckets, [key], ["_bucket"], num_partitions)
+    nb = neighbors_on_slices(sliced, [key], ["_bucket"], "_max_us", "_prev_max_us", None)
+    nb = nb.withColumn(
         "_start_bucket",
         F.when(F.col("_prev_max_us").isNull() | (F.col("_min_us") - F.col("_prev_max_us") >= F.lit(g)),
                F.col("_bucket")))
-    sess = running_max(nb, [key], ["_bucket"], "_start_bucket", "_session", num_partitions)
+    sess = running_max_on_slices(nb, [key], ["_bucket"], "_start_bucket", "_session")
     out = (sess.groupBy(key, "_session")
            .agg(F.min("_first_ts").alias("session_start"),
                 F.max("_last_ts").alias("last_ts"),
