@@ -6,8 +6,10 @@ metric_value, category, [subcategory, metadata], created_at``.
 Scale notes.  Categories are few, so a category can hold a third of all
 rows.  Count / sum / avg / min / max / stddev / variance are mergeable and
 partially aggregated before the shuffle.  Exact percentiles and the
-LAG / LEAD trend columns use the range-partitioned operators of
-``ordered`` so no task ever holds a whole category.  Windows over
+LAG / LEAD trend columns use the operators of ``ordered``: a size check on
+the largest category picks Spark's own window / percentile when it fits a
+task, and the range-partitioned form otherwise, so no task ever has to
+hold a whole hot category.  Windows over
 *aggregated* rows (one row per category, or per period) are bounded by
 the number of categories or periods and run in one partition.
 """
@@ -46,7 +48,8 @@ def recent_metrics(df: DataFrame, as_of=None, days: int = 7,
             .orderBy(F.col("created_at").desc()))
 
 
-def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
+                            max_group_rows: int | None = None) -> DataFrame:
     """AG-09 + WN-01..03: the reference's ``analytics_summary_advanced`` view, as written.
 
     The view groups by ``(category, subcategory, metric_value, created_at)``,
@@ -69,7 +72,7 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None) ->
                     F.var_samp(v).alias("variance"))
                .withColumns({"median_value": v.cast("double"), "p95_value": v.cast("double")}))
     nb = neighbors(grouped, ["category"], ["created_at", "subcategory", "metric_value"], "metric_value",
-                   "prev_value", "next_value", num_partitions)
+                   "prev_value", "next_value", num_partitions, max_group_rows)
     prev = F.col("prev_value")
     nb = nb.withColumn("growth_rate_percent", F.when(prev > 0, (v - prev) / prev * 100))
     return nb.select("category", "subcategory", "metric_count", "avg_value", "median_value", "p95_value",
@@ -78,7 +81,7 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None) ->
 
 
 def metric_stats(df: DataFrame, group_cols=("category", "subcategory"),
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """AG-10..12: the same statistics at a grain where they mean something.
 
     Exact interpolated median and p95 (``PERCENTILE_CONT``) come from the
@@ -97,7 +100,7 @@ def metric_stats(df: DataFrame, group_cols=("category", "subcategory"),
                                  F.stddev_samp(v).alias("std_deviation"),
                                  F.var_samp(v).alias("variance"))
     pct = exact_percentiles(base, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95},
-                            num_partitions).drop("n")
+                            num_partitions, max_group_rows).drop("n")
     out = null_safe_join(stats, pct, g)
     return out.select(*g, "metric_count", "avg_value", "median_value", "p95_value", "max_value",
                       "min_value", "total_value", "std_deviation", "variance")

@@ -8,6 +8,12 @@ instead: a hot group spans many partitions, each task sorts only its own
 slice, and a small per-partition edge table (at most ``#groups +
 #partitions`` rows) stitches the slices back together.
 
+Each operator first checks the size of the largest group with one
+partially aggregated count.  When it provably fits one task
+(``max_group_rows``, default 2,000,000 rows, session setting
+``ledgerlight.ordered.maxGroupRows``) Spark's own window / ``percentile``
+is used; beyond that the sliced path below.  Both give the same result.
+
 The range-partitioned frame is read twice (slices and edge table).  Range
 bounds come from sampling, and two exchanges -- or a recomputation after an
 executor loss -- may sample differently, so the partition ids would not
@@ -28,6 +34,29 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def _max_group_rows(df: DataFrame, given: int | None) -> int:
+    if given is not None:
+        return given
+    conf = df.sparkSession.conf.get("ledgerlight.ordered.maxGroupRows", None)
+    return int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
+
+
+def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None) -> bool:
+    """Size check: does the largest ``keys`` group hold at most ``max_group_rows`` rows?
+
+    One partially aggregated count (skew-safe) and a single number on the driver.
+    """
+    limit = _max_group_rows(df, max_group_rows)
+    if limit <= 0:
+        return False
+    counted = df.groupBy(*keys).count() if keys else df.select(F.count(F.lit(1)).alias("count"))
+    biggest = counted.agg(F.max("count")).first()[0]
+    return biggest is None or biggest <= limit
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n
@@ -59,7 +88,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: dict[str, float], num_partitions: int | None = None) -> DataFrame:
+                      probs: dict[str, float], num_partitions: int | None = None,
+                      max_group_rows: int | None = None) -> DataFrame:
     """Exact ``PERCENTILE_CONT`` per group without collecting a group in one task.
 
     Returns ``group_cols + [n] + list(probs)``.  Steps:
@@ -80,6 +110,13 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     freq = (df.filter(F.col(value_col).isNotNull())
             .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
             .agg(F.count(F.lit(1)).alias("_c")))
+    if fits_one_task(freq, g, max_group_rows):
+        # Small groups: Spark's exact percentile keeps one (value -> count)
+        # map per group, bounded by the distinct values just checked.
+        v = F.col(value_col).cast("double")
+        return (df.filter(v.isNotNull()).groupBy(*g)
+                .agg(F.count(F.lit(1)).alias("n"),
+                     *[F.percentile(v, float(p)).alias(name) for name, p in probs.items()]))
     ranged = _pinned_ranges(freq, P, [F.col(c).asc_nulls_first() for c in g] + [F.col("_v").asc()])
     edges = ranged.groupBy(*g, "_pid").agg(F.sum("_c").alias("_bc"))
     ew = Window.partitionBy(*g).orderBy("_pid")
@@ -159,7 +196,7 @@ def neighbors_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_
 
 def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
               value_col: str, prev_name: str = "prev_value", next_name: str = "next_value",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """``LAG(v, 1)`` and ``LEAD(v, 1) OVER (PARTITION BY p ORDER BY o)`` for hot partitions.
 
     ``order_cols`` (ascending) must make the order total within a partition.
@@ -167,6 +204,10 @@ def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence
     inside each slice, and the first / last row of a slice takes its value
     from the neighbouring slice through a bounded edge table.
     """
+    if fits_one_task(df, list(partition_cols), max_group_rows):
+        oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+        w = Window.partitionBy(*partition_cols).orderBy(*oc)
+        return df.withColumns({prev_name: F.lag(value_col).over(w), next_name: F.lead(value_col).over(w)})
     sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
     return neighbors_on_slices(sliced, partition_cols, order_cols, value_col, prev_name, next_name).drop("_pid")
 
@@ -187,12 +228,18 @@ def running_max_on_slices(sliced: DataFrame, partition_cols: Sequence[str], orde
 
 
 def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-                value_col: str, out_col: str, num_partitions: int | None = None) -> DataFrame:
+                value_col: str, out_col: str, num_partitions: int | None = None,
+                max_group_rows: int | None = None) -> DataFrame:
     """``MAX(v) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING)`` for hot partitions.
 
     Same slicing as ``neighbors``: a running max inside each range slice, and
     the max of all earlier slices of the same partition carried in from the
     bounded edge table.
     """
+    if fits_one_task(df, list(partition_cols), max_group_rows):
+        oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+        w = Window.partitionBy(*partition_cols).orderBy(*oc).rowsBetween(Window.unboundedPreceding,
+                                                                        Window.currentRow)
+        return df.withColumn(out_col, F.max(value_col).over(w))
     sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
     return running_max_on_slices(sliced, partition_cols, order_cols, value_col, out_col).drop("_pid")

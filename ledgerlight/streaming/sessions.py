@@ -10,9 +10,11 @@ Two events in one bucket are less than ``gap`` apart, so a session never
 breaks inside a bucket: per ``(key, bucket)`` only min / max time, count
 and last value matter, which is a mergeable aggregate (a hot key is
 reduced map-side).  Breaks are then found between consecutive bucket rows
-on one range-sliced, checkpointed copy of the bucket rows (lag of the
-previous bucket end, then a running max of session starts), so even the
-bucket rows of a hot key are never gathered into one task.
+as a lag of the previous bucket end and a running max of session starts.
+When a size check shows every key's bucket rows fit one task, plain
+windows per key do it; otherwise one range-sliced, checkpointed copy of
+the bucket rows, so even the bucket rows of a hot key are never gathered
+into one task.
 
 Streaming form: ``withWatermark`` + ``session_window`` + ``max_by``; state is
 kept per key and dropped once the watermark passes a session's end.
@@ -24,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import int_div
-from ..operators.ordered import neighbors_on_slices, running_max_on_slices, slice_frame
+from pyspark.sql import Window
+
+from ..operators.ordered import fits_one_task, neighbors_on_slices, running_max_on_slices, slice_frame
 
 # Fixed value: the reference's debounce delay (300 ms).  The registered
 # query uses a 30-minute gap on the events table (FIXTURES.md).
@@ -44,7 +48,7 @@ def _gap_micros(gap: str) -> int:
 
 
 def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: str | None = None,
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Sessions per ``key`` with their last value.
 
     Returns ``key, session_start, session_end, last_ts, last_value, n_events``.
@@ -58,13 +62,20 @@ def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: s
                     F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"),
                     F.count(F.lit(1)).alias("_n"),
                     F.max_by(value, "_ord").alias("_last_value"), F.max("_ord").alias("_last_ord")))
-    sliced = slice_frame(buckets, [key], ["_bucket"], num_partitions)
-    nb = neighbors_on_slices(sliced, [key], ["_bucket"], "_max_us", "_prev_max_us", None)
-    nb = nb.withColumn(
-        "_start_bucket",
-        F.when(F.col("_prev_max_us").isNull() | (F.col("_min_us") - F.col("_prev_max_us") >= F.lit(g)),
-               F.col("_bucket")))
-    sess = running_max_on_slices(nb, [key], ["_bucket"], "_start_bucket", "_session")
+    def start_of(prev):
+        return F.when(prev.isNull() | (F.col("_min_us") - prev >= F.lit(g)), F.col("_bucket"))
+
+    if fits_one_task(buckets, [key], max_group_rows):
+        # Every key's bucket rows fit one task: plain windows per key.
+        w = Window.partitionBy(key).orderBy("_bucket")
+        sess = buckets.withColumn("_start_bucket", start_of(F.lag("_max_us").over(w))) \
+                      .withColumn("_session", F.max("_start_bucket").over(
+                          w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    else:
+        sliced = slice_frame(buckets, [key], ["_bucket"], num_partitions)
+        nb = neighbors_on_slices(sliced, [key], ["_bucket"], "_max_us", "_prev_max_us", None)
+        nb = nb.withColumn("_start_bucket", start_of(F.col("_prev_max_us")))
+        sess = running_max_on_slices(nb, [key], ["_bucket"], "_start_bucket", "_session")
     out = (sess.groupBy(key, "_session")
            .agg(F.min("_first_ts").alias("session_start"),
                 F.max("_last_ts").alias("last_ts"),

@@ -25,7 +25,8 @@ def skewed_frame(spark, n=3000, seed=7):
 @pytest.mark.parametrize("parts", [3, 8, 17])
 def test_exact_percentiles_match_builtin(spark, parts):
     df = skewed_frame(spark)
-    got = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}, parts)
+    got = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p0": 0.0, "p100": 1.0}, parts,
+                            max_group_rows=0 if parts != 17 else None)
     want = df.groupBy("g").agg(F.count("v").alias("n"),
                                F.percentile("v", 0.5).alias("p50"), F.percentile("v", 0.95).alias("p95"),
                                F.min("v").alias("p0"), F.max("v").alias("p100"))
@@ -40,14 +41,14 @@ def test_exact_percentiles_match_builtin(spark, parts):
 
 def test_exact_percentiles_null_group_key(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, v double")
-    got = {r.g: r.p50 for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5}, 4).collect()}
+    got = {r.g: r.p50 for r in exact_percentiles(df, ["g"], "v", {"p50": 0.5}, 4, max_group_rows=0).collect()}
     assert got == {None: 2.0, "a": 2.0}
 
 
 @pytest.mark.parametrize("parts", [2, 8])
 def test_neighbors_match_window(spark, parts):
     df = skewed_frame(spark).fillna({"v": -1.0})
-    got = neighbors(df, ["g"], ["id"], "v", "p", "n", parts)
+    got = neighbors(df, ["g"], ["id"], "v", "p", "n", parts, max_group_rows=0)
     w = Window.partitionBy("g").orderBy("id")
     want = df.select("id", F.lag("v").over(w).alias("wp"), F.lead("v").over(w).alias("wn"))
     bad = got.join(want, "id").filter(~F.col("p").eqNullSafe(F.col("wp")) | ~F.col("n").eqNullSafe(F.col("wn")))
@@ -57,8 +58,24 @@ def test_neighbors_match_window(spark, parts):
 
 def test_running_max_matches_window(spark):
     df = skewed_frame(spark).withColumn("s", F.when(F.col("id") % 7 == 0, F.col("id")))
-    got = running_max(df, ["g"], ["id"], "s", "rm", 5)
+    got = running_max(df, ["g"], ["id"], "s", "rm", 5, max_group_rows=0)
     w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("id", F.max("s").over(w).alias("wm"))
     bad = got.join(want, "id").filter(~F.col("rm").eqNullSafe(F.col("wm")))
     assert bad.count() == 0
+
+
+def test_size_check(spark):
+    from ledgerlight.operators.ordered import fits_one_task
+    df = skewed_frame(spark)
+    hot = df.filter(F.col("g") == "hot").count()
+    assert fits_one_task(df, ["g"], hot)
+    assert not fits_one_task(df, ["g"], hot - 1)
+    assert not fits_one_task(df, ["g"], 0)
+
+
+def test_fast_and_sliced_paths_agree(spark):
+    df = skewed_frame(spark).fillna({"v": -1.0})
+    fast = neighbors(df, ["g"], ["id"], "v", "p", "n")
+    sliced = neighbors(df, ["g"], ["id"], "v", "p", "n", 6, max_group_rows=0)
+    assert fast.exceptAll(sliced).count() == 0 and sliced.exceptAll(fast).count() == 0

@@ -16,10 +16,13 @@ from ledgerlight.streaming.sessions import debounce, debounce_stream
 
 
 def test_debounce_batch_fixture_count(spark):
-    """FIXTURES.md: 946 sessions at sf0.001 with a 30-minute gap."""
-    out = debounce(T.events(spark, SMALL), "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
-    assert out.count() == 946
-    assert out.agg(F.sum("n_events")).first()[0] == T.events(spark, SMALL).count()
+    """FIXTURES.md: 946 sessions at sf0.001 with a 30-minute gap, on both plan paths."""
+    ev = T.events(spark, SMALL)
+    fast = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
+    sliced = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id", max_group_rows=0)
+    assert fast.count() == 946
+    assert fast.agg(F.sum("n_events")).first()[0] == ev.count()
+    assert fast.exceptAll(sliced).count() == 0 and sliced.exceptAll(fast).count() == 0
 
 
 def test_debounce_stream_equals_batch_on_closed_sessions(spark, tmp_dir):
