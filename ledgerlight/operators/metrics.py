@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.rules import first_match
-from .ordered import exact_percentiles, neighbors, null_safe_join
+from .ordered import exact_percentiles, neighbors
 
 # Volatility label cuts of the reference.
 VOLATILITY_LABELS = [(100, "Low Volatility"), (500, "Medium Volatility")]
@@ -84,24 +84,19 @@ def metric_stats(df: DataFrame, group_cols=("category", "subcategory"),
                  num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """AG-10..12: the same statistics at a grain where they mean something.
 
-    Exact interpolated median and p95 (``PERCENTILE_CONT``) come from the
-    range-partitioned ``exact_percentiles``; the rest is one mergeable
-    aggregate.  Both sides have one row per group and are joined on the
-    group keys (NULL-safe).
+    Exact interpolated median and p95 (``PERCENTILE_CONT``) come from
+    ``exact_percentiles``, which also computes the mergeable statistics: in
+    one aggregate when the largest group fits a task, otherwise on the
+    range-partitioned path with the statistics joined on the group keys.
     """
     g = list(group_cols)
     v = F.col("metric_value")
-    base = df.filter(v.isNotNull())
-    stats = base.groupBy(*g).agg(F.count(F.lit(1)).alias("metric_count"),
-                                 F.avg(v).alias("avg_value"),
-                                 F.max(v).alias("max_value"),
-                                 F.min(v).alias("min_value"),
-                                 F.sum(v).alias("total_value"),
-                                 F.stddev_samp(v).alias("std_deviation"),
-                                 F.var_samp(v).alias("variance"))
-    pct = exact_percentiles(base, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95},
-                            num_partitions, max_group_rows).drop("n")
-    out = null_safe_join(stats, pct, g)
+    stats = [F.avg(v).alias("avg_value"), F.max(v).alias("max_value"), F.min(v).alias("min_value"),
+             F.sum(v).alias("total_value"), F.stddev_samp(v).alias("std_deviation"),
+             F.var_samp(v).alias("variance")]
+    out = exact_percentiles(df, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95},
+                            num_partitions, max_group_rows, extra_aggs=stats)
+    out = out.withColumnRenamed("n", "metric_count")
     return out.select(*g, "metric_count", "avg_value", "median_value", "p95_value", "max_value",
                       "min_value", "total_value", "std_deviation", "variance")
 
@@ -173,22 +168,62 @@ def period_change(df: DataFrame, ts_col: str, period: str, value_aggs: dict, kpi
     })
 
 
+def user_days(events: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Events reduced to one row per (user, day): purchases and page views that day.
+
+    Shared by every event KPI, so the event table is scanned and shuffled
+    once (the identical exchange is reused by each rollup).
+    """
+    return (events.groupBy("user_id", D.trunc_ts("day", ts_col).alias("day"))
+            .agg(F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+                 F.count_if(F.col("event_type") == "view").alias("views")))
+
+
+def _with_change(long: DataFrame, kpi_col: str = "kpi") -> DataFrame:
+    """Previous period's value and the change in percent, per KPI (rows bounded by the periods)."""
+    w = Window.partitionBy(kpi_col).orderBy("period_start")
+    long = long.withColumn("prev_value", F.lag("value").over(w))
+    return long.withColumn("change_pct", F.when(F.col("prev_value") > 0,
+                                                (F.col("value") - F.col("prev_value")) / F.col("prev_value") * 100))
+
+
+def event_kpis(events: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Conversion rate by month, active users and page views by week, in one pass over events.
+
+    Each (user, day) row is placed in its month and its week (grouping sets
+    written out), aggregated once, and unpivoted to KPI rows; a single plan
+    branch means a single scan and shuffle of the event table.
+    """
+    ud = user_days(events, ts_col)
+    periods = F.array(
+        F.struct(F.lit("month").alias("period"), D.trunc_ts("month", "day").alias("period_start")),
+        F.struct(F.lit("week").alias("period"), D.trunc_ts("week", "day").alias("period_start")))
+    both = ud.select("user_id", "purchases", "views", F.explode(periods).alias("p")) \
+             .select("user_id", "purchases", "views", "p.period", "p.period_start")
+    per = both.groupBy("period", "period_start").agg(
+        (F.count_distinct(F.when(F.col("purchases") > 0, F.col("user_id")))
+         / F.count_distinct("user_id") * 100).alias("conversion"),
+        F.count_distinct("user_id").cast("double").alias("users"),
+        F.sum("views").cast("double").alias("views"))
+    kv = F.when(F.col("period") == "month",
+                F.array(F.struct(F.lit("Conversion Rate").alias("kpi"), F.col("conversion").alias("value")))) \
+          .otherwise(F.array(F.struct(F.lit("Active Users").alias("kpi"), F.col("users").alias("value")),
+                             F.struct(F.lit("Page Views").alias("kpi"), F.col("views").alias("value"))))
+    long = per.select("period", "period_start", F.explode(kv).alias("kv")) \
+              .select("kv.kpi", "period", "period_start", "kv.value")
+    return _with_change(long)
+
+
 def kpi_cards(sales: DataFrame, events: DataFrame) -> DataFrame:
     """BX-15: the dashboard's four cards with period-over-period change.
 
     Revenue by month (``staging_sales``); conversion rate by month, active
-    users and page views by week (``events``).  Conversion rate is the share
-    of active users who purchased in the period, in percent.
+    users and page views by week (``events``, one pass).  Conversion rate is
+    the share of active users who purchased in the period, in percent.
     """
     rev = period_change(sales, "order_date", "month", {"Total Revenue": F.sum("order_value")})
-    ev_m = period_change(events, "ts", "month", {
-        "Conversion Rate": F.count_distinct(F.when(F.col("event_type") == "purchase", F.col("user_id")))
-        / F.count_distinct("user_id") * 100})
-    ev_w = period_change(events, "ts", "week", {
-        "Active Users": F.count_distinct("user_id"),
-        "Page Views": F.count_if(F.col("event_type") == "view")})
     cols = ["kpi", "period", "period_start", "value", "prev_value", "change_pct"]
-    return rev.select(*cols).unionByName(ev_m.select(*cols)).unionByName(ev_w.select(*cols))
+    return rev.select(*cols).unionByName(event_kpis(events).select(*cols))
 
 
 def feed_line(df: DataFrame, ts_col: str = "created_at", value_col: str = "metric_value") -> DataFrame:

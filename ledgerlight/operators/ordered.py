@@ -89,7 +89,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                       probs: dict[str, float], num_partitions: int | None = None,
-                      max_group_rows: int | None = None) -> DataFrame:
+                      max_group_rows: int | None = None, extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """Exact ``PERCENTILE_CONT`` per group without collecting a group in one task.
 
     Returns ``group_cols + [n] + list(probs)``.  Steps:
@@ -103,7 +103,10 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     4. keep the rows holding ranks ``floor(p(n-1))`` and ``ceil(p(n-1))`` and
        interpolate ``lo + (pos - floor(pos)) * (hi - lo)``.
 
-    NULL values are ignored, as by the SQL aggregate.
+    NULL values are ignored, as by the SQL aggregate.  ``extra_aggs`` (named
+    aggregate columns over the non-NULL rows) are computed alongside: in the
+    same aggregate on the fast path, in one more aggregate joined on the
+    group keys on the sliced path.
     """
     g = list(group_cols)
     P = _num_partitions(df, num_partitions)
@@ -115,7 +118,7 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         # map per group, bounded by the distinct values just checked.
         v = F.col(value_col).cast("double")
         return (df.filter(v.isNotNull()).groupBy(*g)
-                .agg(F.count(F.lit(1)).alias("n"),
+                .agg(F.count(F.lit(1)).alias("n"), *extra_aggs,
                      *[F.percentile(v, float(p)).alias(name) for name, p in probs.items()]))
     ranged = _pinned_ranges(freq, P, [F.col(c).asc_nulls_first() for c in g] + [F.col("_v").asc()])
     edges = ranged.groupBy(*g, "_pid").agg(F.sum("_c").alias("_bc"))
@@ -150,7 +153,11 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     for name in probs:
         lo_v, hi_v, pos = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_pos")
         outs.append((lo_v + (pos - F.floor(pos)) * (hi_v - lo_v)).alias(name))
-    return res.select(*g, "n", *outs)
+    out = res.select(*g, "n", *outs)
+    if extra_aggs:
+        extra = df.filter(F.col(value_col).isNotNull()).groupBy(*g).agg(*extra_aggs)
+        out = null_safe_join(out, extra, g)
+    return out
 
 
 def slice_frame(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],

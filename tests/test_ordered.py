@@ -79,3 +79,18 @@ def test_fast_and_sliced_paths_agree(spark):
     fast = neighbors(df, ["g"], ["id"], "v", "p", "n")
     sliced = neighbors(df, ["g"], ["id"], "v", "p", "n", 6, max_group_rows=0)
     assert fast.exceptAll(sliced).count() == 0 and sliced.exceptAll(fast).count() == 0
+
+
+def test_metric_stats_paths_agree(spark):
+    from ledgerlight.operators.metrics import metric_stats
+    df = skewed_frame(spark).withColumnRenamed("g", "category").withColumnRenamed("v", "metric_value") \
+        .withColumn("subcategory", F.lit("s"))
+    fast = metric_stats(df)
+    sliced = metric_stats(df, num_partitions=5, max_group_rows=0)
+    a = {r.category: r for r in fast.collect()}
+    b = {r.category: r for r in sliced.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in a[k].asDict():
+            if c not in ("category", "subcategory"):
+                assert a[k][c] == pytest.approx(b[k][c], rel=1e-12, abs=1e-12), (k, c)
