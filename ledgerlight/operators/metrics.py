@@ -125,7 +125,7 @@ def category_performance(df: DataFrame, as_of=None, months: int = 12) -> DataFra
                                     F.stddev_samp("avg_monthly_value").alias("volatility"),
                                     F.count_distinct("month").alias("active_months"))
     return (cp.withColumns({
-        "performance_rank": F.rank().over(Window.orderBy(F.col("overall_avg").desc())),
+        "performance_rank": F.rank().over(Window.orderBy(F.col("overall_avg").desc())).cast("bigint"),
         "volatility_category": volatility_label(),
     }).orderBy(F.col("overall_avg").desc(), F.col("category")))
 
