@@ -20,20 +20,39 @@ BASE_CONF = {
 }
 
 
+# Sizing for the 100 TB target (1000 executors): 256 MB input splits and
+# shuffle partitions, many initial shuffle partitions that AQE coalesces to
+# the advisory size, and skew splitting for partitions 5x the median.  A
+# third of the rows under one key then becomes many ~256 MB tasks instead
+# of one huge one.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ledgerlight", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "ledgerlight", extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
     ``master`` is only set for local runs; on a cluster the launcher decides.
     ``shuffle_partitions`` should be sized so one partition fits an executor
     core's memory (about 128-256 MB of shuffle data each); AQE coalesces
-    the small ones at runtime.
+    the small ones at runtime.  ``cluster=True`` applies ``CLUSTER_CONF``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "8g"))
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -36,6 +36,12 @@ CREATE TABLE IF NOT EXISTS {name} (
 ) USING parquet LOCATION '{location}'"""
 
 
+def create_or_replace_view(df: DataFrame, name: str) -> DataFrame:
+    """SK-04: ``CREATE OR REPLACE VIEW name AS <plan>``; returns the view as a table."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def create_typed_table(spark: SparkSession, ddl: str, **fmt) -> None:
     """SK-03: ``CREATE TABLE IF NOT EXISTS`` from DDL text (idempotent)."""
     spark.sql(ddl.format(**fmt))
