@@ -106,11 +106,11 @@ def q_dq_score(spark, sf_dir):
 WITH {CUSTOMER_ORDERS},{CM_CTE},{NORM_CTE},
 long AS (
     SELECT CAST(customer_id AS VARCHAR) AS customer_id, 'recency_zscore' AS feature_name
-    FROM feature_normalization WHERE recency_zscore IS NOT NULL
+    FROM normalised WHERE recency_zscore IS NOT NULL
     UNION ALL SELECT CAST(customer_id AS VARCHAR), 'frequency_zscore'
-    FROM feature_normalization WHERE frequency_zscore IS NOT NULL
+    FROM normalised WHERE frequency_zscore IS NOT NULL
     UNION ALL SELECT CAST(customer_id AS VARCHAR), 'monetary_zscore'
-    FROM feature_normalization WHERE monetary_zscore IS NOT NULL
+    FROM normalised WHERE monetary_zscore IS NOT NULL
 )
 SELECT customer_id, feature_name, COUNT(*) AS occurrences FROM long
 GROUP BY customer_id, feature_name HAVING COUNT(*) > 1""")
