@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.rules import first_match
-from .ordered import exact_percentiles, neighbors
+from .ordered import exact_percentiles, fits_one_task, neighbors
 
 # Volatility label cuts of the reference.
 VOLATILITY_LABELS = [(100, "Low Volatility"), (500, "Medium Volatility")]
@@ -61,6 +61,9 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
     """
     v = F.col("metric_value")
     keys = ["category", "subcategory", "metric_value", "created_at"]
+    # Input rows per category bound the grouped rows per category: check the
+    # cheap key-only projection instead of recomputing the grouping.
+    fits = fits_one_task(df.filter(v.isNotNull()), ["category"], max_group_rows)
     grouped = (df.filter(v.isNotNull())
                .groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("metric_count"),
@@ -72,7 +75,7 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
                     F.var_samp(v).alias("variance"))
                .withColumns({"median_value": v.cast("double"), "p95_value": v.cast("double")}))
     nb = neighbors(grouped, ["category"], ["created_at", "subcategory", "metric_value"], "metric_value",
-                   "prev_value", "next_value", num_partitions, max_group_rows)
+                   "prev_value", "next_value", num_partitions, fits=fits)
     prev = F.col("prev_value")
     nb = nb.withColumn("growth_rate_percent", F.when(prev > 0, (v - prev) / prev * 100))
     return nb.select("category", "subcategory", "metric_count", "avg_value", "median_value", "p95_value",

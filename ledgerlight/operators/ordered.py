@@ -47,12 +47,16 @@ def _max_group_rows(df: DataFrame, given: int | None) -> int:
 def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None) -> bool:
     """Size check: does the largest ``keys`` group hold at most ``max_group_rows`` rows?
 
-    One partially aggregated count (skew-safe) and a single number on the driver.
+    One partially aggregated count over the key columns only (column pruning
+    reads nothing else; skew-safe) and a single number on the driver.  Pass
+    a frame *upstream* of an aggregation to bound its groups cheaply: input
+    rows per key bound the aggregated rows per key.
     """
     limit = _max_group_rows(df, max_group_rows)
     if limit <= 0:
         return False
-    counted = df.groupBy(*keys).count() if keys else df.select(F.count(F.lit(1)).alias("count"))
+    slim = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
+    counted = slim.groupBy(*keys).count() if keys else slim.select(F.count(F.lit(1)).alias("count"))
     biggest = counted.agg(F.max("count")).first()[0]
     return biggest is None or biggest <= limit
 
@@ -113,9 +117,9 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     freq = (df.filter(F.col(value_col).isNotNull())
             .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
             .agg(F.count(F.lit(1)).alias("_c")))
-    if fits_one_task(freq, g, max_group_rows):
+    if fits_one_task(df.filter(F.col(value_col).isNotNull()), g, max_group_rows):
         # Small groups: Spark's exact percentile keeps one (value -> count)
-        # map per group, bounded by the distinct values just checked.
+        # map per group, bounded by the group's rows just checked.
         v = F.col(value_col).cast("double")
         return (df.filter(v.isNotNull()).groupBy(*g)
                 .agg(F.count(F.lit(1)).alias("n"), *extra_aggs,
@@ -203,15 +207,17 @@ def neighbors_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_
 
 def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
               value_col: str, prev_name: str = "prev_value", next_name: str = "next_value",
-              num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, max_group_rows: int | None = None,
+              fits: bool | None = None) -> DataFrame:
     """``LAG(v, 1)`` and ``LEAD(v, 1) OVER (PARTITION BY p ORDER BY o)`` for hot partitions.
 
     ``order_cols`` (ascending) must make the order total within a partition.
     The frame is range-partitioned on ``p + o``; lag / lead are computed
     inside each slice, and the first / last row of a slice takes its value
-    from the neighbouring slice through a bounded edge table.
+    from the neighbouring slice through a bounded edge table.  ``fits`` skips
+    the size check when the caller already bounded the groups upstream.
     """
-    if fits_one_task(df, list(partition_cols), max_group_rows):
+    if fits if fits is not None else fits_one_task(df, list(partition_cols), max_group_rows):
         oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
         w = Window.partitionBy(*partition_cols).orderBy(*oc)
         return df.withColumns({prev_name: F.lag(value_col).over(w), next_name: F.lead(value_col).over(w)})
