@@ -128,3 +128,26 @@ def test_rank_ties_share_with_gaps(spark):
            .withColumn("created_at", F.col("month")).withColumn("metric_value", F.col("avg_monthly_value"))
     out = M.category_performance(df.select("category", "metric_value", "created_at"), "2001-08-02")
     assert sorted((r.category, r.performance_rank) for r in out.collect()) == [("a", 1), ("b", 1), ("c", 3)]
+
+
+def test_sales_summary_contract(spark):
+    """37 output columns (36 + optional timestamp), total_discount carried (D1), newest day first."""
+    from conftest import SMALL
+    from ledgerlight.sources import tables as T
+    out = S.sales_summary(T.staging_sales(spark, SMALL), "2001-08-02", with_timestamp=True)
+    cols = out.columns
+    assert cols[:30] == S.SUMMARY_COLUMNS and "total_discount" in cols
+    assert cols[30:] == ["day_of_week", "month", "quarter", "year", "day_type", "season",
+                         "performance_score", "analysis_timestamp"]
+    dates = [r.sales_date for r in out.select("sales_date").collect()]
+    assert dates == sorted(dates, reverse=True) and len(dates) <= 91
+    assert out.filter(F.col("total_discount").isNull()).count() == 0
+
+
+def test_customer_analysis_contract(spark):
+    from conftest import SMALL
+    from ledgerlight.sources import tables as T
+    out = C.customer_analysis(T.staging_sales(spark, SMALL), "2001-08-02", with_timestamp=True)
+    assert out.columns == C.ANALYSIS_COLUMNS + ["activity_status", "growth_potential_score", "analysis_timestamp"]
+    r = out.first()
+    assert r.rfm_score == f"{r.recency_score}{r.frequency_score}{r.monetary_score}"

@@ -150,3 +150,39 @@ def test_enrich_points_columns(spark):
     df = spark.createDataFrame([(2.0, "2024-01-01 00:00:00")], "value double, timestamp string")
     r = MSG.enrich_points(df, seed=1).first()
     assert 0 <= r.calculatedValue <= 200 and r.timestamp.year == 2024
+
+
+def test_message_job_restarts_without_loss_or_repeats(spark, tmp_dir):
+    from ledgerlight.streaming.jobs import message_stream_job
+    log = message_log(spark, SMALL)
+    first = log.filter(F.col("value").contains('"event_type":"view"'))
+    rest = log.filter(~F.col("value").contains('"event_type":"view"'))
+    src, out, dead, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "out", "dead", "ckpt"))
+    first.write.text(os.path.join(src, "part1"))
+    seen = []
+    for q in message_stream_job(spark, src + "/*", EVENT_FIELDS, out, dead, ckpt,
+                                handlers=[lambda df, e: seen.append(df.count())]):
+        q.awaitTermination()
+    rest.write.text(os.path.join(src, "part2"))
+    for q in message_stream_job(spark, src + "/*", EVENT_FIELDS, out, dead, ckpt):   # restart, same checkpoint
+        q.awaitTermination()
+    ev = T.events(spark, SMALL)
+    got = spark.read.parquet(out)
+    assert got.count() == ev.count()
+    assert got.exceptAll(ev).count() == 0 and ev.exceptAll(got).count() == 0
+    assert spark.read.parquet(dead).count() == ev.filter(F.col("event_type") == "error").count()
+    assert sum(seen) == first.count()
+
+
+def test_debounce_job_writes_closed_sessions(spark, tmp_dir):
+    from ledgerlight.streaming.jobs import debounce_stream_job
+    ev = T.events(spark, SMALL)
+    src = os.path.join(tmp_dir, "ev")
+    ev.write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    q = debounce_stream_job(stream, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), watermark="0 seconds")
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(tmp_dir, "out"))
+    wm = ev.agg(F.max("ts")).first()[0]
+    batch = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
+    assert out.count() == batch.filter(F.col("session_end") <= F.lit(wm)).count()
