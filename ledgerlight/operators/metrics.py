@@ -41,11 +41,20 @@ def metric_summary(df: DataFrame) -> DataFrame:
 
 
 def recent_metrics(df: DataFrame, as_of=None, days: int = 7,
-                   columns=("metric_name", "metric_value", "category", "created_at")) -> DataFrame:
-    """PF-01: rows of the last ``days`` days, newest first."""
+                   columns=("metric_name", "metric_value", "category", "created_at"),
+                   tiebreak: str | None = "id") -> DataFrame:
+    """PF-01: rows of the last ``days`` days, newest first.
+
+    The sort is range-partitioned; a unique ``tiebreak`` column (when the
+    table has one) makes the key total, so rows sharing one timestamp can
+    still be split across partitions instead of landing in one.
+    """
+    order = [F.col("created_at").desc()]
+    if tiebreak and tiebreak in df.columns:
+        order.append(F.col(tiebreak).desc())
     return (df.filter(D.since("created_at", as_of, days, "days"))
-            .select(*columns)
-            .orderBy(F.col("created_at").desc()))
+            .orderBy(*order)
+            .select(*columns))
 
 
 def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,

@@ -131,7 +131,7 @@ def test_rank_ties_share_with_gaps(spark):
 
 
 def test_sales_summary_contract(spark):
-    """37 output columns (36 + optional timestamp), total_discount carried (D1), newest day first."""
+    """30 measures + 7 calendar / score columns (+ timestamp), total_discount carried (D1), newest first."""
     from conftest import SMALL
     from ledgerlight.sources import tables as T
     out = S.sales_summary(T.staging_sales(spark, SMALL), "2001-08-02", with_timestamp=True)
