@@ -29,17 +29,23 @@ JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 def parse_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """ST-01: ``(parsed, dead_letter)``.
 
-    A message that is not valid JSON goes to the dead-letter frame with its
-    text instead of failing the stream (the reference emits an error event
-    and carries on).  Validity is ``try_parse_json``; fields come from
-    ``from_json`` with the given schema.
+    A message that cannot be read goes to the dead-letter frame with its text
+    and a reason instead of failing the stream (the reference emits an error
+    event and carries on).  Each message is parsed once with ``from_json``
+    in PERMISSIVE mode; only the rare rejected ones are looked at again to
+    tell malformed JSON from JSON that does not fit the schema.
     """
     txt = F.col(text_col)
-    tagged = raw.withColumn("_ok", F.try_parse_json(txt).isNotNull())
-    parsed = (tagged.filter(F.col("_ok"))
-              .select(F.from_json(txt, schema, JSON_OPTIONS).alias("m")).select("m.*"))
-    dead = tagged.filter(~F.col("_ok")).select(txt.alias("raw_message"),
-                                               F.lit("malformed JSON").alias("error"))
+    corrupt = "_corrupt_record"
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
+    opts = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    tagged = raw.select(txt.alias("_raw"), F.from_json(txt, with_corrupt, opts).alias("m"))
+    bad = F.col("_raw").isNull() | F.col(f"m.{corrupt}").isNotNull()
+    parsed = tagged.filter(~bad).select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields])
+    reason = (F.when(F.col("_raw").isNull(), "empty message")
+              .when(F.try_parse_json(F.col("_raw")).isNull(), "malformed JSON")
+              .otherwise("schema mismatch"))
+    dead = tagged.filter(bad).select(F.col("_raw").alias("raw_message"), reason.alias("error"))
     return parsed, dead
 
 

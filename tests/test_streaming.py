@@ -186,3 +186,11 @@ def test_debounce_job_writes_closed_sessions(spark, tmp_dir):
     wm = ev.agg(F.max("ts")).first()[0]
     batch = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
     assert out.count() == batch.filter(F.col("session_end") <= F.lit(wm)).count()
+
+
+def test_dead_letter_reasons(spark):
+    rows = [('{"event_id": 1, "value": 2.5}',), ("{bad",), ('{"event_id": "x"}',), (None,)]
+    raw = spark.createDataFrame(rows, "value string")
+    parsed, dead = MSG.parse_messages(raw, EVENT_FIELDS)
+    assert [r.event_id for r in parsed.collect()] == [1]
+    assert sorted(r.error for r in dead.collect()) == ["empty message", "malformed JSON", "schema mismatch"]
