@@ -17,9 +17,9 @@ is used; beyond that the sliced path below.  Both give the same result.
 The range-partitioned frame is read twice (slices and edge table).  Range
 bounds come from sampling, and two exchanges -- or a recomputation after an
 executor loss -- may sample differently, so the partition ids would not
-agree.  The ranged frame is therefore materialised once with a reliable
-``checkpoint()`` into the cluster's shared ``spark.checkpoint.dir``, which
-pins the ids and cuts the lineage.  The sort keys must be a total order
+agree.  The ranged frame is therefore written once as a Parquet table under
+the cluster's shared ``spark.checkpoint.dir`` and read back, which pins the
+ids and cuts the lineage.  The sort keys must be a total order
 (add a unique tie-breaker) so results do not depend on arrival order.
 """
 
@@ -27,11 +27,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
@@ -69,15 +68,15 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 
 def _pinned_ranges(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
     """Range-partition on ``keys``, tag each row with its partition id, and
-    checkpoint so every later reader sees the same ids."""
-    checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    # Persist first so the checkpoint write reads the computed partitions
-    # instead of recomputing them.
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    pinned = ranged.checkpoint(eager=True)
-    ranged.unpersist()
-    return pinned
+    pin the result as a Parquet table in the shared scratch folder, so every
+    later reader -- and any recomputation after an executor loss -- sees the
+    same ids.  One write job (plus the range sampling), columnar and
+    compressed, instead of an RDD checkpoint's extra passes.
+    """
+    path = scratch_path(df.sparkSession, "slices")
+    df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()) \
+      .write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -169,7 +168,7 @@ def slice_frame(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     """Range-slice ``df`` on ``partition_cols + order_cols`` and pin the slice id ``_pid``.
 
     The result can feed several ``*_on_slices`` operators without being
-    re-sliced: they all see the same, checkpointed ``_pid``.
+    re-sliced: they all see the same, pinned ``_pid``.
     """
     oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     return _pinned_ranges(df, _num_partitions(df, num_partitions),
