@@ -10,20 +10,20 @@ split across reducers.  The z-scores need global mean and stddev: they are
 one-row aggregates used as scalar subqueries (Spark merges them into one
 job and ships the scalars), never an ``OVER ()`` window that would pull all
 customers into one task, and never a cross join.  The customer table is
-read by both the stats and the row projection, so it is checkpointed once
-into the shared checkpoint folder.
+read by both the stats and the row projection, so it is written once as a
+Parquet table in the shared checkpoint folder and read back (one job, and
+the lineage is cut).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.numeric import int_div
 from ..functions.rules import first_match
-from ..session import checkpoint_dir
+from ..session import scratch_path
 from . import customers as C
 
 # Category labels of the feature script.
@@ -72,10 +72,9 @@ def customer_metrics(orders: DataFrame, as_of=None, years: int = 2) -> DataFrame
 def zscores(cm: DataFrame, features=ZSCORE_FEATURES, materialize: bool = True) -> DataFrame:
     """WN-07: ``(x - mean(x)) / stddev_samp(x)`` over all customers; NULL when stddev is 0 or NULL."""
     if materialize:
-        checkpoint_dir(cm.sparkSession)
-        kept = cm.persist(StorageLevel.MEMORY_AND_DISK)
-        cm = kept.checkpoint(eager=True)
-        kept.unpersist()
+        path = scratch_path(cm.sparkSession, "customer-metrics")
+        cm.write.mode("overwrite").parquet(path)
+        cm = cm.sparkSession.read.parquet(path)
     stats = cm.agg(*[F.avg(src).alias(f"m_{name}") for name, src in features],
                    *[F.stddev_samp(src).alias(f"s_{name}") for name, src in features])
     cols = {}
