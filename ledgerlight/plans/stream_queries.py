@@ -12,7 +12,7 @@ from pyspark.sql import types as T_
 
 from ..sources import tables as T
 from ..streaming import messages as MSG
-from ..streaming.sessions import debounce
+from ..streaming.sessions import DEBOUNCE_DELAY, debounce
 from .catalog import register
 
 EVENT_FIELDS = T_.StructType([
@@ -31,23 +31,32 @@ def message_log(spark, sf_dir):
     return msgs.unionByName(broken)
 
 
-@register("debounce_events", ids=("ST-04",), doubles=["last_value"], sql="""
+_DEBOUNCE_SQL = """
 WITH f AS (
     SELECT user_id, ts, value, event_id,
-           CASE WHEN LAG(ts) OVER w IS NULL OR ts - LAG(ts) OVER w >= INTERVAL '30 minutes' THEN 1 ELSE 0 END AS brk
+           CASE WHEN LAG(ts) OVER w IS NULL OR ts - LAG(ts) OVER w >= INTERVAL '{gap}' THEN 1 ELSE 0 END AS brk
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 ),
 s AS (
     SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f
 )
-SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '30 minutes' AS session_end, MAX(ts) AS last_ts,
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL '{gap}' AS session_end, MAX(ts) AS last_ts,
        arg_max(value, (ts, event_id)) AS last_value, COUNT(*) AS n_events
-FROM s GROUP BY user_id, sid""")
+FROM s GROUP BY user_id, sid"""
+
+
+@register("debounce_events", ids=("ST-04",), doubles=["last_value"], sql=_DEBOUNCE_SQL.format(gap="30 minutes"))
 def q_debounce_events(spark, sf_dir):
     """Per user, bursts of events separated by 30 minutes of quiet, with the last value of each."""
     return debounce(T.events(spark, sf_dir), "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
 
 
+@register("debounce_300ms", ids=("ST-04",), doubles=["last_value"], sql=_DEBOUNCE_SQL.format(gap=DEBOUNCE_DELAY))
+def q_debounce_300ms(spark, sf_dir):
+    """Per user, the last value of each burst with the component's own 300 ms debounce delay."""
+    return debounce(T.events(spark, sf_dir), "user_id", "ts", "value", DEBOUNCE_DELAY, tiebreak="event_id")
+
+
 @register("stream_parse", ids=("ST-01", "FN-14"), doubles=["value"], sql="SELECT * FROM events")
 def q_stream_parse(spark, sf_dir):
     """Parsed messages of the log (the cut-off ones go to the dead letter)."""
