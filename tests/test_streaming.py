@@ -194,3 +194,30 @@ def test_dead_letter_reasons(spark):
     parsed, dead = MSG.parse_messages(raw, EVENT_FIELDS)
     assert [r.event_id for r in parsed.collect()] == [1]
     assert sorted(r.error for r in dead.collect()) == ["empty message", "malformed JSON", "schema mismatch"]
+
+
+def test_status_listener_reports_failure(spark, tmp_dir):
+    from pyspark.errors import StreamingQueryException
+
+    listener = MSG.StatusListener()
+    spark.streams.addListener(listener)
+    try:
+        src = os.path.join(tmp_dir, "ev")
+        T.events(spark, SMALL).write.parquet(src)
+        stream = spark.readStream.schema(T.events(spark, SMALL).schema).parquet(src)
+
+        def explode(df, epoch):
+            raise RuntimeError("sink down")
+
+        q = stream.writeStream.foreachBatch(explode).option("checkpointLocation", os.path.join(tmp_dir, "c")).start()
+        try:
+            q.awaitTermination(60)
+        except StreamingQueryException:
+            pass
+        deadline = time.time() + 20
+        while time.time() < deadline and "disconnected" not in [k for k, _ in listener.events]:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    kinds = [k for k, _ in listener.events]
+    assert "error" in kinds and kinds[-1] == "disconnected"
