@@ -151,3 +151,15 @@ def test_customer_analysis_contract(spark):
     assert out.columns == C.ANALYSIS_COLUMNS + ["activity_status", "growth_potential_score", "analysis_timestamp"]
     r = out.first()
     assert r.rfm_score == f"{r.recency_score}{r.frequency_score}{r.monetary_score}"
+
+
+def test_kpi_conversion_change_over_two_months(spark):
+    """FIXTURES.md: events cover one month, so the month-over-month change needs a two-month golden."""
+    ev = [(1, dt.datetime(2024, 1, 3), "purchase"), (2, dt.datetime(2024, 1, 4), "view"),
+          (3, dt.datetime(2024, 1, 5), "view"), (4, dt.datetime(2024, 1, 6), "view"),
+          (1, dt.datetime(2024, 2, 3), "purchase"), (2, dt.datetime(2024, 2, 3), "purchase")]
+    events = spark.createDataFrame(ev, "user_id long, ts timestamp_ntz, event_type string")
+    out = M.event_kpis(events).filter(F.col("kpi") == "Conversion Rate").orderBy("period_start").collect()
+    assert [(r.value, r.prev_value, r.change_pct) for r in out] == [(25.0, None, None), (100.0, 25.0, 300.0)]
+    views = M.event_kpis(events).filter(F.col("kpi") == "Page Views").agg(F.sum("value")).first()[0]
+    assert views == 3.0
