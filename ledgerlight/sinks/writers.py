@@ -32,7 +32,7 @@ CREATE TABLE IF NOT EXISTS {name} (
     feature_name VARCHAR(100) NOT NULL,
     feature_value DECIMAL(15,6),
     feature_type VARCHAR(50),
-    created_at TIMESTAMP_NTZ
+    created_at TIMESTAMP_NTZ DEFAULT CAST(current_timestamp() AS TIMESTAMP_NTZ)
 ) USING parquet LOCATION '{location}'"""
 
 

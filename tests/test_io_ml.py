@@ -74,6 +74,9 @@ def test_typed_table_append_and_unique_key(spark, tmp_dir):
     assert str(t.schema["feature_value"].dataType) == "DecimalType(15,6)"
     assert float(t.first().feature_value) == pytest.approx(0.123457)
     assert t.groupBy("customer_id", "feature_name", "created_at").count().filter("count > 1").count() == 0
+    spark.sql(f"INSERT INTO {name} (id, customer_id, feature_name, feature_value, feature_type) "
+              "VALUES (7, '2', 'frequency_zscore', 1.5, 'numerical')")
+    assert spark.table(name).filter("customer_id = '2'").first().created_at is not None   # DEFAULT applied
 
 
 def test_csv_and_landed_json(spark, tmp_dir):
