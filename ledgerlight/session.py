@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,23 +65,43 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts and intermediate tables, resolved once per context.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS / object
-    store) folder and is used as is.  Only when it is unset -- local tests
-    -- a fresh scratch folder is created and registered.
+    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS / object store) folder.  Spark
+    registers it with the context at start and appends a unique subfolder, which is used as is
+    and never registered again.  Where the setting is missing, a fresh local folder is made --
+    on a ``local`` master only; on any other master each executor would write to its own disk,
+    so a missing setting raises ``RuntimeError`` there.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    base = sc.getCheckpointDir()
+    if base:
+        return base
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        require_local_master(sc.master)
+        base = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
+
+
+def require_local_master(master: str) -> None:
+    """Raise unless driver and executors share one machine's disk (``local`` or ``local[n]``)."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set and the master is {master!r}: intermediate tables "
+            "need a folder that the driver and all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables, under the shared checkpoint folder."""
-    import uuid
+    """A fresh path for an intermediate table, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
 
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table made at a :func:`scratch_path`; other paths are refused."""
+    if "/scratch/" not in path:
+        raise ValueError(f"{path} is not a scratch path")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
