@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import bpe, langid, simhash
 from .common import id_remainder, table
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document over 3-word shingles, and its component at 3 bits or fewer."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the ranks of a public byte-level BPE, and the bytes they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those whose crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
@@ -20,6 +37,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash": op4_simhash,
+    "op7_byte_bpe": op7_byte_bpe,
     "op10_language_id": op10_language_id,
 }
 
