@@ -8,16 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, simhash
+from . import bpe, decontaminate, langid, secrets, simhash, urls
 from .common import id_remainder, table
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding host rule and verdict of every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document over 3-word shingles, and its component at 3 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that occur in documents with at most one edit in 16 characters."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the ranks of a public byte-level BPE, and the bytes they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -28,6 +38,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base secret spans of every document, and those that the corpus-wide ownership of their values adds."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[secrets.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"), "n_live")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those whose crc32(doc_id) mod 5 is not 0."""
     docs = table(spark, sf_dir, "documents")
@@ -37,8 +55,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filters": op3_url_filters,
     "op4_simhash": op4_simhash,
+    "op5_decontaminate": op5_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
 }
 
@@ -48,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filters": urls.oracle_sql()}
