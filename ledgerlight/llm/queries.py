@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, secrets, simhash, urls
+from . import bpe, decontaminate, imatch, langid, secrets, simhash, urls
 from .common import id_remainder, table
 
 
@@ -38,6 +38,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and of an edit of it, and how alike they and the next document's are."""
+    docs = table(spark, sf_dir, "documents")
+    return imatch.robustness(docs, imatch.lexicon(docs))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base secret spans of every document, and those that the corpus-wide ownership of their values adds."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_decontaminate": op5_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_imatch": op8_imatch,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
 }
