@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, imatch, langid, secrets, simhash, urls
+from . import bpe, decontaminate, imatch, langid, secrets, simhash, tokenfile, urls
+from ..session import scratch_path
 from .common import id_remainder, table
 
 
@@ -28,6 +29,16 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the tokenizers library, written to plane files and read back."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    path = scratch_path(spark, "token-files")
+    tokenfile.write(table(spark, sf_dir, "documents"), path, definition, end_id=2)
+    return tokenfile.read(spark, path).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the ranks of a public byte-level BPE, and the bytes they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -64,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_simhash": op4_simhash,
     "op5_decontaminate": op5_decontaminate,
+    "op6_token_files": op6_token_files,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_imatch": op8_imatch,
     "op9_secrets": op9_secrets,
