@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, imatch, langid, secrets, simhash, tokenfile, urls
+from . import bpe, decontaminate, imatch, langid, secrets, simhash, suffixdedup, tokenfile, urls
 from ..session import scratch_path
 from .common import id_remainder, table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 50-byte strings that start in one with a smaller id."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), 50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, deciding host rule and verdict of every page's url."""
     return urls.judge(table(spark, sf_dir, "pages"))
@@ -72,6 +78,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_simhash": op4_simhash,
     "op5_decontaminate": op5_decontaminate,
