@@ -8,11 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, imatch, langid, secrets, simhash, suffixdedup, tokenfile, urls
+from . import bpe, decontaminate, imatch, katz, langid, secrets, simhash, suffixdedup, tokenfile, urls
 from ..session import scratch_path
 from .common import id_remainder, table
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff and add-one scores of every document, learnt from those whose crc32(doc_id) mod 7 is not 2."""
+    found = katz.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) != 2)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without 50-byte strings that start in one with a smaller id."""
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), 50).select(
@@ -78,6 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz": op1_katz,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_simhash": op4_simhash,

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sliced, stored
+from .packing import differs, expand, runs, squeeze
 
 GRAM = 24
 #: Anchors, and contexts, that a task holds before it sends them; bounds its memory.
@@ -74,46 +75,13 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def _squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers as one compressed blob of byte planes."""
-    out = []
-    for a in arrays:
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T
-        out += [len(a).to_bytes(8, "little"), a.dtype.itemsize.to_bytes(8, "little"), np.ascontiguousarray(planes).tobytes()]
-    return zstandard.compress(b"".join(out), 3)
-
-
-def _expand(blob: bytes, *types: type) -> list[np.ndarray]:
-    data, at, out = zstandard.decompress(blob), 0, []
-    for kind in types:
-        n, width = (int.from_bytes(data[at + i:at + i + 8], "little") for i in (0, 8))
-        planes = np.frombuffer(data, np.uint8, n * width, at + 16).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(-1) if n else np.zeros(0, kind))
-        at += 16 + n * width
-    return out
-
-
-def _runs(change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First index and size of each run; ``change`` is true where one begins."""
-    first = np.flatnonzero(change)
-    return first, np.diff(np.r_[first, len(change)])
-
-
-def _differs(*columns: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(columns[0]), bool)
-    out[:1] = True
-    for c in columns:
-        out[1:] |= c[1:] != c[:-1]
-    return out
-
-
 def _by_id(ids: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Positions of each id, in order and once."""
     order = np.lexsort((at, ids))
     ids, at = ids[order], at[order]
-    keep = _differs(ids, at)
+    keep = differs(ids, at)
     ids, at = ids[keep], at[keep]
-    first, size = _runs(_differs(ids))
+    first, size = runs(differs(ids))
     for i, n in zip(first.tolist(), size.tolist()):
         yield int(ids[i]), at[i:i + n]
 
@@ -122,7 +90,7 @@ def _held_by_several(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, n
     """Order by (hash, id), and for each row in that order whether its hash has more than one id."""
     order = np.lexsort((ids, hashes))
     h, d = hashes[order], ids[order]
-    first, size = _runs(_differs(h))
+    first, size = runs(differs(h))
     several = d[first] != d[first + size - 1] if len(first) else np.zeros(0, bool)
     return order, np.repeat(several, size)
 
@@ -145,18 +113,18 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         hashes, ids, at = hashes[order], ids[order], at[order]
         # All places of a hash that several documents here hold are known to matter: one is sent for the others.
         yield _sent([(i % buckets, i, p.tobytes(), None) for i, p in _by_id(ids[several], at[several])])
-        lone = ~several | _differs(hashes)
+        lone = ~several | differs(hashes)
         hashes, ids, at = hashes[lone], ids[lone], at[lone]
         bucket = (hashes >> np.uint64(40)).astype(np.int64) % buckets
         order = np.lexsort((at, ids, bucket))
         hashes, ids, at, bucket = hashes[order], ids[order], at[order], bucket[order]
-        first, size = _runs(_differs(bucket))
+        first, size = runs(differs(bucket))
         for lo, n in zip(first.tolist(), size.tolist()):
             part = slice(lo, lo + n)
-            starts, counts = _runs(_differs(ids[part]))
+            starts, counts = runs(differs(ids[part]))
             low = hashes[part] & np.uint64(0xFFFFFFFFFF)
             gaps = np.diff(at[part].astype(np.int64), prepend=0).astype(np.int32)  # starts anew, as a negative gap, with each document
-            yield _sent([(int(bucket[lo]), None, None, _squeeze(
+            yield _sent([(int(bucket[lo]), None, None, squeeze(
                 low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), gaps, np.diff(ids[part][starts], prepend=0), counts.astype(np.int32)))])
 
     for batch in sliced(batches):
@@ -206,7 +174,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         parts = []
         for _, _, blob in rows:
-            low, high, gaps, ids, counts = _expand(blob, np.uint32, np.uint8, np.int32, np.int64, np.int32)
+            low, high, gaps, ids, counts = expand(blob, np.uint32, np.uint8, np.int32, np.int64, np.int32)
             parts.append((low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), np.repeat(np.cumsum(ids), counts), np.cumsum(gaps, dtype=np.int64).astype(np.uint32)))
         hashes, ids, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
         order, several = _held_by_several(hashes, ids)
@@ -238,13 +206,13 @@ class Contexts:
 
     def pack(self) -> bytes:
         pairs, which = np.unique(np.stack([self.ids, self.texts], 1), axis=0, return_inverse=True)
-        small = _squeeze(self.left, self.right, self.at, which.reshape(-1).astype(np.uint32), pairs[:, 0].copy(), pairs[:, 1].copy())
+        small = squeeze(self.left, self.right, self.at, which.reshape(-1).astype(np.uint32), pairs[:, 0].copy(), pairs[:, 1].copy())
         return len(small).to_bytes(8, "little") + small + zstandard.compress(self.around.tobytes(), 3)
 
     @staticmethod
     def unpack(blob: bytes) -> Contexts:
         n = int.from_bytes(blob[:8], "little")
-        left, right, at, which, ids, texts = _expand(blob[8:8 + n], np.uint8, np.uint8, np.uint32, np.uint32, np.int64, np.int64)
+        left, right, at, which, ids, texts = expand(blob[8:8 + n], np.uint8, np.uint8, np.uint32, np.uint32, np.int64, np.int64)
         around = np.frombuffer(zstandard.decompress(blob[8 + n:]), np.uint8).reshape(len(left), -1)
         return Contexts(around, left, right, ids[which], texts[which], at)
 
@@ -256,7 +224,7 @@ class Contexts:
                                 self.left[:, None], self.right[:, None]], axis=1)
         text = np.ascontiguousarray(whole).view(f"S{width + 2}").reshape(-1)
         order = np.lexsort((self.ids, text))
-        return self.take(order), _differs(text[order])
+        return self.take(order), differs(text[order])
 
     def grams(self) -> np.ndarray:
         reach = (self.around.shape[1] - GRAM) // 2
@@ -331,7 +299,7 @@ def _marked(c: Contexts, marks: np.ndarray, buckets: int) -> pa.RecordBatch:
     c, marks = c.take(on), marks[on]
     order = np.lexsort((c.at, c.texts, c.ids))
     c, marks = c.take(order), marks[order]
-    first, size = _runs(_differs(c.ids, c.texts))
+    first, size = runs(differs(c.ids, c.texts))
     blobs = [c.at[i:i + n].tobytes() + marks[i:i + n].tobytes() for i, n in zip(first.tolist(), size.tolist())]
     none = pa.nulls(len(first), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array((c.texts[first] % buckets).astype(np.int32)), pa.array(c.ids[first]), pa.array(c.texts[first]),
@@ -344,7 +312,7 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
 
     def flush() -> Iterator[pa.RecordBatch]:
         c, begins = Contexts.joined(parts).classes()
-        least = np.repeat(c.ids[begins], _runs(begins)[1])
+        least = np.repeat(c.ids[begins], runs(begins)[1])
         # A context that a smaller document of this task has as well is a repeat for all its strings.
         yield _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)
         c = c.take(c.ids == least)
@@ -354,7 +322,7 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         bucket = ((mixed ^ mixed >> np.uint64(29)) * _M2 >> np.uint64(33)).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
         c, bucket = c.take(order), bucket[order]
-        first, size = _runs(_differs(bucket))
+        first, size = runs(differs(bucket))
         for i, n in zip(first.tolist(), size.tolist()):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket[i]], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
@@ -398,13 +366,13 @@ def _match(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
                 passed = []
             continue
         c, begins = Contexts.joined([Contexts.unpack(r[3]) for r in rows]).classes()
-        first, size = _runs(begins)
+        first, size = runs(begins)
         least = np.repeat(c.ids[first], size)
         yield out(_marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets))
         # One row of each context stands for all rows of its smallest document in the suffix order.
         context = np.repeat(np.arange(len(first)), size)
         stand = c.take(first)
-        gram_first, gram_size = _runs(_differs(stand.grams()))
+        gram_first, gram_size = runs(differs(stand.grams()))
         marks = np.zeros(len(first), np.uint64)
         several = gram_size > 1
         lo, chunk, count = 0, [], 0
