@@ -6,10 +6,8 @@ metric_value, category, [subcategory, metadata], created_at``.
 Scale notes.  Categories are few, so a category can hold a third of all
 rows.  Count / sum / avg / min / max / stddev / variance are mergeable and
 partially aggregated before the shuffle.  Exact percentiles and the
-LAG / LEAD trend columns use the operators of ``ordered``: a size check on
-the largest category picks Spark's own window / percentile when it fits a
-task, and the range-partitioned form otherwise, so no task ever has to
-hold a whole hot category.  Windows over
+LAG / LEAD trend columns use the operators of ``ordered``, so no task ever
+has to hold a whole hot category.  Windows over
 *aggregated* rows (one row per category, or per period) are bounded by
 the number of categories or periods and run in one partition.
 """
@@ -21,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.rules import first_match
-from .ordered import exact_percentiles, fits_one_task, neighbors
+from .ordered import exact_percentiles, neighbors
 
 # Volatility label cuts of the reference.
 VOLATILITY_LABELS = [(100, "Low Volatility"), (500, "Medium Volatility")]
@@ -57,8 +55,7 @@ def recent_metrics(df: DataFrame, as_of=None, days: int = 7,
             .select(*columns))
 
 
-def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
-                            max_group_rows: int | None = None) -> DataFrame:
+def metric_summary_advanced(df: DataFrame) -> DataFrame:
     """AG-09 + WN-01..03: the reference's ``analytics_summary_advanced`` view, as written.
 
     The view groups by ``(category, subcategory, metric_value, created_at)``,
@@ -70,9 +67,6 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
     """
     v = F.col("metric_value")
     keys = ["category", "subcategory", "metric_value", "created_at"]
-    # Input rows per category bound the grouped rows per category: check the
-    # cheap key-only projection instead of recomputing the grouping.
-    fits = fits_one_task(df.filter(v.isNotNull()), ["category"], max_group_rows)
     grouped = (df.filter(v.isNotNull())
                .groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("metric_count"),
@@ -83,8 +77,8 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
                     F.stddev_samp(v).alias("std_deviation"),
                     F.var_samp(v).alias("variance"))
                .withColumns({"median_value": v.cast("double"), "p95_value": v.cast("double")}))
-    nb = neighbors(grouped, ["category"], ["created_at", "subcategory", "metric_value"], "metric_value",
-                   "prev_value", "next_value", num_partitions, fits=fits)
+    nb = neighbors(grouped, ["category"], ["created_at", "subcategory", "metric_value"],
+                   D.trunc_ts("minute", "created_at"), "metric_value")
     prev = F.col("prev_value")
     nb = nb.withColumn("growth_rate_percent", F.when(prev > 0, (v - prev) / prev * 100))
     return nb.select("category", "subcategory", "metric_count", "avg_value", "median_value", "p95_value",
@@ -92,22 +86,18 @@ def metric_summary_advanced(df: DataFrame, num_partitions: int | None = None,
                      "prev_value", "next_value", "growth_rate_percent", "created_at", "metric_value")
 
 
-def metric_stats(df: DataFrame, group_cols=("category", "subcategory"),
-                 num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+def metric_stats(df: DataFrame, group_cols=("category", "subcategory")) -> DataFrame:
     """AG-10..12: the same statistics at a grain where they mean something.
 
     Exact interpolated median and p95 (``PERCENTILE_CONT``) come from
-    ``exact_percentiles``, which also computes the mergeable statistics: in
-    one aggregate when the largest group fits a task, otherwise on the
-    range-partitioned path with the statistics joined on the group keys.
+    ``exact_percentiles``, which carries the mergeable statistics along.
     """
     g = list(group_cols)
     v = F.col("metric_value")
     stats = [F.avg(v).alias("avg_value"), F.max(v).alias("max_value"), F.min(v).alias("min_value"),
              F.sum(v).alias("total_value"), F.stddev_samp(v).alias("std_deviation"),
              F.var_samp(v).alias("variance")]
-    out = exact_percentiles(df, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95},
-                            num_partitions, max_group_rows, extra_aggs=stats)
+    out = exact_percentiles(df, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95}, extra_aggs=stats)
     out = out.withColumnRenamed("n", "metric_count")
     return out.select(*g, "metric_count", "avg_value", "median_value", "p95_value", "max_value",
                       "min_value", "total_value", "std_deviation", "variance")
@@ -151,10 +141,13 @@ def category_report(df: DataFrame, category: str = "Financial", as_of=None, days
 
 
 def metadata_lookup(df: DataFrame, key: str, col: str = "metadata", cast: str | None = None) -> DataFrame:
-    """FN-15: look up one key of a JSON metadata column (``metadata ->> key``)."""
+    """FN-15: look up one key of a JSON metadata column (``metadata ->> key``).
+
+    With ``cast``, a value that isn't of that type becomes NULL.
+    """
     val = F.get_json_object(F.col(col), f"$.{key}")
     if cast:
-        val = val.cast(cast)
+        val = val.try_cast(cast)
     return df.withColumn(f"meta_{key}", val)
 
 

@@ -1,26 +1,20 @@
 """Order-dependent operators that stay distributed when one group is huge.
 
-``PERCENTILE_CONT`` and ``LAG``/``LEAD OVER (PARTITION BY g ORDER BY t)`` are
-normally evaluated with the whole group ``g`` inside one task.  The metric
-tables group by *category*, a handful of values, so one group can hold a
-third of all rows.  Both operators here range-partition on ``(g, order)``
-instead: a hot group spans many partitions, each task sorts only its own
-slice, and a small per-partition edge table (at most ``#groups +
-#partitions`` rows) stitches the slices back together.
-
-Each operator first checks the size of the largest group with one
-partially aggregated count.  When it provably fits one task
-(``max_group_rows``, default 2,000,000 rows, session setting
-``ledgerlight.ordered.maxGroupRows``) Spark's own window / ``percentile``
-is used; beyond that the sliced path below.  Both give the same result.
-
-The range-partitioned frame is read twice (slices and edge table).  Range
-bounds come from sampling, and two exchanges -- or a recomputation after an
-executor loss -- may sample differently, so the partition ids would not
-agree.  The ranged frame is therefore written once as a Parquet table under
-the cluster's shared ``spark.checkpoint.dir`` and read back, which pins the
-ids and cuts the lineage.  The sort keys must be a total order
-(add a unique tie-breaker) so results do not depend on arrival order.
+``PERCENTILE_CONT`` and ``LAG``/``LEAD``/running max ``OVER (PARTITION BY g ORDER BY t)`` are
+normally evaluated with the whole group ``g`` inside one task.  The metric tables group by
+*category*, a handful of values, so one group can hold a third of all rows.  Each operator here
+has one form, used at every size:
+
+* Percentiles select by rank over the bits of the value: three rounds count the group's rows by the
+  next bits of an order-preserving key and keep the one cell that holds the wanted rank, so a task
+  sees counts of at most ``2**22`` cells, whatever the number of rows.
+* Neighbours and running maxima cut a group into slices, given by a function of the order column
+  (a minute, a block of bucket numbers), so a row's slice depends on the row alone and recomputation
+  after a lost executor finds the same slices.  Windows run inside slices; a small edge table (one row
+  a slice) carries values across their borders.
+
+Nothing runs while a plan is built.  The sort keys must be a total order (add a unique tie-breaker)
+so results do not depend on arrival order.
 """
 
 from __future__ import annotations
@@ -30,53 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def _max_group_rows(df: DataFrame, given: int | None) -> int:
-    if given is not None:
-        return given
-    conf = df.sparkSession.conf.get("ledgerlight.ordered.maxGroupRows", None)
-    return int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
-
-
-def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None) -> bool:
-    """Size check: does the largest ``keys`` group hold at most ``max_group_rows`` rows?
-
-    One partially aggregated count over the key columns only (column pruning
-    reads nothing else; skew-safe) and a single number on the driver.  Pass
-    a frame *upstream* of an aggregation to bound its groups cheaply: input
-    rows per key bound the aggregated rows per key.
-    """
-    limit = _max_group_rows(df, max_group_rows)
-    if limit <= 0:
-        return False
-    slim = df.select(*keys) if keys else df.select(F.lit(1).alias("_one"))
-    counted = slim.groupBy(*keys).count() if keys else slim.select(F.count(F.lit(1)).alias("count"))
-    biggest = counted.agg(F.max("count")).first()[0]
-    return biggest is None or biggest <= limit
-
-
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _pinned_ranges(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
-    """Range-partition on ``keys``, tag each row with its partition id, and
-    pin the result as a Parquet table in the shared scratch folder, so every
-    later reader -- and any recomputation after an executor loss -- sees the
-    same ids.  One write job (plus the range sampling), columnar and
-    compressed, instead of an RDD checkpoint's extra passes.
-    """
-    path = scratch_path(df.sparkSession, "slices")
-    df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()) \
-      .write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+#: Shifts of the three rounds of a percentile: 22, 21 and 21 bits of the key each.
+KEY_SHIFTS = (42, 21, 0)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -90,168 +39,98 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: dict[str, float], num_partitions: int | None = None,
-                      max_group_rows: int | None = None, extra_aggs: Sequence[Column] = ()) -> DataFrame:
-    """Exact ``PERCENTILE_CONT`` per group without collecting a group in one task.
+def ordered_key(value: str | Column) -> Column:
+    """A BIGINT that sorts as the DOUBLE ``value`` does (NaN last): its bits, negative ones turned round."""
+    v = F.col(value) if isinstance(value, str) else value
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v).cast("bigint")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
 
-    Returns ``group_cols + [n] + list(probs)``.  Steps:
 
-    1. distinct values with counts per group (partial aggregation);
-    2. range-partition on ``(group, value)``; per ``(group, partition)`` count
-       rows and turn them into a running offset (edge table, bounded by
-       ``#groups + #partitions`` rows);
-    3. inside each ``(group, partition)`` slice a running count gives each
-       distinct value its row-rank interval;
-    4. keep the rows holding ranks ``floor(p(n-1))`` and ``ceil(p(n-1))`` and
-       interpolate ``lo + (pos - floor(pos)) * (hi - lo)``.
+def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                      probs: dict[str, float], extra_aggs: Sequence[Column] = ()) -> DataFrame:
+    """Exact ``PERCENTILE_CONT`` per group without collecting a group in one task.
 
-    NULL values are ignored, as by the SQL aggregate.  ``extra_aggs`` (named
-    aggregate columns over the non-NULL rows) are computed alongside: in the
-    same aggregate on the fast path, in one more aggregate joined on the
-    group keys on the sliced path.
+    Returns ``group_cols + [n] + list(probs) + extra_aggs`` (named aggregates over the non-NULL rows).
+    The row at rank ``floor(p(n-1))`` and that at ``ceil(p(n-1))`` are selected by bits (module text),
+    then interpolated as ``lo + (pos - floor(pos)) * (hi - lo)``.  NULL values are ignored, as by
+    the SQL aggregate; a NULL group key is a group.
     """
+    if not group_cols:
+        return exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value_col, probs, extra_aggs).drop("_all")
     g = list(group_cols)
-    P = _num_partitions(df, num_partitions)
-    freq = (df.filter(F.col(value_col).isNotNull())
-            .groupBy(*g, F.col(value_col).cast("double").alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_c")))
-    if fits_one_task(df.filter(F.col(value_col).isNotNull()), g, max_group_rows):
-        # Small groups: Spark's exact percentile keeps one (value -> count)
-        # map per group, bounded by the group's rows just checked.
-        v = F.col(value_col).cast("double")
-        return (df.filter(v.isNotNull()).groupBy(*g)
-                .agg(F.count(F.lit(1)).alias("n"), *extra_aggs,
-                     *[F.percentile(v, float(p)).alias(name) for name, p in probs.items()]))
-    ranged = _pinned_ranges(freq, P, [F.col(c).asc_nulls_first() for c in g] + [F.col("_v").asc()])
-    edges = ranged.groupBy(*g, "_pid").agg(F.sum("_c").alias("_bc"))
-    ew = Window.partitionBy(*g).orderBy("_pid")
-    edges = edges.select(*g, "_pid",
-                         F.coalesce(F.sum("_bc").over(ew.rowsBetween(Window.unboundedPreceding, -1)),
-                                    F.lit(0)).alias("_before"),
-                         F.sum("_bc").over(Window.partitionBy(*g)).alias("n"))
-    slice_w = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding,
-                                                                         Window.currentRow)
-    ranked = null_safe_join(ranged, edges, g + ["_pid"])
-    ranked = ranked.withColumn("_start", F.col("_before") + F.sum("_c").over(slice_w) - F.col("_c"))
-    start, end = F.col("_start"), F.col("_start") + F.col("_c")
-    hits = None
-    targets = {}
-    for name, p in probs.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1).cast("double")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        has_lo = (start <= lo) & (lo < end)
-        has_hi = (start <= hi) & (hi < end)
-        targets[name] = (pos, has_lo, has_hi)
-        h = has_lo | has_hi
-        hits = h if hits is None else hits | h
-    picked = ranked.filter(hits)
-    aggs = [F.first("n").alias("n")]
-    for name, (pos, has_lo, has_hi) in targets.items():
-        aggs += [F.max(F.when(has_lo, F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(has_hi, F.col("_v"))).alias(f"_{name}_hi"),
-                 F.first(pos).alias(f"_{name}_pos")]
-    res = picked.groupBy(*g).agg(*aggs)
-    outs = []
-    for name in probs:
-        lo_v, hi_v, pos = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_pos")
-        outs.append((lo_v + (pos - F.floor(pos)) * (hi_v - lo_v)).alias(name))
-    out = res.select(*g, "n", *outs)
-    if extra_aggs:
-        extra = df.filter(F.col(value_col).isNotNull()).groupBy(*g).agg(*extra_aggs)
-        out = null_safe_join(out, extra, g)
-    return out
-
-
-def slice_frame(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-                num_partitions: int | None = None) -> DataFrame:
-    """Range-slice ``df`` on ``partition_cols + order_cols`` and pin the slice id ``_pid``.
+    rows = df.filter(F.col(value_col).isNotNull())
+    freq = (rows.groupBy(*g, F.col(value_col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_key", ordered_key("_v")))
+    totals = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), *extra_aggs)
+
+    def position(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("n") - 1).cast("double")
+
+    wanted = F.array(*[F.struct(F.lit(2 * i + up).alias("_t"), edge(position(p)).cast("bigint").alias("_rank"))
+                       for i, p in enumerate(probs.values()) for up, edge in enumerate((F.floor, F.ceil))])
+    targets = totals.select(*g, F.explode(wanted).alias("_w")).select(*g, "_w._t", "_w._rank", F.lit(0).cast("bigint").alias("_cell"))
+    for i, shift in enumerate(KEY_SHIFTS):
+        parent = F.lit(0).cast("bigint") if i == 0 else F.shiftright("_key", KEY_SHIFTS[i - 1])
+        inside = null_safe_join(freq.withColumn("_cell", parent), targets.drop("_v"), [*g, "_cell"])
+        cells = (inside.groupBy(*g, "_t", "_rank", F.shiftright("_key", shift).alias("_cell"))
+                 .agg(F.sum("_c").alias("_n"), F.min("_v").alias("_v")))
+        upto = F.sum("_n").over(Window.partitionBy(*g, "_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        targets = (cells.withColumn("_upto", upto).filter((F.col("_upto") - F.col("_n") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
+                   .select(*g, "_t", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"), "_cell", "_v"))
+    values = targets.groupBy(*g).agg(*[F.max(F.when(F.col("_t") == t, F.col("_v"))).alias(f"_v{t}") for t in range(2 * len(probs))])
+    out = null_safe_join(totals, values, g)
+    for i, (name, p) in enumerate(probs.items()):
+        low, high, pos = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), position(p)
+        # Equal neighbours stay as they are, infinite ones too.
+        out = out.withColumn(name, F.when(low == high, low).otherwise(low + (pos - F.floor(pos)) * (high - low)))
+    return out.drop(*[f"_v{t}" for t in range(2 * len(probs))])
+
+
+def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column], slice_by: Column,
+              value_col: str, prev_name: str | None = "prev_value", next_name: str | None = "next_value") -> DataFrame:
+    """``LAG(v, 1)`` and ``LEAD(v, 1) OVER (PARTITION BY p ORDER BY o)`` for hot partitions.
 
-    The result can feed several ``*_on_slices`` operators without being
-    re-sliced: they all see the same, pinned ``_pid``.
+    ``order_cols`` (ascending) must make the order total within a partition; ``slice_by`` must not
+    fall as the order rises.  Lag and lead run inside each slice; the first and last row of a slice
+    take theirs from the neighbouring slice through the edge table.
     """
-    oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    return _pinned_ranges(df, _num_partitions(df, num_partitions),
-                          [F.col(c).asc_nulls_first() for c in partition_cols] + oc)
-
-
-def neighbors_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-                        value_col: str, prev_name: str | None = "prev_value",
-                        next_name: str | None = "next_value") -> DataFrame:
-    """``LAG`` / ``LEAD`` of ``value_col`` on a frame from ``slice_frame`` (keeps ``_pid``)."""
     pc = list(partition_cols)
     oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    w = Window.partitionBy("_pid", *pc).orderBy(*oc)
+    sliced = df.withColumn("_slice", slice_by)
+    w = Window.partitionBy(*pc, "_slice").orderBy(*oc)
     cols = {"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull()}
     if prev_name:
         cols["_lag"] = F.lag(value_col).over(w)
     if next_name:
         cols["_lead"] = F.lead(value_col).over(w)
-    ranged = sliced.withColumns(cols)
     okey = F.struct(*oc)
-    edges = sliced.groupBy("_pid", *pc).agg(F.min_by(value_col, okey).alias("_fv"),
-                                           F.max_by(value_col, okey).alias("_lv"))
-    ew = Window.partitionBy(*pc).orderBy("_pid")
-    edges = edges.select("_pid", *pc, F.lag("_lv").over(ew).alias("_in_prev"),
-                         F.lead("_fv").over(ew).alias("_in_next"))
-    out = null_safe_join(ranged, edges, ["_pid"] + pc)
+    edges = sliced.groupBy(*pc, "_slice").agg(F.min_by(F.struct(value_col), okey).alias("_fv"),
+                                              F.max_by(F.struct(value_col), okey).alias("_lv"))
+    ew = Window.partitionBy(*pc).orderBy("_slice")
+    edges = edges.select(*pc, "_slice", F.lag("_lv").over(ew)[value_col].alias("_in_prev"),
+                         F.lead("_fv").over(ew)[value_col].alias("_in_next"))
+    out = null_safe_join(sliced.withColumns(cols), edges, [*pc, "_slice"])
     new = {}
     if prev_name:
         new[prev_name] = F.when(F.col("_first"), F.col("_in_prev")).otherwise(F.col("_lag"))
     if next_name:
         new[next_name] = F.when(F.col("_last"), F.col("_in_next")).otherwise(F.col("_lead"))
-    out = out.withColumns(new)
-    return out.drop("_lag", "_lead", "_first", "_last", "_in_prev", "_in_next")
+    return out.withColumns(new).drop("_lag", "_lead", "_first", "_last", "_in_prev", "_in_next", "_slice")
 
 
-def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-              value_col: str, prev_name: str = "prev_value", next_name: str = "next_value",
-              num_partitions: int | None = None, max_group_rows: int | None = None,
-              fits: bool | None = None) -> DataFrame:
-    """``LAG(v, 1)`` and ``LEAD(v, 1) OVER (PARTITION BY p ORDER BY o)`` for hot partitions.
+def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column], slice_by: Column,
+                value_col: str, out_col: str) -> DataFrame:
+    """``MAX(v) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING)`` for hot partitions.
 
-    ``order_cols`` (ascending) must make the order total within a partition.
-    The frame is range-partitioned on ``p + o``; lag / lead are computed
-    inside each slice, and the first / last row of a slice takes its value
-    from the neighbouring slice through a bounded edge table.  ``fits`` skips
-    the size check when the caller already bounded the groups upstream.
+    Slices as in :func:`neighbors`: a running max inside each, and the max of all earlier slices of
+    the same partition from the edge table.
     """
-    if fits if fits is not None else fits_one_task(df, list(partition_cols), max_group_rows):
-        oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-        w = Window.partitionBy(*partition_cols).orderBy(*oc)
-        return df.withColumns({prev_name: F.lag(value_col).over(w), next_name: F.lead(value_col).over(w)})
-    sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
-    return neighbors_on_slices(sliced, partition_cols, order_cols, value_col, prev_name, next_name).drop("_pid")
-
-
-def running_max_on_slices(sliced: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-                          value_col: str, out_col: str) -> DataFrame:
-    """Running max on a frame from ``slice_frame`` (keeps ``_pid``)."""
     pc = list(partition_cols)
     oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    w = Window.partitionBy("_pid", *pc).orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = sliced.withColumn("_inner", F.max(value_col).over(w))
-    edges = sliced.groupBy("_pid", *pc).agg(F.max(value_col).alias("_slice_max"))
-    ew = Window.partitionBy(*pc).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select("_pid", *pc, F.max("_slice_max").over(ew).alias("_carry"))
-    out = null_safe_join(ranged, edges, ["_pid"] + pc)
-    out = out.withColumn(out_col, F.greatest(F.col("_inner"), F.col("_carry")))
-    return out.drop("_inner", "_carry")
-
-
-def running_max(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
-                value_col: str, out_col: str, num_partitions: int | None = None,
-                max_group_rows: int | None = None) -> DataFrame:
-    """``MAX(v) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING)`` for hot partitions.
-
-    Same slicing as ``neighbors``: a running max inside each range slice, and
-    the max of all earlier slices of the same partition carried in from the
-    bounded edge table.
-    """
-    if fits_one_task(df, list(partition_cols), max_group_rows):
-        oc = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-        w = Window.partitionBy(*partition_cols).orderBy(*oc).rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)
-        return df.withColumn(out_col, F.max(value_col).over(w))
-    sliced = slice_frame(df, partition_cols, order_cols, num_partitions)
-    return running_max_on_slices(sliced, partition_cols, order_cols, value_col, out_col).drop("_pid")
+    sliced = df.withColumn("_slice", slice_by)
+    w = Window.partitionBy(*pc, "_slice").orderBy(*oc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = sliced.groupBy(*pc, "_slice").agg(F.max(value_col).alias("_slice_max"))
+    ew = Window.partitionBy(*pc).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*pc, "_slice", F.max("_slice_max").over(ew).alias("_carry"))
+    out = null_safe_join(sliced.withColumn("_inner", F.max(value_col).over(w)), edges, [*pc, "_slice"])
+    return out.withColumn(out_col, F.greatest(F.col("_inner"), F.col("_carry"))).drop("_inner", "_carry", "_slice")

@@ -11,10 +11,8 @@ breaks inside a bucket: per ``(key, bucket)`` only min / max time, count
 and last value matter, which is a mergeable aggregate (a hot key is
 reduced map-side).  Breaks are then found between consecutive bucket rows
 as a lag of the previous bucket end and a running max of session starts.
-When a size check shows every key's bucket rows fit one task, plain
-windows per key do it; otherwise one range-sliced, checkpointed copy of
-the bucket rows, so even the bucket rows of a hot key are never gathered
-into one task.
+A key's buckets are cut into blocks of ``SLICE_BUCKETS`` numbers, so even
+the bucket rows of a hot key are never gathered into one task.
 
 Streaming form: ``withWatermark`` + ``session_window`` + ``max_by``; state is
 kept per key and dropped once the watermark passes a session's end.
@@ -25,15 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import int_div
-from pyspark.sql import Window
-
-from ..operators.ordered import fits_one_task, neighbors_on_slices, running_max_on_slices, slice_frame
+from ..operators.ordered import neighbors, running_max
 
 # Fixed value: the reference's debounce delay (300 ms).  The registered
 # query uses a 30-minute gap on the events table (FIXTURES.md).
 DEBOUNCE_DELAY = "300 milliseconds"
 
+#: Consecutive buckets of a key that one task orders; a power of two.
+SLICE_BUCKETS = 4096
+
 
 def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
@@ -47,8 +45,7 @@ def _gap_micros(gap: str) -> int:
     return int(float(num) * scale)
 
 
-def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: str | None = None,
-             num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: str | None = None) -> DataFrame:
     """Sessions per ``key`` with their last value.
 
     Returns ``key, session_start, session_end, last_ts, last_value, n_events``.
@@ -57,7 +54,9 @@ def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: s
     g = _gap_micros(gap)
     order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.struct(F.col(ts))
     ev = df.select(key, ts, value, order.alias("_ord"), _micros(ts).alias("_us"))
-    buckets = (ev.groupBy(key, int_div(F.col("_us"), F.lit(g)).alias("_bucket"))
+    # Floor division, so buckets before 1970 are as wide as those after.
+    floor = (F.col("_us") - F.pmod(F.col("_us"), F.lit(g)))
+    buckets = (ev.groupBy(key, F.call_function("div", floor, F.lit(g)).alias("_bucket"))
                .agg(F.min("_us").alias("_min_us"), F.max("_us").alias("_max_us"),
                     F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"),
                     F.count(F.lit(1)).alias("_n"),
@@ -65,17 +64,10 @@ def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: s
     def start_of(prev):
         return F.when(prev.isNull() | (F.col("_min_us") - prev >= F.lit(g)), F.col("_bucket"))
 
-    if fits_one_task(buckets, [key], max_group_rows):
-        # Every key's bucket rows fit one task: plain windows per key.
-        w = Window.partitionBy(key).orderBy("_bucket")
-        sess = buckets.withColumn("_start_bucket", start_of(F.lag("_max_us").over(w))) \
-                      .withColumn("_session", F.max("_start_bucket").over(
-                          w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    else:
-        sliced = slice_frame(buckets, [key], ["_bucket"], num_partitions)
-        nb = neighbors_on_slices(sliced, [key], ["_bucket"], "_max_us", "_prev_max_us", None)
-        nb = nb.withColumn("_start_bucket", start_of(F.col("_prev_max_us")))
-        sess = running_max_on_slices(nb, [key], ["_bucket"], "_start_bucket", "_session")
+    block = F.shiftright("_bucket", SLICE_BUCKETS.bit_length() - 1)
+    nb = neighbors(buckets, [key], ["_bucket"], block, "_max_us", "_prev_max_us", None)
+    nb = nb.withColumn("_start_bucket", start_of(F.col("_prev_max_us")))
+    sess = running_max(nb, [key], ["_bucket"], block, "_start_bucket", "_session")
     out = (sess.groupBy(key, "_session")
            .agg(F.min("_first_ts").alias("session_start"),
                 F.max("_last_ts").alias("last_ts"),

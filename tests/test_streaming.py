@@ -8,6 +8,8 @@ import time
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from conftest import SMALL
 from ledgerlight.plans.stream_queries import EVENT_FIELDS, message_log
 from ledgerlight.sources import tables as T
@@ -16,13 +18,28 @@ from ledgerlight.streaming.sessions import debounce, debounce_stream
 
 
 def test_debounce_batch_fixture_count(spark):
-    """FIXTURES.md: 946 sessions at sf0.001 with a 30-minute gap, on both plan paths."""
+    """FIXTURES.md: 946 sessions at sf0.001 with a 30-minute gap."""
+    ev = T.events(spark, SMALL)
+    got = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
+    assert got.count() == 946
+    assert got.agg(F.sum("n_events")).first()[0] == ev.count()
+
+
+def test_debounce_sessions_do_not_depend_on_the_block_size(spark, monkeypatch):
+    from ledgerlight.streaming import sessions
     ev = T.events(spark, SMALL)
-    fast = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
-    sliced = debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id", max_group_rows=0)
-    assert fast.count() == 946
-    assert fast.agg(F.sum("n_events")).first()[0] == ev.count()
-    assert fast.exceptAll(sliced).count() == 0 and sliced.exceptAll(fast).count() == 0
+    want = debounce(ev, "user_id", "ts", "value", "2 days", tiebreak="event_id")
+    monkeypatch.setattr(sessions, "SLICE_BUCKETS", 2)
+    got = debounce(ev, "user_id", "ts", "value", "2 days", tiebreak="event_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("day", [dt.datetime(1969, 12, 31), dt.datetime(2020, 12, 31)])
+def test_debounce_splits_a_pause_around_the_epoch_as_elsewhere(spark, day):
+    at = [day.replace(hour=23, minute=35), day.replace(hour=23, minute=50), day + dt.timedelta(days=1, minutes=25)]
+    ev = spark.createDataFrame([(1, t, float(i)) for i, t in enumerate(at)], "user_id int, ts timestamp_ntz, value double")
+    got = sorted((r.session_start, r.n_events, r.last_value) for r in debounce(ev, "user_id", "ts", "value", "30 minutes").collect())
+    assert got == [(at[0], 2, 1.0), (at[2], 1, 2.0)]
 
 
 def test_debounce_stream_equals_batch_on_closed_sessions(spark, tmp_dir):
