@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
             for name, path in daily_etl(spark, args.source, args.target, args.as_of).items():
                 print(f"{name}\t{path}")
         else:
-            df = catalog.queries()[args.key](spark, args.source)
+            df = catalog.load_all()[args.key].build(spark, args.source)
             w = df.write.mode("overwrite")
             if args.format == "csv":
                 w = w.option("header", "true")

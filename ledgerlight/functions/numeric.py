@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-TIE_NUDGE = 0.500001  # 0.5 plus the 1e-6 tie lift, written as one literal
-
-
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -20,17 +17,13 @@ def int_div(a: str | Column, b: str | Column) -> Column:
 
 
 def round_half_away(col: str | Column, digits: int) -> Column:
-    """``ROUND(x, d)`` half away from zero, as plain IEEE arithmetic.
+    """``ROUND(x, d)`` half away from zero, on the value's first ten decimals.
 
-    Written as ``sign(x) * floor(|x| * 10^d + 0.5 + 1e-6) / 10^d`` so any
-    engine doing the same IEEE operations gets bit-identical results.  The
-    ``1e-6`` (in units of the last kept digit) lifts values that are an
-    exact decimal tie -- common for sums of money -- but carry a few ulps of
-    summation error below it, so ties always round away from zero.
+    The DOUBLE becomes a DECIMAL first, so 2.675 that a sum left a few ulps short is a tie again, while
+    1.0049999999 is not.  Values that don't fit (NaN, infinities, over 28 digits) stay as they are.
     """
     c = _c(col).cast("double")
-    k = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * k + TIE_NUDGE) / k
+    return F.coalesce(F.round(c.try_cast("decimal(38,10)"), digits).cast("double"), c)
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
@@ -41,18 +34,11 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 def settle_doubles(df: DataFrame, bits: int = 20) -> DataFrame:
     """Snap every DOUBLE column to the nearest multiple of ``2**-bits`` (about 1e-6).
 
-    Used by the query registry so results compare across engines whose
-    floating-point sums differ in the last bits; library operators return
-    full precision.  A binary grid is used on purpose: no terminating
-    decimal (money, averages of money over 2^k rows) lies exactly on a
-    half-way point of it, so two engines that differ by a few ulps snap to
-    the same value.  Pure IEEE ``floor(x * 2^b + 0.5) / 2^b``.
+    For comparing results across engines whose floating-point sums differ in the last bits; operators
+    and the command line return full precision.  A binary grid is used on purpose: no terminating
+    decimal (money, averages of money over 2^k rows) lies exactly on a half-way point of it.  All in
+    DOUBLE arithmetic, so large values, NaN and infinities pass unchanged.
     """
     k = float(2 ** bits)
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            cols.append((F.floor(F.col(f.name) * k + 0.5) / k).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+    return df.select(*[(F.rint(F.col(f.name) * k) / k).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                       for f in df.schema.fields])

@@ -6,56 +6,49 @@ from ..operators import customers as C
 from ..sources import tables as T
 from .catalog import register
 from .sqltext import SALES_AS_OF as AS_OF
-from .sqltext import STAGING_SALES, case_cuts, case_first, case_in, case_segments, whole_days
-
-_LAST = whole_days(AS_OF, "last_order_date")
-_FIRST = whole_days(AS_OF, "first_order_date")
+from . import oracle_rules as R
+from .sqltext import STAGING_SALES, whole_days
 
+# Lines are summed by customer and product first, so products are counted as rows.
 ORDERS_CTE = f"""
-per_customer AS (
-    SELECT customer_id, COUNT(*) AS total_orders, SUM(order_value) AS total_spent,
-           AVG(order_value) AS avg_order_value, MAX(order_date) AS last_order_date,
-           MIN(order_date) AS first_order_date, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
-           COUNT(DISTINCT product_id) AS unique_products_purchased
-    FROM staging_sales
-    WHERE order_date >= DATE '{AS_OF}' - INTERVAL '1 year'
-    GROUP BY customer_id
+bought AS (
+    SELECT customer_id, product_id, COUNT(*) AS n, SUM(order_value) AS v, SUM(quantity) AS q,
+           MAX(order_date) AS latest, MIN(order_date) AS earliest
+    FROM staging_sales WHERE order_date >= DATE '{AS_OF}' - INTERVAL '1 year' GROUP BY ALL
+),
+spending AS (
+    SELECT customer_id, CAST(SUM(n) AS BIGINT) AS total_orders, SUM(v) AS total_spent, SUM(v) / SUM(n) AS avg_order_value,
+           MAX(latest) AS last_order_date, MIN(earliest) AS first_order_date, CAST(SUM(q) AS BIGINT) AS total_quantity,
+           COUNT(*) AS unique_products_purchased
+    FROM bought GROUP BY customer_id
 )"""
 
 RFM_CTE = f"""
-scored AS (
-    SELECT *, {_LAST} AS recency_days, total_orders AS frequency, total_spent AS monetary,
-           {case_cuts(_LAST, "<=", C.RECENCY_DAY_CUTS, C.SCORES, 1)} AS recency_score,
-           {case_cuts("total_orders", ">=", C.FREQUENCY_ORDER_CUTS, C.SCORES, 1)} AS frequency_score,
-           {case_cuts("total_spent", ">=", C.MONETARY_CUTS_MARKETING, C.SCORES, 1)} AS monetary_score
-    FROM per_customer
+aged AS (SELECT *, {whole_days(AS_OF, "last_order_date")} AS recency_days FROM spending),
+points AS (
+    SELECT aged.*, total_orders AS frequency, total_spent AS monetary, recency_band.score AS recency_score,
+           frequency_band.score AS frequency_score, money_band.score AS monetary_score
+    FROM aged JOIN {R.RECENCY_SCORES} ON recency_days > recency_band.above AND recency_days <= recency_band.upto
+              JOIN {R.FREQUENCY_SCORES} ON total_orders >= frequency_band.least AND total_orders < frequency_band.below
+              JOIN {R.MARKETING_MONEY_SCORES} ON total_spent >= money_band.least AND total_spent < money_band.below
 )"""
 
-_BEHAVIOUR = case_first([
-    (f"total_orders >= {C.BEHAVIOUR_ORDERS_CUT} AND avg_order_value >= {C.BEHAVIOUR_AOV_CUT}", "Frequent High-Value"),
-    (f"total_orders >= {C.BEHAVIOUR_ORDERS_CUT} AND avg_order_value < {C.BEHAVIOUR_AOV_CUT}", "Frequent Low-Value"),
-    (f"total_orders < {C.BEHAVIOUR_ORDERS_CUT} AND avg_order_value >= {C.BEHAVIOUR_AOV_CUT}", "Occasional High-Value"),
-], "Occasional Low-Value")
-
 SEGMENTS_CTE = f"""
-labelled AS (
-    SELECT *,
-           CONCAT(recency_score, frequency_score, monetary_score) AS rfm_score,
-           {case_segments(C.MARKETING_SEGMENTS, "recency_score", "frequency_score", "monetary_score",
-                          C.SEGMENT_DEFAULT)} AS customer_segment,
-           {case_cuts("total_spent", ">=", [c for c, _ in C.VALUE_TIERS], [t for _, t in C.VALUE_TIERS],
-                      C.VALUE_TIER_DEFAULT)} AS value_tier,
-           {_BEHAVIOUR} AS purchase_behavior
-    FROM scored
+{R.segment_cells(R.MARKETING_SEGMENT_ROWS, "cells")},
+grouped AS (
+    SELECT points.*, CAST(100 * recency_score + 10 * frequency_score + monetary_score AS VARCHAR) AS rfm_score,
+           cells.label AS customer_segment, tier_band.label AS value_tier,
+           concat(['Occasional', 'Frequent'][1 + CAST(total_orders >= 15 AS INTEGER)],
+                  [' Low-Value', ' High-Value'][1 + CAST(avg_order_value >= 500 AS INTEGER)]) AS purchase_behavior
+    FROM points JOIN cells ON r = recency_score AND f = frequency_score AND m = monetary_score
+                JOIN {R.VALUE_TIER_ROWS} ON total_spent >= tier_band.least AND total_spent < tier_band.below
 )"""
 
 CLV_CTE = f"""
-valued AS (
-    SELECT *,
-           avg_order_value * total_orders * {_FIRST} / 365.0 AS estimated_clv,
-           {_FIRST} AS customer_age_days,
-           total_orders / GREATEST(CAST({_FIRST} AS DOUBLE) / 30.0, 1.0) AS monthly_purchase_frequency
-    FROM labelled
+worth AS (
+    SELECT *, total_spent * age / 365.0 AS estimated_clv, age AS customer_age_days,
+           total_orders * 30.0 / GREATEST(age, 30) AS monthly_purchase_frequency
+    FROM (SELECT *, {whole_days(AS_OF, "first_order_date")} AS age FROM grouped)
 )"""
 
 _METRIC_DOUBLES = ["total_spent", "avg_order_value"]
@@ -68,37 +61,38 @@ def _metrics(spark, sf_dir):
 
 
 @register("customer_order_metrics", ids=("AG-07", "AG-14"), doubles=_METRIC_DOUBLES,
-          sql=f"WITH {STAGING_SALES},{ORDERS_CTE}\nSELECT * FROM per_customer")
+          sql=f"WITH {STAGING_SALES},{ORDERS_CTE}\nSELECT * FROM spending")
 def q_customer_order_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir)
 
 
 @register("customer_rfm", ids=("BX-01", "FN-02"), doubles=_RFM_DOUBLES,
-          sql=f"WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE}\nSELECT * FROM scored")
+          sql=f"WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE}\nSELECT * FROM points")
 def q_customer_rfm(spark, sf_dir):
     return C.rfm_scores(_metrics(spark, sf_dir), AS_OF)
 
 
 @register("customer_segments", ids=("BX-03", "BX-05", "FN-08"), doubles=_RFM_DOUBLES,
-          sql=f"WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE},{SEGMENTS_CTE}\nSELECT * FROM labelled")
+          sql=f"WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE},{SEGMENTS_CTE}\nSELECT * FROM grouped")
 def q_customer_segments(spark, sf_dir):
     return C.customer_segments(C.rfm_scores(_metrics(spark, sf_dir), AS_OF))
 
 
 @register("customer_clv", ids=("BX-06", "FN-11"), doubles=_CLV_DOUBLES,
           sql=f"WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE},{SEGMENTS_CTE},{CLV_CTE}\n"
-              "SELECT * FROM valued")
+              "SELECT * EXCLUDE (age) FROM worth")
 def q_customer_clv(spark, sf_dir):
     return C.customer_clv(C.customer_segments(C.rfm_scores(_metrics(spark, sf_dir), AS_OF)), AS_OF)
 
 
 ANALYSIS_SQL = f"""
 WITH {STAGING_SALES},{ORDERS_CTE},{RFM_CTE},{SEGMENTS_CTE},{CLV_CTE}
-SELECT {', '.join(C.ANALYSIS_COLUMNS)},
-       {case_cuts("recency_days", "<=", [c for c, _ in C.ACTIVITY], [a for _, a in C.ACTIVITY],
-                  C.ACTIVITY_DEFAULT)} AS activity_status,
-       {case_in("customer_segment", C.GROWTH_POTENTIAL, C.GROWTH_POTENTIAL_DEFAULT)} AS growth_potential_score
-FROM valued
+SELECT customer_id, total_orders, total_spent, avg_order_value, last_order_date, first_order_date, total_quantity,
+       unique_products_purchased, recency_days, frequency, monetary, recency_score, frequency_score, monetary_score,
+       rfm_score, customer_segment, value_tier, purchase_behavior, estimated_clv, customer_age_days,
+       monthly_purchase_frequency, activity_band.label AS activity_status, coalesce(growth.points, 1) AS growth_potential_score
+FROM worth JOIN {R.ACTIVITY_ROWS} ON recency_days > activity_band.above AND recency_days <= activity_band.upto
+           LEFT JOIN {R.GROWTH_ROWS} ON growth.label = customer_segment
 ORDER BY total_spent DESC, last_order_date DESC, customer_id"""
 
 

@@ -104,15 +104,13 @@ def q_dq_score(spark, sf_dir):
 
 @register("dq_unique", ids=("VQ-06",), sql=f"""
 WITH {CUSTOMER_ORDERS},{CM_CTE},{NORM_CTE},
-long AS (
-    SELECT CAST(customer_id AS VARCHAR) AS customer_id, 'recency_zscore' AS feature_name
-    FROM normalised WHERE recency_zscore IS NOT NULL
-    UNION ALL SELECT CAST(customer_id AS VARCHAR), 'frequency_zscore'
-    FROM normalised WHERE frequency_zscore IS NOT NULL
-    UNION ALL SELECT CAST(customer_id AS VARCHAR), 'monetary_zscore'
-    FROM normalised WHERE monetary_zscore IS NOT NULL
+names AS (
+    SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+           unnest([if(recency_zscore IS NULL, NULL, 'recency_zscore'), if(frequency_zscore IS NULL, NULL, 'frequency_zscore'),
+                   if(monetary_zscore IS NULL, NULL, 'monetary_zscore')]) AS feature_name
+    FROM standard
 )
-SELECT customer_id, feature_name, COUNT(*) AS occurrences FROM long
+SELECT customer_id, feature_name, COUNT(*) AS occurrences FROM names WHERE feature_name IS NOT NULL
 GROUP BY customer_id, feature_name HAVING COUNT(*) > 1""")
 def q_dq_unique(spark, sf_dir):
     """Uniqueness of (customer_id, feature_name) in one feature load (created_at is one value per load)."""

@@ -3,7 +3,7 @@
 The oracle restates each operator in plain SQL over the same parquet tables
 (registered as views named after the tables).  The fragments below are the
 SQL forms of the test-data adapters and of the numeric conventions used by
-the registry, so every oracle query reads like the reference's own SQL.
+the registry; rule tables are in ``oracle_rules``.
 """
 
 from __future__ import annotations
@@ -65,47 +65,18 @@ metrics_orders AS (
 
 
 def rnd(expr: str, digits: int) -> str:
-    """SQL twin of ``numeric.round_half_away``."""
-    k = f"{10 ** digits}.0"
-    return f"(sign({expr}) * floor(abs({expr}) * {k} + 0.500001) / {k})"
+    """``ROUND`` of a number with ten exact decimals; numbers too large for that stay as they are."""
+    return f"coalesce(CAST(round(TRY_CAST({expr} AS DECIMAL(38, 10)), {digits}) AS DOUBLE), {expr})"
 
 
 def settle(sql: str, doubles: list[str], bits: int = 20) -> str:
     """SQL twin of ``numeric.settle_doubles`` for the listed DOUBLE columns."""
     if not doubles:
         return sql
-    k = f"{2 ** bits}.0"
-    rep = ", ".join(f"floor(CAST({c} AS DOUBLE) * {k} + 0.5) / {k} AS {c}" for c in doubles)
+    k = f"{2 ** bits}.0::DOUBLE"
+    rep = ", ".join(f"round_even(CAST({c} AS DOUBLE) * {k}, 0) / {k} AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS settled"
 
 
 def whole_days(as_of: str, col: str) -> str:
     return f"CAST(extract(day FROM (DATE '{as_of}' - ({col}))) AS INTEGER)"
-
-
-def _lit(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else str(v)
-
-
-def case_first(branches: list[tuple[str, object]], default: object) -> str:
-    """``CASE WHEN cond THEN value ... ELSE default END`` from ordered (condition, value) pairs."""
-    whens = " ".join(f"WHEN {cond} THEN {_lit(val)}" for cond, val in branches)
-    return f"CASE {whens} ELSE {_lit(default)} END"
-
-
-def case_cuts(expr: str, op: str, cuts, values, default) -> str:
-    """Threshold CASE: ``expr <op> cut`` gives the matching value, first match wins."""
-    return case_first([(f"{expr} {op} {c}", v) for c, v in zip(cuts, values)], default)
-
-
-def case_segments(rules, r: str, f: str, m: str, default: str) -> str:
-    """RFM segment CASE from the ordered rule list used by the Spark side."""
-    def test(col, spec):
-        return f"{col} {spec[0]} {spec[1]}"
-    return case_first([(f"{test(r, rs)} AND {test(f, fs)} AND {test(m, ms)}", label)
-                       for rs, fs, ms, label in rules], default)
-
-
-def case_in(expr: str, groups, default) -> str:
-    """``CASE WHEN expr IN (...) THEN value`` from ordered (values, result) groups."""
-    return case_first([(f"{expr} IN ({', '.join(_lit(x) for x in vals)})", res) for vals, res in groups], default)
