@@ -25,8 +25,14 @@ NUM_TREES = 100
 
 
 def split_bucket(key: Column) -> Column:
-    """A stable 0..99 bucket from the row key (md5), independent of partitioning."""
-    return (F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % 100).cast("int")
+    """A stable 0..99 bucket from the row key (md5; a NULL key as empty text), independent of partitioning."""
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100).cast("int")
+
+
+def label_split(df: DataFrame, key: Column, test_percent: int = TEST_PERCENT, name: str = "split") -> DataFrame:
+    """ML-01 as a column: every row's ``train`` or ``test``, in one pass."""
+    return df.withColumn(name, F.when(split_bucket(key) < 100 - test_percent, "train").otherwise("test"))
 
 
 def prepare_data(df: DataFrame, key: Column, test_percent: int = TEST_PERCENT) -> tuple[DataFrame, DataFrame]:

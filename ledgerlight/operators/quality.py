@@ -89,7 +89,11 @@ def split_valid(df: DataFrame, rules: dict = DEFAULT_RULES) -> tuple[DataFrame,
 
 def quality_score(df: DataFrame, rules: dict = DEFAULT_RULES) -> DataFrame:
     """VQ-05: rows, valid rows, quarantined rows and the share passing every rule."""
-    tagged = with_reasons(df, rules)
+    return score(with_reasons(df, rules))
+
+
+def score(tagged: DataFrame) -> DataFrame:
+    """:func:`quality_score` of rows that :func:`with_reasons` has tagged."""
     return tagged.agg(F.count(F.lit(1)).alias("total_rows"),
                       F.count_if(F.col("is_valid")).alias("valid_rows"),
                       F.count_if(~F.col("is_valid")).alias("quarantined_rows"),
@@ -115,3 +119,10 @@ def run_metrics(df: DataFrame, name: str = "run") -> DataFrame:
     spark = df.sparkSession
     return spark.createDataFrame([(name, rows, float(dt), float(rows / dt) if dt > 0 else None)],
                                  "run string, rows bigint, duration_s double, rows_per_s double")
+
+
+def dataset_report(df: DataFrame, generated_at=None) -> DataFrame:
+    """AG-19: row count, column names and generation time of a dataset (one row; by default the time of the run)."""
+    when = F.current_timestamp() if generated_at is None else F.lit(generated_at)
+    return df.agg(F.count(F.lit(1)).alias("total_records")).select(
+        "total_records", F.array(*[F.lit(c) for c in df.columns]).alias("columns"), when.cast("timestamp_ntz").alias("generated_at"))

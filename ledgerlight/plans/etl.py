@@ -4,23 +4,21 @@ The reference declares this flow in configuration (sources, validation
 rules, transform scripts, load targets, dated report files) without code to
 run it.  ``daily_etl`` runs it as a sequence of Spark jobs:
 
-1. extract the sales source and validate it; rejected rows go to a
-   quarantine table with their reasons, and a one-row quality table is kept;
-2. stage the valid rows once as the ``staging_sales`` table (month
-   partitions), so the transforms and loads below read it instead of
-   recomputing the extract;
-3. transform: customer analysis, sales summary, product performance;
-4. load: ``fact_sales`` (dynamic month partitions), ``dim_customers``,
-   ``dim_products`` (newest row per key), ``daily_reports`` (day partitions);
+1. extract the last ``EXTRACT_DAYS`` days of the sales source as landed text, from the first day of
+   the month they begin in, so every month the extract touches is whole (the first run extracts
+   everything); validate it; rejected rows go to a quarantine table with their reasons, and a one-row
+   quality table is kept;
+2. load the valid rows, typed, into ``fact_sales``: the extract's months are replaced, a month that has
+   no valid row left is removed, older months stay as they are;
+3. transform ``fact_sales``: customer analysis, sales summary, product performance;
+4. load ``dim_customers``, ``dim_products`` (newest row per key), ``daily_reports`` (day partitions);
 5. write the dated report files.
 
-Every output is an overwrite of its own partitions or folder, so a failed
-run can simply be repeated.
+Every output is an overwrite of its own partitions or folder, so a failed run can simply be repeated.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +29,9 @@ from ..operators import sales as S
 from ..sinks import writers as W
 from ..sources import tables as T
 
+# Fixed value: days of the configured extract.
+EXTRACT_DAYS = 30
+
 
 def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None,
               rules: dict = Q.DEFAULT_RULES) -> dict[str, str]:
@@ -38,26 +39,27 @@ def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None,
 
     Returns the output locations by name.
     """
-    day = D.to_date(as_of).isoformat()
+    today = D.to_date(as_of)
+    day = today.isoformat()
     out = {name: f"{target_dir}/{name}" for name in (
-        "quarantine", "staging_sales", "customer_analysis", "sales_summary", "product_performance",
+        "quarantine", "customer_analysis", "sales_summary", "product_performance",
         "fact_sales", "dim_customers", "dim_products", "daily_reports", "quality", "reports")}
 
-    # 1-2. extract, validate, stage
-    # The extract feeds three writes; this function is eager, so the tagged
-    # rows are persisted for them and released right after.
-    tagged = Q.with_reasons(T.staging_sales(spark, source_dir), rules).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # Rejected rows are few: one folder per run, readable even when empty.
-        tagged.filter(~F.col("is_valid")).drop("is_valid") \
-            .write.mode("overwrite").parquet(f"{out['quarantine']}/run_date={day}")
-        W.write_month_partitioned(tagged.filter(F.col("is_valid")).drop("is_valid", "dq_reasons"),
-                                  out["staging_sales"], ts_col="order_date", part_col="order_month")
-        Q.quality_score(tagged.drop("dq_reasons", "is_valid"), rules) \
-            .withColumn("run_date", F.lit(day)).write.mode("overwrite").parquet(f"{out['quality']}/run_date={day}")
-    finally:
-        tagged.unpersist()
-    staged = spark.read.parquet(out["staging_sales"]).drop("order_month")
+    # 1. extract and validate the landed text
+    landed = T.staging_sales_text(spark, source_dir)
+    first_month = None
+    if W.path_exists(spark, out["fact_sales"]):
+        first_month = W.month_of(today, EXTRACT_DAYS)
+        landed = landed.filter(W.text_month("order_date") >= F.lit(first_month))
+    tagged = Q.with_reasons(landed, rules)
+    # Rejected rows are few: one folder per run, readable even when empty.
+    tagged.filter(~F.col("is_valid")).drop("is_valid") \
+        .write.mode("overwrite").parquet(f"{out['quarantine']}/run_date={day}")
+    Q.score(tagged).withColumn("run_date", F.lit(day)).write.mode("overwrite").parquet(f"{out['quality']}/run_date={day}")
+
+    # 2. load
+    W.replace_months(T.typed_sales(tagged.filter(F.col("is_valid"))), out["fact_sales"], first_month)
+    staged = spark.read.parquet(out["fact_sales"]).drop("order_month")
 
     # 3. transforms
     analysis = C.customer_analysis(staged, as_of)
@@ -66,10 +68,10 @@ def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None,
     summary.write.mode("overwrite").parquet(f"{out['sales_summary']}/as_of={day}")
     S.product_performance(staged, as_of).write.mode("overwrite").parquet(f"{out['product_performance']}/as_of={day}")
 
-    # 4. loads
-    W.load_fact_sales(staged, out["fact_sales"])
-    W.load_dimension(T.customers(spark, source_dir), ["customer_id"], ["first_name"], out["dim_customers"])
-    W.load_dimension(T.products(spark, source_dir), ["product_id"], ["product_name"], out["dim_products"])
+    # 4. loads; ties of the date go to the row that sorts last
+    customers, products = T.customers(spark, source_dir), T.products(spark, source_dir)
+    W.load_dimension(customers, ["customer_id"], W.newest_order(customers, "registration_date"), out["dim_customers"])
+    W.load_dimension(products, ["product_id"], W.newest_order(products, "created_date"), out["dim_products"])
     W.load_daily_reports(summary, out["daily_reports"])
 
     # 5. reports

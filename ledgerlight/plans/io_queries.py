@@ -15,6 +15,7 @@ from pyspark.sql import types as T_
 from ..operators import customers as C
 from ..operators import features as FE
 from ..operators import sales as S
+from ..operators.quality import dataset_report
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources import readers as R
@@ -95,31 +96,41 @@ EVENT_SCHEMA = T_.StructType([
 
 @register("src_json_landed", ids=("SC-08",), doubles=["value"], sql="SELECT * FROM events")
 def q_src_json_landed(spark, sf_dir):
-    """Events landed as JSON pages of at most 1,000 records (the API page size), read back whole."""
+    """Events landed as JSON lines, read back whole."""
     src = T.read(spark, sf_dir, "events")
     path = scratch_path(spark, "json-events")
-    src.write.option("maxRecordsPerFile", 1000).option("timestampNTZFormat", R.JSON_TS_FORMAT).json(path)
+    src.write.option("timestampNTZFormat", R.JSON_TS_FORMAT).json(path)
     return R.load_json_landed(spark, path, EVENT_SCHEMA).drop("_corrupt_record")
 
 
 @register("dataset_report", ids=("AG-19",), sql="""
 SELECT COUNT(*) AS total_records,
-       'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns
+       ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority'] AS columns,
+       TIMESTAMP '2001-08-02 00:00:00' AS generated_at
 FROM orders""")
 def q_dataset_report(spark, sf_dir):
-    """Row count and column list of a loaded table (the generation time is left out)."""
-    df = T.read(spark, sf_dir, "orders")
-    return df.agg(F.count(F.lit(1)).alias("total_records")).withColumn("columns", F.lit(",".join(df.columns)))
+    """Row count, column list and generation time (pinned here) of a loaded table."""
+    return dataset_report(T.read(spark, sf_dir, "orders"), _dt.datetime(2001, 8, 2))
 
 
 @register("sink_partitioned_month", ids=("SK-02",), doubles=["metric_value"], sql=f"""
 WITH {METRICS_EVENTS}
 SELECT id, metric_name, metric_value, category, subcategory, metadata, created_at, updated_at,
        strftime(created_at, '%Y-%m') AS created_month
-FROM metrics_events
-WHERE created_at >= TIMESTAMP '2024-01-08 00:00:00' AND created_at < TIMESTAMP '2024-01-22 00:00:00'""")
+FROM metrics_events""")
 def q_sink_partitioned_month(spark, sf_dir):
-    """Metric table written by month partition; a two-week range read prunes to its month."""
+    """Metric table written by month partition, all rows read back."""
+    path = scratch_path(spark, "metrics-by-month")
+    W.write_month_partitioned(T.metrics_events(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("read_month_range", ids=("SK-02",), doubles=["metric_value"], sql=f"""
+WITH {METRICS_EVENTS}
+SELECT *, strftime(created_at, '%Y-%m') AS created_month FROM metrics_events
+WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""")
+def q_read_month_range(spark, sf_dir):
+    """A range of two weeks, the feature of the read side: only its month is listed and scanned."""
     path = scratch_path(spark, "metrics-by-month")
     W.write_month_partitioned(T.metrics_events(spark, sf_dir), path)
     return W.read_month_range(spark, path, _dt.date(2024, 1, 8), _dt.date(2024, 1, 22))
@@ -136,15 +147,21 @@ def q_load_fact_sales(spark, sf_dir):
 
 
 @register("load_dim_customers", ids=("SK-06",), sql="""
-SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS customer_segment, c_nationkey AS nation_key
-FROM customer""")
+WITH sightings AS (
+    SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS customer_segment, o_orderdate AS registration_date,
+           o_orderkey AS order_key, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k
+    FROM customer JOIN orders ON o_custkey = c_custkey
+)
+SELECT customer_id, first_name, customer_segment, registration_date, order_key FROM sightings WHERE k = 1""")
 def q_load_dim_customers(spark, sf_dir):
-    """dim_customers rebuilt as newest row per customer and overwritten, read back."""
-    c = T.read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("customer_segment"), F.col("c_nationkey").alias("nation_key"))
+    """dim_customers from several versions of a customer (one an order): the newest by date, then by order, wins."""
+    c = T.read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    o = T.read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    versions = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"), F.col("c_mktsegment").alias("customer_segment"),
+        F.col("o_orderdate").alias("registration_date"), F.col("o_orderkey").alias("order_key"))
     path = scratch_path(spark, "dim-customers")
-    W.load_dimension(c, ["customer_id"], ["first_name"], path)
+    W.load_dimension(versions, ["customer_id"], ["registration_date", "order_key"], path)
     return spark.read.parquet(path)
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ml as ML
+from ..session import scratch_path
 from ..sources import tables as T
 from .catalog import register
 
 FEATURES = ["quantity", "discount", "tax"]
-_MODELS: dict[str, object] = {}
 
 
 def _split(spark, sf_dir):
@@ -18,10 +18,8 @@ def _split(spark, sf_dir):
 
 
 def _model(spark, sf_dir):
-    if sf_dir not in _MODELS:
-        train, _ = _split(spark, sf_dir)
-        _MODELS[sf_dir] = ML.train_model(train, FEATURES)
-    return _MODELS[sf_dir]
+    train, _ = _split(spark, sf_dir)
+    return ML.train_model(train, FEATURES)
 
 
 @register("ml_split", ids=("ML-01",), doubles=["quantity", "discount", "tax", "target"], sql="""
@@ -37,8 +35,7 @@ SELECT row_key, quantity, discount, tax,
 FROM f""")
 def q_ml_split(spark, sf_dir):
     """Training frame with its stable 80/20 split label."""
-    train, test = _split(spark, sf_dir)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return ML.label_split(T.training_frame(spark, sf_dir), F.col("row_key"))
 
 
 @register("ml_predict", ids=("ML-02",))
@@ -57,3 +54,20 @@ def q_ml_importance(spark, sf_dir):
 def q_ml_evaluate(spark, sf_dir):
     _, test = _split(spark, sf_dir)
     return ML.evaluate_model(ML.predict(_model(spark, sf_dir), test))
+
+
+@register("ml_save_load", ids=("ML-05",), sql="""
+SELECT COUNT(*) AS n, 0 AS n_different
+FROM (SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS row_key FROM lineitem)
+WHERE ('0x' || substr(md5(row_key), 1, 8))::BIGINT % 100 >= 80""")
+def q_ml_save_load(spark, sf_dir):
+    """Held-out rows, and how many the saved and reloaded forest predicts differently."""
+    from pyspark.ml import PipelineModel
+
+    train, test = _split(spark, sf_dir)
+    model = ML.train_model(train, FEATURES, num_trees=10)
+    path = scratch_path(spark, "forest")
+    ML.save_model(model, path)
+    again = PipelineModel.load(path)
+    both = again.transform(model.transform(test).drop("features").withColumnRenamed("prediction", "before"))
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("prediction") != F.col("before")).cast("int").alias("n_different"))

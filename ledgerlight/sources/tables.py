@@ -158,6 +158,19 @@ def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _status("o_orderstatus").alias("status")))
 
 
+def staging_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`staging_sales` as the source lands it: every column text, not yet validated."""
+    ss = staging_sales(spark, sf_dir)
+    return ss.select(*[F.col(c).cast("string").alias(c) for c in ss.columns])
+
+
+def typed_sales(landed: DataFrame) -> DataFrame:
+    """Validated text rows with the types of :func:`staging_sales`."""
+    kinds = {"order_id": "bigint", "customer_id": "bigint", "product_id": "bigint", "order_date": "timestamp_ntz",
+             "order_value": "double", "quantity": "int", "discount": "double", "status": "string"}
+    return landed.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+
+
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML training frame from ``lineitem``: quantity, discount, tax and a planted target.
 

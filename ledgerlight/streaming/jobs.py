@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,13 +55,28 @@ def message_stream_job(spark: SparkSession, source: str, schema: T.StructType, o
     return queries
 
 
-def kpi_stream_job(events: DataFrame, query_name: str, checkpoint: str, watermark: str = "1 hour",
-                   window: str = "1 hour") -> StreamingQuery:
-    """ST-05: KPI windows refreshed every 30 seconds into an in-memory table for a dashboard."""
+def kpi_stream_job(events: DataFrame, out_path: str, checkpoint: str, watermark: str = "1 hour",
+                   window: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
+    """ST-05: KPI windows refreshed every 30 seconds into Parquet, one folder a refresh.
+
+    Each refresh writes the windows that changed under ``refresh=<n>``; repeating a failed refresh
+    overwrites its folder.  A window's newest row is that of its highest ``refresh``; see :func:`latest_kpis`.
+    """
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/refresh={epoch_id}")
+
     return (kpi_windows(events, window=window, watermark=watermark).writeStream
-            .outputMode("update").format("memory").queryName(query_name)
-            .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=KPI_REFRESH).start())
+            .outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": KPI_REFRESH})).start())
+
+
+def latest_kpis(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest row of each window and event type that :func:`kpi_stream_job` wrote."""
+    rows = spark.read.parquet(out_path)
+    rest = [c for c in rows.columns if c not in ("window_start", "window_end", "event_type", "refresh")]
+    return (rows.groupBy("window_start", "window_end", "event_type")
+            .agg(F.max_by(F.struct(*rest), F.col("refresh").cast("long")).alias("r"))
+            .select("window_start", "window_end", "event_type", "r.*"))
 
 
 def debounce_stream_job(events: DataFrame, out_path: str, checkpoint: str, key: str = "user_id",

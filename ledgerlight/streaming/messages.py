@@ -10,6 +10,7 @@ kept by the query checkpoint instead of a reconnect loop.
 from __future__ import annotations
 
 import logging
+from collections import Counter, deque
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ log = logging.getLogger(__name__)
 
 # Fixed value: the dashboard refresh interval (30,000 ms).
 KPI_REFRESH = "30 seconds"
+# Notices and errors a driver keeps for looking at; older ones are only counted.
+NOTICES = 200
 # JSON text keeps microseconds (Spark's default timestamp format keeps milliseconds).
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -31,19 +34,24 @@ def parse_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value"
 
     A message that cannot be read goes to the dead-letter frame with its text
     and a reason instead of failing the stream (the reference emits an error
-    event and carries on).  Each message is parsed once with ``from_json``
-    in PERMISSIVE mode; only the rare rejected ones are looked at again to
-    tell malformed JSON from JSON that does not fit the schema.
+    event and carries on).  Empty or blank text and text after the record are
+    bad, as for a strict parser: ``from_json`` reads the first value only, so
+    the whole text is also read as an array around it, which trailing text
+    breaks.  Rejected messages are looked at again to tell malformed JSON from
+    JSON that does not fit the schema.
     """
     txt = F.col(text_col)
     corrupt = "_corrupt_record"
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
     opts = {**JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    tagged = raw.select(txt.alias("_raw"), F.from_json(txt, with_corrupt, opts).alias("m"))
-    bad = F.col("_raw").isNull() | F.col(f"m.{corrupt}").isNotNull()
+    tagged = raw.select(txt.alias("_raw"), F.from_json(txt, with_corrupt, opts).alias("m"),
+                        F.json_array_length(F.concat(F.lit("["), txt, F.lit("]"))).alias("_values"))
+    blank = F.col("_raw").isNull() | (F.trim(F.col("_raw"), F.lit(" \t\r\n")) == "")
+    trailing = F.coalesce(F.col("_values"), F.lit(0)) != 1
+    bad = blank | F.col("m").isNull() | F.col(f"m.{corrupt}").isNotNull() | trailing
     parsed = tagged.filter(~bad).select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields])
-    reason = (F.when(F.col("_raw").isNull(), "empty message")
-              .when(F.try_parse_json(F.col("_raw")).isNull(), "malformed JSON")
+    reason = (F.when(blank, "empty message")
+              .when(trailing | F.try_parse_json(F.col("_raw")).isNull(), "malformed JSON")
               .otherwise("schema mismatch"))
     dead = tagged.filter(bad).select(F.col("_raw").alias("raw_message"), reason.alias("error"))
     return parsed, dead
@@ -71,9 +79,10 @@ def fan_out(handlers: Sequence[Callable[[DataFrame, int], None]]):
 
     The batch is persisted once so handlers do not recompute it; a failing
     handler is logged and recorded, and the others still run.  The returned
-    function has an ``errors`` list of ``(epoch_id, handler_name, message)``.
+    function has the last ``NOTICES`` ``errors`` as ``(epoch_id, handler_name, message)``
+    and ``error_count``, all of them (what is kept is for looking at, and bounded).
     """
-    errors: list[tuple[int, str, str]] = []
+    errors: deque[tuple[int, str, str]] = deque(maxlen=NOTICES)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
@@ -84,10 +93,12 @@ def fan_out(handlers: Sequence[Callable[[DataFrame, int], None]]):
                 except Exception as e:  # noqa: BLE001 -- isolation is the feature
                     log.error("handler %s failed on batch %s: %s", getattr(h, "__name__", h), epoch_id, e)
                     errors.append((epoch_id, getattr(h, "__name__", repr(h)), str(e)))
+                    run.error_count += 1
         finally:
             batch.unpersist()
 
     run.errors = errors
+    run.error_count = 0
     return run
 
 
@@ -110,14 +121,19 @@ def kpi_windows(events: DataFrame, ts_col: str = "ts", window: str = "1 hour",
 
 
 class StatusListener(StreamingQueryListener):
-    """ST-06: lifecycle notices -- connected, progress (data), disconnected, error."""
+    """ST-06: lifecycle notices -- connected, progress (data), disconnected, error.
+
+    ``events`` holds the last ``NOTICES`` notices, ``counts`` the number of each kind.
+    """
 
     def __init__(self, callback: Callable[[str, dict], None] | None = None):
-        self.events: list[tuple[str, dict]] = []
+        self.events: deque[tuple[str, dict]] = deque(maxlen=NOTICES)
+        self.counts: Counter[str] = Counter()
         self.callback = callback
 
     def _emit(self, kind: str, info: dict) -> None:
         self.events.append((kind, info))
+        self.counts[kind] += 1
         if self.callback:
             try:
                 self.callback(kind, info)

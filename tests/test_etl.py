@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import SMALL
 from ledgerlight.plans.etl import daily_etl
 from ledgerlight.sources import tables as T
@@ -14,20 +16,53 @@ def test_daily_etl_outputs_are_complete_and_rerunnable(spark, tmp_dir):
     for _ in range(2):                      # a repeated run overwrites, it does not duplicate
         out = daily_etl(spark, SMALL, target, "2001-08-02")
     n = T.staging_sales(spark, SMALL).count()
-    staged = spark.read.parquet(out["staging_sales"]).count()
-    quarantined = spark.read.parquet(out["quarantine"]).count()
-    assert staged + quarantined == n
-    assert spark.read.parquet(out["fact_sales"]).count() == staged
+    staged = spark.read.parquet(out["fact_sales"]).count()
+    assert staged == n
+    assert spark.read.parquet(out["fact_sales"]).drop("order_month").exceptAll(T.staging_sales(spark, SMALL)).count() == 0
     assert spark.read.parquet(out["dim_customers"]).count() == T.read(spark, SMALL, "customer").count()
     assert spark.read.parquet(out["dim_products"]).count() == T.read(spark, SMALL, "part").count()
     summary = spark.read.parquet(out["sales_summary"])
     assert spark.read.parquet(out["daily_reports"]).count() == summary.count() > 0
     q = spark.read.parquet(out["quality"]).first()
-    assert q.total_rows == n and q.valid_rows == staged
+    recent = T.staging_sales(spark, SMALL).filter("order_date >= timestamp_ntz'2001-07-01 00:00:00'").count()
+    assert q.total_rows == q.valid_rows == recent  # the second run extracts whole months only
     reports = sorted(os.listdir(out["reports"]))
     assert reports == ["customer_analysis_report_2001-08-02", "daily_sales_report_2001-08-02"]
 
 
+def test_daily_etl_follows_changes_of_the_source(spark, tmp_dir, monkeypatch):
+    """A moved row, a deleted row, a month whose rows all become invalid, and an old month that stays."""
+    from ledgerlight.plans import etl
+
+    def source(rows):
+        text = ", ".join(f"{c} string" for c in ("order_id", "customer_id", "product_id", "order_date", "order_value", "quantity", "discount", "status"))
+        frame = spark.createDataFrame([(str(i), "1", "2", d, v, "3", "0.5", "completed") for i, d, v in rows], text)
+        monkeypatch.setattr(etl.T, "staging_sales_text", lambda *_: frame)
+
+    def loaded(out):
+        rows = spark.read.parquet(out["fact_sales"]).collect()
+        return sorted((r.order_id, r.order_date.strftime("%Y-%m-%d"), r.order_month) for r in rows)
+
+    target = os.path.join(tmp_dir, "warehouse")
+    source([(1, "2001-03-05", "10"), (2, "2001-07-05", "10"), (3, "2001-07-20", "10"), (4, "2001-08-01", "10"), (5, "bad", "10"), (6, "2001-08-01", "-4")])
+    out = etl.daily_etl(spark, SMALL, target, "2001-08-02")
+    assert loaded(out) == [(1, "2001-03-05", "2001-03"), (2, "2001-07-05", "2001-07"), (3, "2001-07-20", "2001-07"), (4, "2001-08-01", "2001-08")]
+    assert spark.read.parquet(out["quarantine"]).count() == 2
+    source([(2, "2001-08-01", "10"), (4, "2001-08-01", "10"), (3, "2001-07-20", "none")])
+    out = etl.daily_etl(spark, SMALL, target, "2001-08-03")
+    assert loaded(out) == [(1, "2001-03-05", "2001-03"), (2, "2001-08-01", "2001-08"), (4, "2001-08-01", "2001-08")]
+    assert spark.read.parquet(out["quarantine"]).filter("run_date = '2001-08-03'").count() == 1
+
+
+def test_dimensions_keep_the_newest_version(spark, tmp_dir):
+    from ledgerlight.sinks import writers as W
+    rows = [(1, "Zoe", "2020-01-01"), (1, "Amy", "2024-01-01"), (2, "Ann", None), (2, "Bea", "2019-01-01"), (3, "Cid", "2021-01-01"), (3, "Dan", "2021-01-01")]
+    df = spark.createDataFrame(rows, "customer_id int, first_name string, d string").withColumn("registration_date", F.col("d").cast("timestamp_ntz")).drop("d")
+    path = os.path.join(tmp_dir, "dim")
+    W.load_dimension(df, ["customer_id"], W.newest_order(df.drop("customer_id"), "registration_date"), path)
+    assert {r.customer_id: r.first_name for r in spark.read.parquet(path).collect()} == {1: "Amy", 2: "Bea", 3: "Dan"}
+
+
 def test_cli_lists_queries(capsys):
     from ledgerlight.__main__ import main
     assert main(["list"]) == 0

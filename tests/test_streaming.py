@@ -206,11 +206,33 @@ def test_debounce_job_writes_closed_sessions(spark, tmp_dir):
 
 
 def test_dead_letter_reasons(spark):
-    rows = [('{"event_id": 1, "value": 2.5}',), ("{bad",), ('{"event_id": "x"}',), (None,)]
+    rows = [('{"event_id": 1, "value": 2.5}',), ("{bad",), ('{"event_id": "x"}',), (None,), ("",), (" \t",),
+            ('{"event_id": 2} trailing',), ('{"event_id": 3}, {"event_id": 4}',), (' {"event_id": 5} ',)]
     raw = spark.createDataFrame(rows, "value string")
     parsed, dead = MSG.parse_messages(raw, EVENT_FIELDS)
-    assert [r.event_id for r in parsed.collect()] == [1]
-    assert sorted(r.error for r in dead.collect()) == ["empty message", "malformed JSON", "schema mismatch"]
+    assert sorted(r.event_id for r in parsed.collect()) == [1, 5]
+    assert sorted(r.error for r in dead.collect()) == ["empty message"] * 3 + ["malformed JSON"] * 3 + ["schema mismatch"]
+
+
+def test_kept_notices_are_bounded():
+    listener = MSG.StatusListener()
+    for i in range(3 * MSG.NOTICES):
+        listener._emit("progress", {"batch": i})
+    assert len(listener.events) == MSG.NOTICES and listener.counts["progress"] == 3 * MSG.NOTICES
+
+
+def test_kpi_stream_refreshes_a_table(spark, tmp_dir):
+    from ledgerlight.streaming.jobs import kpi_stream_job, latest_kpis
+    ev = T.events(spark, SMALL)
+    src, out = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "kpi")
+    for part in ev.randomSplit([0.5, 0.5], 1):
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    kpi_stream_job(stream, out, os.path.join(tmp_dir, "c"), watermark="60 days", trigger={"availableNow": True}).awaitTermination(120)
+    got = latest_kpis(spark, out)
+    want = MSG.kpi_windows(ev.withColumn("ts", F.col("ts").cast("timestamp")))
+    cols = ["window_start", "event_type", "events", "max_value"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0 and want.select(cols).exceptAll(got.select(cols)).count() == 0
 
 
 def test_status_listener_reports_failure(spark, tmp_dir):
