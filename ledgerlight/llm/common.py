@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 #: Text handled at once inside a Python task, in characters; bounds its memory.
 SLICE_CHARS = 2_000_000
@@ -30,7 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table of a :func:`stored` frame that nothing reads any more."""
+    drop_scratch(df.sparkSession, df.scratch)
 
 
 def id_remainder(doc_id: str | Column, n: int) -> Column:

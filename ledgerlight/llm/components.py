@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == mark:
             break
-        mark = now
+        mark, before = now, links
         links = stored(_small_star(_large_star(links).distinct()).distinct(), "links")
+        discard(before)
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
