@@ -23,7 +23,8 @@ from ..sources import tables as T
 from .catalog import register
 from .customer_queries import ANALYSIS_SQL
 from .sales_queries import SUMMARY_SQL, _INSIGHT_DOUBLES
-from .sqltext import METRICS_EVENTS, SALES_AS_OF, STAGING_SALES, rnd
+from .feature_queries import CM_CTE, NORM_CTE
+from .sqltext import CUSTOMER_ORDERS, METRICS_EVENTS, SALES_AS_OF, STAGING_SALES, rnd
 
 LAST_RUN = "2001-07-01"
 
@@ -231,14 +232,19 @@ def q_report_customer_analysis(spark, sf_dir):
     return W.customer_analysis_report(C.customer_analysis(T.staging_sales(spark, sf_dir), SALES_AS_OF))
 
 
-@register("sink_ml_features", ids=("SK-01", "SK-03"))
+@register("sink_ml_features", ids=("SK-01", "SK-03"), doubles=["feature_value"], sql=f"""
+WITH {CUSTOMER_ORDERS},{CM_CTE},{NORM_CTE}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, feature_name, CAST(CAST(feature_value AS DECIMAL(15, 6)) AS DOUBLE) AS feature_value,
+       'numerical' AS feature_type, TIMESTAMP '2001-08-02 00:00:00' AS created_at
+FROM (UNPIVOT (SELECT customer_id, recency_zscore, frequency_zscore, monetary_zscore FROM standard)
+      ON recency_zscore, frequency_zscore, monetary_zscore INTO NAME feature_name VALUE feature_value)""")
 def q_sink_ml_features(spark, sf_dir):
-    """Feature rows appended to the typed ml_features table (created if missing), read back."""
+    """Feature rows appended to the typed ml_features table (created if missing), read back without the surrogate key."""
     path = scratch_path(spark, "ml-features")
     name = "ml_features_" + path.rsplit("-", 1)[-1]
     W.create_typed_table(spark, W.ML_FEATURES_DDL, name=name, location=path)
     W.append_features(FE.ml_features(T.customer_orders(spark, sf_dir), SALES_AS_OF), name,
                       _dt.datetime(2001, 8, 2))
-    return spark.table(name)
+    return spark.table(name).drop("id").withColumn("feature_value", F.col("feature_value").cast("double"))
 
 

@@ -11,12 +11,14 @@ from .feature_queries import CM_CTE, NORM_CTE
 
 RAW_SALES = """
 raw_sales AS (
-    SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id,
-           CAST(o.o_custkey AS VARCHAR) AS customer_id,
-           CAST(l.l_partkey AS VARCHAR) AS product_id,
-           CAST(o.o_orderdate AS VARCHAR) AS order_date,
-           CAST(l.l_extendedprice AS VARCHAR) AS order_value,
-           CAST(CAST(trunc(l.l_quantity) AS INTEGER) AS VARCHAR) AS quantity,
+    SELECT if(o.o_orderkey % 89 <> 0, CAST(o.o_orderkey AS VARCHAR), NULL) AS order_id,
+           if(o.o_orderkey % 97 <> 0, CAST(o.o_custkey AS VARCHAR), NULL) AS customer_id,
+           if(o.o_orderkey % 83 <> 0, CAST(l.l_partkey AS VARCHAR), NULL) AS product_id,
+           if(o.o_orderkey % 71 = 0, 'unknown', CAST(o.o_orderdate AS VARCHAR)) AS order_date,
+           if(o.o_orderkey % 79 = 0, 'n/a', CAST(l.l_extendedprice AS VARCHAR)) AS order_value,
+           CASE WHEN o.o_orderkey % 73 = 0 THEN 'two' WHEN o.o_orderkey % 67 = 0 THEN '0'
+                WHEN o.o_orderkey % 61 = 0 THEN CAST(CAST(trunc(l.l_quantity) AS INTEGER) AS VARCHAR) || '.5'
+                ELSE CAST(CAST(trunc(l.l_quantity) AS INTEGER) AS VARCHAR) END AS quantity,
            CAST(l.l_discount AS VARCHAR) AS discount,
            CASE o.o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending'
                                 WHEN 'P' THEN 'cancelled' END AS status
@@ -31,12 +33,12 @@ checked AS (
                CASE WHEN order_id IS NULL THEN 'null_order_id' END,
                CASE WHEN product_id IS NULL THEN 'null_product_id' END,
                CASE WHEN order_value IS NOT NULL AND TRY_CAST(order_value AS DOUBLE) IS NULL THEN 'type_order_value' END,
-               CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS BIGINT) IS NULL THEN 'type_quantity' END,
+               CASE WHEN quantity IS NOT NULL AND TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) IS NULL THEN 'type_quantity' END,
                CASE WHEN order_date IS NOT NULL AND TRY_CAST(order_date AS TIMESTAMP) IS NULL THEN 'type_order_date' END,
                CASE WHEN TRY_CAST(order_value AS DOUBLE) IS NOT NULL
                      AND NOT (TRY_CAST(order_value AS DOUBLE) BETWEEN 0 AND 100000) THEN 'range_order_value' END,
-               CASE WHEN TRY_CAST(quantity AS BIGINT) IS NOT NULL
-                     AND NOT (TRY_CAST(quantity AS BIGINT) BETWEEN 1 AND 1000) THEN 'range_quantity' END
+               CASE WHEN TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) IS NOT NULL
+                     AND NOT (TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) BETWEEN 1 AND 1000) THEN 'range_quantity' END
            ) AS dq_reasons
     FROM raw_sales
 )"""
@@ -60,7 +62,7 @@ WITH {RAW_SALES}
 SELECT 'order_value' AS column_name,
        COUNT(*) FILTER (WHERE order_value IS NOT NULL AND TRY_CAST(order_value AS DOUBLE) IS NULL) AS invalid_count,
        'numeric' AS expected_type FROM raw_sales
-UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NOT NULL AND TRY_CAST(quantity AS BIGINT) IS NULL),
+UNION ALL SELECT 'quantity', COUNT(*) FILTER (WHERE quantity IS NOT NULL AND TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) IS NULL),
        'integer' FROM raw_sales
 UNION ALL SELECT 'order_date', COUNT(*) FILTER (WHERE order_date IS NOT NULL AND TRY_CAST(order_date AS TIMESTAMP) IS NULL),
        'datetime' FROM raw_sales""")
@@ -75,8 +77,8 @@ SELECT 'order_value' AS column_name,
                           AND NOT (TRY_CAST(order_value AS DOUBLE) BETWEEN 0 AND 100000)) AS out_of_range_count,
        0.0::DOUBLE AS min_value, 100000.0::DOUBLE AS max_value FROM raw_sales
 UNION ALL SELECT 'quantity',
-       COUNT(*) FILTER (WHERE TRY_CAST(quantity AS BIGINT) IS NOT NULL
-                          AND NOT (TRY_CAST(quantity AS BIGINT) BETWEEN 1 AND 1000)),
+       COUNT(*) FILTER (WHERE TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) IS NOT NULL
+                          AND NOT (TRY_CAST(if(contains(quantity, '.'), NULL, quantity) AS BIGINT) BETWEEN 1 AND 1000)),
        1.0::DOUBLE, 1000.0::DOUBLE FROM raw_sales""")
 def q_dq_range(spark, sf_dir):
     return Q.range_report(_raw(spark, sf_dir))

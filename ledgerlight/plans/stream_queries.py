@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
+from ..session import scratch_path
 from ..sources import tables as T
 from ..streaming import messages as MSG
 from ..streaming.sessions import DEBOUNCE_DELAY, debounce
@@ -64,17 +65,51 @@ def q_stream_parse(spark, sf_dir):
     return parsed
 
 
-@register("stream_dead_letter", ids=("ST-01",))
+@register("stream_dead_letter", ids=("ST-01",), sql="""
+SELECT event_id, 'malformed JSON' AS error, COUNT(*) AS n FROM events WHERE event_type = 'error' GROUP BY event_id""")
 def q_stream_dead_letter(spark, sf_dir):
-    """Messages that are not valid JSON, with the reason."""
+    """Messages that are not valid JSON, with the reason, counted by the event whose id they begin with."""
     _, dead = MSG.parse_messages(message_log(spark, sf_dir), EVENT_FIELDS)
-    return dead
+    event = F.regexp_extract("raw_message", r'"event_id":(\d+)', 1).cast("bigint")
+    return dead.groupBy(event.alias("event_id"), "error").agg(F.count("*").alias("n"))
 
 
-@register("stream_json_out", ids=("ST-03", "FN-14"))
+@register("stream_json_out", ids=("ST-03", "FN-14"), doubles=["value"], sql="""
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts_text FROM events""")
 def q_stream_json_out(spark, sf_dir):
-    """Every event serialised as a JSON message."""
-    return MSG.to_json_messages(T.events(spark, sf_dir))
+    """Every event serialised as a JSON message, and the fields found in its text."""
+    out = MSG.to_json_messages(T.events(spark, sf_dir))
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return out.select(field("event_id").cast("bigint").alias("event_id"), field("user_id").cast("bigint").alias("user_id"),
+                      field("event_type").alias("event_type"), field("value").cast("double").alias("value"),
+                      field("props").alias("props"), field("ts").alias("ts_text"))
+
+
+@register("stream_fanout", ids=("ST-02",), sql="""
+SELECT 'all' AS handler, COUNT(*) AS rows, 0 AS failures FROM events
+UNION ALL SELECT 'failing', 0, 1
+UNION ALL SELECT 'purchases', COUNT(*) FILTER (WHERE event_type = 'purchase'), 0 FROM events""")
+def q_stream_fanout(spark, sf_dir):
+    """One micro-batch of all events delivered to three handlers, one of which fails: rows each has written."""
+    path = scratch_path(spark, "fan-out")
+
+    def all(batch, epoch_id):  # noqa: A001
+        batch.write.mode("overwrite").parquet(f"{path}/handler=all/epoch={epoch_id}")
+
+    def failing(batch, epoch_id):
+        raise RuntimeError("handler down")
+
+    def purchases(batch, epoch_id):
+        batch.filter(F.col("event_type") == "purchase").write.mode("overwrite").parquet(f"{path}/handler=purchases/epoch={epoch_id}")
+
+    handlers = [all, failing, purchases]
+    run = MSG.fan_out(handlers)
+    stream = spark.readStream.schema(T.events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parquet*")
+    stream.writeStream.foreachBatch(run).option("checkpointLocation", scratch_path(spark, "fan-out-progress")).trigger(availableNow=True).start().awaitTermination()
+    failures = {name: sum(e[1] == name for e in run.errors) for name in ("all", "failing", "purchases")}
+    names = spark.createDataFrame(list(failures.items()), "handler string, failures int")
+    written = spark.read.parquet(path).groupBy("handler").agg(F.count("*").alias("rows"))
+    return names.join(written, "handler", "left").select("handler", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "failures")
 
 
 @register("stream_kpis", ids=("ST-05",), doubles=["total_value", "max_value"], sql="""
@@ -87,8 +122,11 @@ def q_stream_kpis(spark, sf_dir):
     return MSG.kpi_windows(T.events(spark, sf_dir))
 
 
-@register("enrich_points", ids=("ST-07", "PF-10"))
+@register("enrich_points", ids=("ST-07", "PF-10"), doubles=["value"], sql="""
+SELECT event_id, user_id, event_type, value, props, ts AS timestamp, TRUE AS within_bounds FROM events""")
 def q_enrich_points(spark, sf_dir):
-    """Events with the random-scaled calculated value and parsed timestamp."""
+    """Events with the parsed timestamp, and whether the random-scaled value lies between 0 and 100 times the value."""
     ev = T.events(spark, sf_dir).withColumnRenamed("ts", "timestamp")
-    return MSG.enrich_points(ev, seed=42)
+    points = MSG.enrich_points(ev, seed=42)
+    share = F.col("calculatedValue") / F.nullif(F.col("value"), F.lit(0.0))
+    return points.withColumn("within_bounds", F.coalesce((share >= 0) & (share < 100), F.col("value") == 0)).drop("calculatedValue")

@@ -52,6 +52,8 @@ def append_features(long: DataFrame, table: str, created_at: _dt.datetime | None
 
     ``created_at`` defaults to the load time (the table's DEFAULT); ``id`` is
     a hash of the unique key, since Parquet tables have no identity column.
+    Rows whose key (customer, feature, time) the table holds already are left
+    out, so a failed load can be repeated with the same ``created_at``.
     """
     ts = D.ts_literal(created_at) if created_at else F.current_timestamp().cast("timestamp_ntz")
     out = long.select(
@@ -61,6 +63,9 @@ def append_features(long: DataFrame, table: str, created_at: _dt.datetime | None
         F.col("feature_value").cast("decimal(15,6)").alias("feature_value"),
         F.col("feature_type").cast("varchar(50)").alias("feature_type"),
         ts.alias("created_at"))
+    if created_at:
+        held = long.sparkSession.table(table).filter(F.col("created_at") == ts).select("customer_id", "feature_name")
+        out = out.join(held, ["customer_id", "feature_name"], "left_anti").select(out.columns)
     out.write.insertInto(table)
 
 

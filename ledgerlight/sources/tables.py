@@ -137,23 +137,26 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``staging_sales`` as landed text, before validation.
+    """``staging_sales`` as landed text, before validation, with defects by the order key.
 
-    Every column is a string (as read from a CSV / API landing zone) and
-    ``order_value`` is the unscaled line price, so the range rule has real
-    violations to find.
+    Every column is a string (as read from a CSV / API landing zone).  ``order_value`` is the unscaled
+    line price; some orders lack a key, or have words, fractions or zeros where numbers and dates belong,
+    so every rule has violations to find.
     """
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                 "l_extendedprice", "l_discount")
     od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     s = lambda c: F.col(c).cast("string")
+    hit = lambda n: F.col("o_orderkey") % n == 0
+    quantity = F.col("l_quantity").cast("int").cast("string")
     return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-            .select(s("o_orderkey").alias("order_id"),
-                    s("o_custkey").alias("customer_id"),
-                    s("l_partkey").alias("product_id"),
-                    s("o_orderdate").alias("order_date"),
-                    s("l_extendedprice").alias("order_value"),
-                    F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+            .select(F.when(~hit(89), s("o_orderkey")).alias("order_id"),
+                    F.when(~hit(97), s("o_custkey")).alias("customer_id"),
+                    F.when(~hit(83), s("l_partkey")).alias("product_id"),
+                    F.when(hit(71), F.lit("unknown")).otherwise(s("o_orderdate")).alias("order_date"),
+                    F.when(hit(79), F.lit("n/a")).otherwise(s("l_extendedprice")).alias("order_value"),
+                    F.when(hit(73), F.lit("two")).when(hit(67), F.lit("0")).when(hit(61), F.concat(quantity, F.lit(".5")))
+                    .otherwise(quantity).alias("quantity"),
                     s("l_discount").alias("discount"),
                     _status("o_orderstatus").alias("status")))
 
