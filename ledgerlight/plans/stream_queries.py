@@ -7,6 +7,8 @@ tests/test_streaming.py.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
@@ -112,6 +114,28 @@ def q_stream_fanout(spark, sf_dir):
     return names.join(written, "handler", "left").select("handler", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "failures")
 
 
+@register("stream_status", ids=("ST-06",), sql="""
+SELECT 1 AS connected, COUNT(*) AS rows, 0 AS failed, 1 AS disconnected FROM events""")
+def q_stream_status(spark, sf_dir):
+    """Lifecycle notices of one streaming run over all events: their counts, and the rows they report."""
+    listener = MSG.StatusListener()
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(T.events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parquet*")
+        run = (stream.writeStream.foreachBatch(lambda batch, epoch: batch.write.format("noop").mode("overwrite").save())
+               .option("checkpointLocation", scratch_path(spark, "status")).trigger(availableNow=True).start())
+        run.awaitTermination()
+        waited = 0
+        while not listener.counts["disconnected"] and waited < 300:  # notices come from another thread
+            time.sleep(0.1)
+            waited += 1
+    finally:
+        spark.streams.removeListener(listener)
+    rows = sum(info["rows"] for kind, info in listener.events if kind == "progress")
+    return spark.createDataFrame([(listener.counts["connected"], rows, listener.counts["error"], listener.counts["disconnected"])],
+                                 "connected int, rows bigint, failed int, disconnected int")
+
+
 @register("stream_kpis", ids=("ST-05",), doubles=["total_value", "max_value"], sql="""
 SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
        time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
