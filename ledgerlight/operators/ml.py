@@ -48,12 +48,16 @@ def prepare_data(df: DataFrame, key: Column, test_percent: int = TEST_PERCENT) -
 
 
 def train_model(train: DataFrame, features: Sequence[str], target: str = "target",
-                num_trees: int = NUM_TREES, seed: int = SEED, **forest) -> PipelineModel:
-    """ML-02: assemble features and fit a random forest regressor."""
+                num_trees: int = NUM_TREES, seed: int = SEED, feature_steps: Sequence = (), **forest) -> PipelineModel:
+    """ML-02: assemble features and fit a random forest regressor.
+
+    ``feature_steps`` are Spark ML stages that run before the assembler, in training and prediction
+    alike (the hook for engineered features).
+    """
     asm = VectorAssembler(inputCols=list(features), outputCol="features")
     rf = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=num_trees, seed=seed,
                                featureSubsetStrategy=forest.pop("featureSubsetStrategy", "all"), **forest)
-    return Pipeline(stages=[asm, rf]).fit(train)
+    return Pipeline(stages=[*feature_steps, asm, rf]).fit(train)
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:

@@ -79,6 +79,13 @@ def q_page_rows(spark, sf_dir):
     return R.page(T.read(spark, sf_dir, "orders"), "o_orderkey", 10000, 10000)
 
 
+@register("page_after_key", ids=("SO-03",), doubles=["o_totalprice"], sql="""
+SELECT * FROM orders WHERE o_orderkey > 7000 ORDER BY o_orderkey LIMIT 5000""")
+def q_page_after_key(spark, sf_dir):
+    """The 5,000 orders after key 7,000 (paging is the feature)."""
+    return R.page_after(T.read(spark, sf_dir, "orders"), "o_orderkey", 7000, 5000)
+
+
 @register("src_csv", ids=("SC-09", "AG-19"), doubles=["c_acctbal"], sql="SELECT * FROM customer")
 def q_src_csv(spark, sf_dir):
     """Customer table landed as CSV with a header, read back with its schema."""

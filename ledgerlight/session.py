@@ -21,8 +21,9 @@ BASE_CONF = {
 }
 
 
-# Sizing for the 100 TB target (1000 executors): 256 MB input splits and
-# shuffle partitions, many initial shuffle partitions that AQE coalesces to
+# Sizing for large inputs (1000 executors): 256 MB input splits and
+# shuffle partitions, 40,000 initial shuffle partitions (10 TB in one shuffle, which is
+# what a projected or partially aggregated 100 TB input needs) that AQE coalesces to
 # the advisory size, and skew splitting for partitions 5x the median.  A
 # third of the rows under one key then becomes many ~256 MB tasks instead
 # of one huge one.
