@@ -10,7 +10,9 @@ mass for its backoff, and alpha makes each distribution sum to 1.
 Three tables are stored in parts: ``unigrams`` (by a hash of the word), ``pairs`` (by a hash of the
 second word; holds the counts of pairs) and ``backoff`` (by the history).  Token occurrences travel
 once, packed by word: a part has all pairs that end in its words, so it counts both and scores the
-occurrences it holds per document.  Only the unseen pairs go on, to the weight of their history.
+occurrences it holds per document.  A word that alone would fill half a part is dealt by its history as
+well, and its count, known from the unigrams, travels with the job: there are at most two such words a
+part.  Only the unseen pairs go on, to the weight of their history.
 """
 
 from __future__ import annotations
@@ -84,7 +86,7 @@ def _steps(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
 
 
-def _send(batches: Iterator[pa.RecordBatch], buckets: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _send(batches: Iterator[pa.RecordBatch], buckets: int, hot: dict[int, int], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Occurrences packed by the bucket of their word; and, for each flush, its documents in order."""
     names = ["bucket", "flush", "blob", "keys", "train", "sizes"]
     types = [pa.int32(), pa.int64(), pa.binary(), pa.list_(kind), pa.list_(pa.bool_()), pa.list_(pa.int32())]
@@ -113,8 +115,13 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, kind: pa.DataType) ->
         first, times = runs(differs(key))
         key = key[first]
         doc, w, h = key % d, key // d // v, key // d % v
+        to = bucket[w]
+        spread = np.isin(hashes, np.fromiter(hot, np.uint64, len(hot)))[w]
+        to[spread] = ((hashes[w[spread]] ^ hashes[h[spread]] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+        order = np.argsort(to, kind="stable")
+        to, doc, w, h, times = to[order], doc[order], w[order], h[order], times[order]
         known = np.packbits(np.array(train, bool))
-        edges = np.searchsorted(bucket[w], np.arange(buckets + 1))
+        edges = np.searchsorted(to, np.arange(buckets + 1))
         for b, (lo, hi) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
             if lo < hi:
                 w_first, w_times = runs(differs(w[lo:hi]))
@@ -156,7 +163,7 @@ def _buckets(batches: Iterator[pa.RecordBatch], blob: str) -> Iterator[tuple[pa.
         yield None, rows
 
 
-def _count(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, hot: dict[int, int], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Counts of each bucket's words and pairs, the sums of its occurrences by document, and the unseen pairs."""
     names = ["flush", "keys", "train", "sizes", "sums", "pairs", "unseen", "seen_times"]
     types = [pa.int64(), pa.list_(kind), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
@@ -178,6 +185,8 @@ def _count(batches: Iterator[pa.RecordBatch], unigrams: Unigrams, kind: pa.DataT
         del word, history
         learnt = np.where(train, n, 0).astype(np.float64)
         count = np.bincount(w, learnt, len(distinct)).astype(np.int64)
+        for i in np.flatnonzero(np.isin(distinct, np.fromiter(hot, np.uint64, len(hot)))).tolist():
+            count[i] = hot[int(distinct[i])]
         pairs, pair = np.unique(w * len(histories) + h, return_inverse=True)
         pair_count = np.bincount(pair, learnt, len(pairs)).astype(np.int64)
         c = pair_count[pair]
@@ -299,10 +308,12 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id") -> DataFrame:
     of = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max(F.when(F.col("term") == F.lit(END_TERM), F.col("n"))), F.lit(0)),
                    *(F.coalesce(F.sum((F.col("n") == r).cast("long")), F.lit(0)) for r in range(1, TOP + 2))).first()
     unigrams, starts = Unigrams(of[0], of[1], [0, *of[3:]]), of[2]
+    share = unigrams.tokens // (2 * buckets)
+    hot = {xxhash.xxh3_64_intdigest(bytes(r["term"])): r["n"] for r in table.where(F.col("n") > share).collect()} if share else {}
 
-    sent = rows.mapInArrow(lambda it: _send(it, buckets, kind), f"bucket int, flush long, blob binary, keys array<{key_type.simpleString()}>, train array<boolean>, sizes array<int>")
+    sent = rows.mapInArrow(lambda it: _send(it, buckets, hot, kind), f"bucket int, flush long, blob binary, keys array<{key_type.simpleString()}>, train array<boolean>, sizes array<int>")
     parts = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                   .mapInArrow(lambda it: _count(it, unigrams, kind), PARTS.format(key_type.simpleString())), "pairs")
+                   .mapInArrow(lambda it: _count(it, unigrams, hot, kind), PARTS.format(key_type.simpleString())), "pairs")
     of = parts.where("seen_times is not null").agg(*(F.coalesce(F.sum(F.element_at("seen_times", r + 1)), F.lit(0)) for r in range(1, TOP + 2))).first()
     low = good_turing([0, *of])
 

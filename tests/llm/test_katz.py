@@ -55,7 +55,7 @@ def is_train(key):
     return zlib.crc32(("" if key is None else str(key)).encode()) % 7 != 2
 
 
-@pytest.mark.parametrize("flush", [100, 10**6])
+@pytest.mark.parametrize("flush", [100, 10**6])  # the 20,000 words of one document make w0 a word that is dealt by history
 def test_against_brute_force(spark, monkeypatch, flush):
     monkeypatch.setattr(katz, "FLUSH", flush)
     docs = spark.createDataFrame([(k, t, 1, "h") for k, t in DOCS], "doc_id long, text string, n int, history string").repartition(5)
