@@ -140,7 +140,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.memo.encode(texts)
 
-    def _encode_units(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_units(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         cut = [self.find(u) for u in new]
         pieces: dict[str, int] = {}
         parts = np.array([pieces.setdefault(p, len(pieces)) for c in cut for p in c], np.int64)
@@ -148,7 +148,7 @@ class Encoder:
         ends = np.cumsum(counts)
         flat = spans(ids, (ends - counts)[parts], counts[parts])
         total = np.concatenate([[0], np.cumsum(counts[parts])])
-        return flat, np.diff(total[np.cumsum([0, *map(len, cut)])])
+        return new, flat, np.diff(total[np.cumsum([0, *map(len, cut)])])
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces, concatenated, and their counts."""

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -55,23 +57,46 @@ def from_planes(count: int, planes: list[bytes]) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """Encodes units of text with the tokenizers library; special tokens in a text are ordinary text."""
+    """Encodes units of text with the tokenizers library; special tokens in a text are ordinary text.
+
+    Units that begin with a space and a character follow each other in one string for the library: no
+    piece of the byte-level pattern spans two of them, and the tokens' bytes tell where each ends.
+    """
+
+    JOINED = 2000
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # one character of a token is one byte
         self.memo = Memo(self._encode)
 
-    def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids: list[int] = []
-        counts = []
-        for lo in range(0, len(new), 4096):
-            for e in self.tokenizer.encode_batch_fast(new[lo:lo + 4096], add_special_tokens=False):
-                ids += e.ids
-                counts.append(len(e))
-        return np.array(ids, np.int32), np.array(counts, np.int64)
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        apart = [len(u) > 1 and u.strip() == u[1:] for u in new]  # one space before, none behind
+        alone, joined = list(compress(new, map(not_, apart))), list(compress(new, apart))
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(alone), self.JOINED):
+            found = self._ids(alone[lo:lo + self.JOINED])
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32))
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+        for lo in range(0, len(joined), self.JOINED):
+            part = joined[lo:lo + self.JOINED]
+            found = np.array(self._ids(["".join(part)])[0], np.int32)
+            ends = np.cumsum(self.bytes[found])
+            wanted = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in part])
+            at = np.searchsorted(ends, wanted)
+            if not (ends[at] == wanted).all():
+                raise ValueError("the tokenizer is not byte-level")
+            ids.append(found)
+            counts.append(np.diff(at, prepend=-1))
+        return alone + joined, np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.memo.encode(texts)

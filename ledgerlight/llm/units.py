@@ -8,8 +8,8 @@ from itertools import chain
 
 import numpy as np
 
-#: A white-space character beside a space: such texts are cut with look-arounds.
-_RUN = re.compile(r" \s|\s |\A | \Z|\0")
+#: A space beside another white-space character: such texts are cut with look-arounds.
+_RUN = re.compile(r" (?:(?=\s)|(?<=\s ))")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 #: Distinct units that a worker remembers before it starts anew; bounds its memory.
@@ -24,16 +24,19 @@ def units(text: str) -> list[str]:
     """
     if not text:
         return []
-    return _CUT.split(text) if _RUN.search(text) else text.replace(" ", "\0 ").split("\0")
+    if text[0] == " " or text[-1] == " " or "\0" in text or _RUN.search(text):
+        return _CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0")
 
 
 class Memo:
     """Remembers the ids of units; :meth:`encode` gives the ids of whole texts.
 
-    ``encode_new`` gets distinct units and returns their ids, concatenated, and the count of each.
+    ``encode_new`` gets distinct units and returns them in an order of its own, their ids in that order,
+    concatenated, and the count of each.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = MEMO_UNITS):
+    def __init__(self, encode_new: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]], limit: int = MEMO_UNITS):
         self.encode_new, self.limit = encode_new, limit
         self.clear()
 
@@ -42,7 +45,7 @@ class Memo:
         self.ids, self.offset = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
 
     def _add(self, new: list[str]) -> None:
-        ids, counts = self.encode_new(new)
+        new, ids, counts = self.encode_new(new)
         n, used = len(self.at), int(self.offset[len(self.at)])
         while used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
