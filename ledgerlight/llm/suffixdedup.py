@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, stored
+from .common import discard, sliced, stored
 from .packing import differs, expand, runs, squeeze
 
 GRAM = 24
@@ -75,17 +76,6 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def _by_id(ids: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Positions of each id, in order and once."""
-    order = np.lexsort((at, ids))
-    ids, at = ids[order], at[order]
-    keep = differs(ids, at)
-    ids, at = ids[keep], at[keep]
-    first, size = runs(differs(ids))
-    for i, n in zip(first.tolist(), size.tolist()):
-        yield int(ids[i]), at[i:i + n]
-
-
 def _held_by_several(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by (hash, id), and for each row in that order whether its hash has more than one id."""
     order = np.lexsort((ids, hashes))
@@ -95,12 +85,39 @@ def _held_by_several(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, n
     return order, np.repeat(several, size)
 
 
-SENT = "bucket int, id long, at binary, blob binary"
+def home(i: int, buckets: int) -> int:
+    """The bucket of a document: ``pmod(xxhash64(id), buckets)`` in Spark."""
+    digest = xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42)
+    return (digest - (1 << 64) if digest >> 63 else digest) % buckets
+
+
+def _homes(ids: np.ndarray, buckets: int) -> np.ndarray:
+    distinct, at = np.unique(ids, return_inverse=True)
+    return np.fromiter((home(i, buckets) for i in distinct.tolist()), np.int32, len(distinct))[at]
+
+
+SENT = "bucket int, known binary, blob binary"
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bucket", "id", "at", "blob"])
+    """Rows of (bucket, something for the documents at home there, something for the bucket)."""
+    types = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["bucket", "known", "blob"])
+
+
+def _places(ids: np.ndarray, at: np.ndarray, buckets: int) -> list[tuple]:
+    """(home bucket, packed ids and their anchor positions)."""
+    homes = _homes(ids, buckets)
+    order = np.lexsort((at, ids, homes))
+    ids, at, homes = ids[order], at[order], homes[order]
+    keep = differs(ids, at)
+    ids, at, homes = ids[keep], at[keep], homes[keep]
+    first, size = runs(differs(homes))
+    out = []
+    for lo, n in zip(first.tolist(), size.tolist()):
+        starts, counts = runs(differs(ids[lo:lo + n]))
+        out.append((int(homes[lo]), squeeze(ids[lo:lo + n][starts], counts.astype(np.int32), at[lo:lo + n].astype(np.uint32))))
+    return out
 
 
 def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -112,7 +129,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         order, several = _held_by_several(hashes, ids)
         hashes, ids, at = hashes[order], ids[order], at[order]
         # All places of a hash that several documents here hold are known to matter: one is sent for the others.
-        yield _sent([(i % buckets, i, p.tobytes(), None) for i, p in _by_id(ids[several], at[several])])
+        yield _sent([(b, blob, None) for b, blob in _places(ids[several], at[several], buckets)])
         lone = ~several | differs(hashes)
         hashes, ids, at = hashes[lone], ids[lone], at[lone]
         bucket = (hashes >> np.uint64(40)).astype(np.int64) % buckets
@@ -124,7 +141,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
             starts, counts = runs(differs(ids[part]))
             low = hashes[part] & np.uint64(0xFFFFFFFFFF)
             gaps = np.diff(at[part].astype(np.int64), prepend=0).astype(np.int32)  # starts anew, as a negative gap, with each document
-            yield _sent([(int(bucket[lo]), None, None, squeeze(
+            yield _sent([(int(bucket[lo]), None, squeeze(
                 low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), gaps, np.diff(ids[part][starts], prepend=0), counts.astype(np.int32)))])
 
     for batch in sliced(batches):
@@ -142,45 +159,70 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         yield from flush()
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[list[tuple], bool]]:
-    """Rows of each bucket from sorted batches; a second value tells the rows that carry no blob."""
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes | None, list[bytes]]]:
+    """From batches sorted by bucket: each ``known`` as it comes, and all blobs of each bucket."""
     now, rows = None, []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *columns))):
-            if row[-1] is None:
-                yield [row[1:]], True
+        for bucket, known, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "known", "blob"))):
+            if known is not None:
+                yield bucket, known, []
                 continue
-            if row[0] != now and rows:
-                yield rows, False
+            if bucket != now and rows:
+                yield now, None, rows
                 rows = []
-            now = row[0]
-            rows.append(row[1:])
+            now = bucket
+            rows.append(blob)
     if rows:
-        yield rows, False
+        yield now, None, rows
+
+
+HOMES = "bucket int, known binary"
+
 
+def _to_homes(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "known"])
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of anchors that several documents hold, by document."""
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["id", "at"])
 
-    passed: list[tuple] = []
-    for rows, known in _by_bucket(batches, ("id", "at", "blob")):
-        if known:
-            passed += [r[:2] for r in rows]
-            if len(passed) >= 4096:
-                yield out(passed)
-                passed = []
+def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Places of anchors that several documents hold, by home bucket."""
+    for bucket, known, blobs in _by_bucket(batches):
+        if known is not None:
+            yield _to_homes([(bucket, known)])
             continue
         parts = []
-        for _, _, blob in rows:
+        for blob in blobs:
             low, high, gaps, ids, counts = expand(blob, np.uint32, np.uint8, np.int32, np.int64, np.int32)
             parts.append((low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), np.repeat(np.cumsum(ids), counts), np.cumsum(gaps, dtype=np.int64).astype(np.uint32)))
         hashes, ids, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
         order, several = _held_by_several(hashes, ids)
-        yield out([(i, p.tobytes()) for i, p in _by_id(ids[order][several], at[order][several])])
-    if passed:
-        yield out(passed)
+        yield _to_homes(_places(ids[order][several], at[order][several], buckets))
+
+
+class AtHome:
+    """What has come for the documents of one bucket, by (id, text hash or 0)."""
+
+    def __init__(self):
+        self.bucket, self.parts, self.found = None, [], None
+
+    def add(self, bucket: int, *columns: np.ndarray) -> None:
+        if bucket != self.bucket:
+            self.bucket, self.parts = bucket, []
+        self.parts.append(columns)
+        self.found = None
+
+    def of(self, bucket: int, i: int, text_hash: int) -> list[np.ndarray]:
+        """The further columns' rows of one document."""
+        if bucket != self.bucket or not self.parts:
+            return []
+        if self.found is None:
+            columns = [np.concatenate(c) for c in zip(*self.parts)]
+            order = np.lexsort((columns[1], columns[0]))
+            columns = [c[order] for c in columns]
+            first, size = runs(differs(columns[0], columns[1]))
+            self.columns = columns[2:]
+            self.found = {(a, b): slice(lo, lo + n) for a, b, lo, n in zip(columns[0][first].tolist(), columns[1][first].tolist(), first.tolist(), size.tolist())}
+        at = self.found.get((i, text_hash))
+        return [] if at is None else [c[at] for c in self.columns]
 
 
 def _contexts(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,23 +332,25 @@ def _earlier(c: Contexts, length: int) -> np.ndarray:
     return out
 
 
-MARKS = "bucket int, id long, text_hash long, marks binary, blob binary"
-
-
-def _marked(c: Contexts, marks: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Anchor positions with their marked strings, by document."""
+def _marked(c: Contexts, marks: np.ndarray, buckets: int) -> list[tuple]:
+    """(home bucket, packed documents and anchor positions with their marked strings)."""
     on = marks != 0
     c, marks = c.take(on), marks[on]
-    order = np.lexsort((c.at, c.texts, c.ids))
-    c, marks = c.take(order), marks[order]
-    first, size = runs(differs(c.ids, c.texts))
-    blobs = [c.at[i:i + n].tobytes() + marks[i:i + n].tobytes() for i, n in zip(first.tolist(), size.tolist())]
-    none = pa.nulls(len(first), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array((c.texts[first] % buckets).astype(np.int32)), pa.array(c.ids[first]), pa.array(c.texts[first]),
-                                       pa.array(blobs, pa.binary()), none], ["bucket", "id", "text_hash", "marks", "blob"])
+    homes = _homes(c.ids, buckets)
+    order = np.lexsort((c.at, c.texts, c.ids, homes))
+    c, marks, homes = c.take(order), marks[order], homes[order]
+    first, size = runs(differs(homes))
+    out = []
+    for lo, n in zip(first.tolist(), size.tolist()):
+        part = slice(lo, lo + n)
+        starts, counts = runs(differs(c.ids[part], c.texts[part]))
+        out.append((int(homes[lo]), squeeze(c.ids[part][starts], c.texts[part][starts], counts.astype(np.int32), c.at[part].astype(np.uint32), marks[part])))
+    return out
 
 
 def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Contexts of the wanted places; in the batches, a bucket's places stand before its documents."""
+    here = AtHome()
     parts: list[Contexts] = []
     held = 0
 
@@ -314,7 +358,7 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         c, begins = Contexts.joined(parts).classes()
         least = np.repeat(c.ids[begins], runs(begins)[1])
         # A context that a smaller document of this task has as well is a repeat for all its strings.
-        yield _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)
+        yield _sent([(b, blob, None) for b, blob in _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)])
         c = c.take(c.ids == least)
         reach = length - GRAM
         words = np.ascontiguousarray(c.around[:, reach:reach + GRAM]).view(np.uint64)
@@ -324,14 +368,19 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         c, bucket = c.take(order), bucket[order]
         first, size = runs(differs(bucket))
         for i, n in zip(first.tolist(), size.tolist()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket[i]], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                 pa.array([c.take(np.arange(i, i + n)).pack()], pa.binary())], ["bucket", "id", "text_hash", "marks", "blob"])
+            yield _sent([(int(bucket[i]), None, c.take(np.arange(i, i + n)).pack())])
 
     for batch in sliced(batches):
-        for i, text_hash, text, places in zip(*(batch.column(x).to_pylist() for x in ("id", "text_hash", "text", "places"))):
+        for bucket, known, i, text_hash, text in zip(*(batch.column(x).to_pylist() for x in ("bucket", "known", "id", "text_hash", "text"))):
+            if known is not None:
+                ids, counts, at = expand(known, np.int64, np.int32, np.uint32)
+                here.add(bucket, np.repeat(ids, counts), np.zeros(len(at), np.int8), at)
+                continue
+            places = here.of(bucket, i, 0)
+            if not places:
+                continue
             data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-            at = np.unique(np.frombuffer(b"".join(places), np.uint32))
+            at = np.unique(places[0])
             at = at[at.astype(np.int64) + GRAM <= len(data)]  # another row with this id may be longer
             if len(data) < length or not len(at):
                 continue
@@ -348,34 +397,22 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
 
 
 def _match(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Marks of the contexts of each bucket, by document."""
-    def out(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.select(["id", "text_hash", "marks"])
-
-    passed: list[tuple] = []
-
-    def passing() -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in passed], t) for i, t in enumerate(types)], ["id", "text_hash", "marks"])
-
-    for rows, known in _by_bucket(batches, ("id", "text_hash", "marks", "blob")):
-        if known:
-            passed += [r[:3] for r in rows]
-            if len(passed) >= 4096:
-                yield passing()
-                passed = []
+    """Marks of the contexts of each bucket, by home bucket."""
+    for bucket, known, blobs in _by_bucket(batches):
+        if known is not None:
+            yield _to_homes([(bucket, known)])
             continue
-        c, begins = Contexts.joined([Contexts.unpack(r[3]) for r in rows]).classes()
+        c, begins = Contexts.joined([Contexts.unpack(b) for b in blobs]).classes()
         first, size = runs(begins)
         least = np.repeat(c.ids[first], size)
-        yield out(_marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets))
-        # One row of each context stands for all rows of its smallest document in the suffix order.
+        # A context that a smaller document has as well is a repeat for all its strings.  One row of each
+        # context stands for all rows of its smallest document in the suffix order.
         context = np.repeat(np.arange(len(first)), size)
         stand = c.take(first)
         gram_first, gram_size = runs(differs(stand.grams()))
         marks = np.zeros(len(first), np.uint64)
         several = gram_size > 1
-        lo, chunk, count = 0, [], 0
+        chunk, count = [], 0
         for a, n in [*zip(gram_first[several].tolist(), gram_size[several].tolist()), (None, 0)]:
             if chunk and (a is None or (count + n) * (length - GRAM + 1) > SORT):
                 rows_of = np.concatenate(chunk)
@@ -384,22 +421,16 @@ def _match(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
             if a is not None:
                 chunk.append(np.arange(a, a + n))
                 count += n
-        least_rows = c.ids == least
-        yield out(_marked(c.take(least_rows), marks[context[least_rows]], buckets))
-    if passed:
-        yield passing()
+        yield _to_homes(_marked(c, np.where(c.ids > least, c.possible(length), marks[context]), buckets))
 
 
-def covered(size: int, length: int, marks: list[bytes]) -> np.ndarray:
+def covered(size: int, length: int, at: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Whether each of ``size`` bytes lies in a marked string."""
     edge = np.zeros(size + 1, np.int64)
-    for blob in marks:
-        n = len(blob) // 12
-        at, bits = np.frombuffer(blob, np.uint32, n).astype(np.int64), np.frombuffer(blob, np.uint64, n, 4 * n)
-        row, back = np.nonzero(bits[:, None] >> np.arange(length - GRAM + 1, dtype=np.uint64) & np.uint64(1))
-        start = np.unique(at[row] - back)
-        edge[start] += 1  # a start may come with several anchors, so with several blobs
-        edge[start + length] -= 1
+    row, back = np.nonzero(marks[:, None] >> np.arange(length - GRAM + 1, dtype=np.uint64) & np.uint64(1))
+    start = np.unique(at[row].astype(np.int64) - back)  # a string may hold several anchors
+    edge[start] += 1
+    edge[start + length] -= 1
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -416,26 +447,41 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id") -> Da
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 63}")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+                       F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumns({"text_hash": F.xxhash64("text"), "bucket": F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")})
+
+    def dealt(df: DataFrame, *order: str) -> DataFrame:
+        return df.repartition(buckets, "bucket").sortWithinPartitions("bucket", *order)
+
+    def with_known(known: DataFrame, *columns: str) -> DataFrame:
+        """Documents beside what has come for them, which sorts first in a bucket."""
+        have = known.select("bucket", "known", *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns])
+        both = have.union(rows.select("bucket", F.lit(None).cast("binary").alias("known"), *columns))
+        return dealt(both.withColumn("is_document", F.col("known").isNull()), "is_document")
+
     sent = rows.select("id", "text").mapInArrow(lambda it: _send_anchors(it, length, buckets), SENT)
-    places = stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_repeated, "id long, at binary"), "places")
-    wanted = rows.select("id", "text_hash", "text").join(places.groupBy("id").agg(F.collect_list("at").alias("places")), "id")
-    contexts = wanted.mapInArrow(lambda it: _send_contexts(it, length, buckets), MARKS)
-    marks = stored(contexts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                   .mapInArrow(lambda it: _match(it, length, buckets), "id long, text_hash long, marks binary"), "marks")
-    joined = rows.join(marks.groupBy("id", "text_hash").agg(F.collect_list("marks").alias("marks")), ["id", "text_hash"], "left")
+    places = stored(dealt(sent).mapInArrow(lambda it: _repeated(it, buckets), HOMES), "places")
+    contexts = with_known(places, "id", "text_hash", "text").mapInArrow(lambda it: _send_contexts(it, length, buckets), SENT)
+    marks = stored(dealt(contexts).mapInArrow(lambda it: _match(it, length, buckets), HOMES), "marks")
+    discard(places)
     kind = rows.schema["key"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, types = AtHome(), (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in sliced(batches):
-            found = []
-            for text, blobs in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
+            found, kept = [], []
+            for row, (bucket, known, i, text_hash, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bucket", "known", "id", "text_hash", "text")))):
+                if known is not None:
+                    ids, texts, counts, at, strings = expand(known, np.int64, np.int64, np.int32, np.uint32, np.uint64)
+                    here.add(bucket, np.repeat(ids, counts), np.repeat(texts, counts), at, strings)
+                    continue
                 data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                gone = covered(len(data), length, blobs or [])
+                mine = here.of(bucket, i, text_hash)
+                gone = covered(len(data), length, *mine) if mine else np.zeros(len(data), bool)
                 found.append((len(data), int(gone.sum()), int((gone & ~np.r_[False, gone[:-1]]).sum()), data[~gone].tobytes()))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array([f[i] for f in found], t) for i, t in enumerate(types))],
+                kept.append(row)
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(kept, pa.int64())), *(pa.array([f[i] for f in found], t) for i, t in enumerate(types))],
                                              ["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (joined.select("key", "text", "marks")
+    return (with_known(marks, "key", "id", "text_hash", "text")
             .mapInArrow(cut, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("key", key))

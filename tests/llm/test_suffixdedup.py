@@ -80,6 +80,12 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert sorted(got, key=str) == sorted([(i, *b) for (i, _), b in zip(docs, brute(docs))], key=str)
 
 
+def test_home_is_the_bucket_that_spark_computes(spark):
+    ids = [0, 1, -5, 2**63 - 1, -2**63, 123456789012]
+    df = spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "pmod(xxhash64(id), 51) b")
+    assert {r.id: r.b for r in df.collect()} == {i: S.home(i, 51) for i in ids}
+
+
 def test_empty_table(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
