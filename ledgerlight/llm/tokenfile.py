@@ -29,6 +29,8 @@ from .units import Memo
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
+#: Distinct units that a worker remembers (about 150 bytes each): the library's work is on those it hasn't met.
+MEMO_UNITS = 800_000
 WIDTH = {"byte": 4, "bit": 32}
 
 
@@ -73,7 +75,7 @@ class LibraryEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # one character of a token is one byte
-        self.memo = Memo(self._encode)
+        self.memo = Memo(self._encode, MEMO_UNITS)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
