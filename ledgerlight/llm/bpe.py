@@ -26,6 +26,8 @@ NO_RANK = np.int32(2**31 - 1)
 EMPTY = np.int64(-1)
 #: Pieces of more bytes are merged with a heap: a matrix takes a number of steps that is quadratic in its width.
 LONG_PIECE = 2048
+#: Distinct units that an encoder remembers.
+MEMO_UNITS = 150_000
 #: Cells of one matrix; bounds a task's memory.
 CELLS = 1 << 21
 
@@ -135,7 +137,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.merges: dict[tuple[int, int], int] | None = None
-        self.memo = Memo(self._encode_units)
+        self.memo = Memo(self._encode_units, MEMO_UNITS)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.memo.encode(texts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import drop_scratch, scratch_path
 
 #: Text handled at once inside a Python task, in characters; bounds its memory.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
