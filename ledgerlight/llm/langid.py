@@ -4,12 +4,19 @@ Training counts hashed 1- to 3-grams of code points per language, distributed ov
 the smoothed log-probability matrix (languages x buckets) has a size fixed by parameters, and is
 broadcast.  Scoring looks up, per batch, the matrix rows of the n-grams that occur and sums them
 by document.
+
+The posterior of a text of more than a few letters is 1 whatever the text is, so :func:`accepted` also
+asks for evidence that doesn't grow with length: the mean log-probability of the text's letter 3-grams
+in the best language, and its lead over the second.  What both must reach is learned per language from
+documents that the scoring model wasn't fitted on.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +28,15 @@ from .common import sliced
 #: Code points between two documents of a batch, so that no n-gram spans both.
 GAP = 2
 UNDETERMINED = "und"
+LETTER, SPACE, DIGIT = 1, 2, 3
+#: Documents of a language, about, that its thresholds are learned from.
+HELD_OUT = 2_000
+#: A mean over n letter 3-grams is uncertain by this, in nats, over sqrt(n): two deviations of a single one.
+SPREAD = 4.0
+#: The gap assumed between a language and others where only one is learned, in nats a 3-gram.
+LONE_GAP = 4.0
+#: A text of this many letters of which fewer than the share are in words without digits is no language.
+BLOB_LETTERS, BLOB_SHARE = 20, 0.25
 
 
 @dataclass(frozen=True)
@@ -28,6 +44,9 @@ class LanguageModel:
     languages: list[str]
     log_prob: np.ndarray  #: float32, languages x buckets
     log_prior: np.ndarray  #: float64, languages
+    #: float64, languages: least mean log-probability a letter 3-gram, and its least lead (-inf: not known).
+    least_fit: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    least_lead: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
 def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,21 +77,106 @@ def _inside(start: np.ndarray, length: np.ndarray, total: int) -> np.ndarray:
     return np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """LETTER (marks too), SPACE, DIGIT or 0 for every code point."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for point in range(len(kinds)):
+        c = chr(point)
+        if c.isalpha() or unicodedata.category(c)[0] == "M":
+            kinds[point] = LETTER
+        elif c.isspace():
+            kinds[point] = SPACE
+        elif c.isnumeric():
+            kinds[point] = DIGIT
+    return kinds
+
+
+def _plain(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per position: a letter; one in a word without digits; the start of a 3-gram of those and spaces."""
+    kind = _kinds()[points]
+    letter, word = kind == LETTER, (kind == LETTER) | (kind == DIGIT)
+    begins = word & ~np.r_[False, word[:-1]]
+    first = np.flatnonzero(begins)
+    digits = np.add.reduceat(kind == DIGIT, first, dtype=np.int64) if len(first) else np.zeros(1, np.int64)
+    plain = letter & (digits[np.maximum(np.cumsum(begins) - 1, 0)] == 0)
+    fits = plain | (kind == SPACE)
+    return letter, plain, fits[:-2] & fits[1:-1] & fits[2:] & (plain[:-2] | plain[1:-1] | plain[2:])
+
+
+def evidence(log_prob: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Mean log probability of every text's letter 3-grams (rows) in every language (columns), the count of
+    those 3-grams, of the text's letters, and of its letters in words without digits."""
+    points, start, length = _code_points(texts)
+    letter, plain, counts = _plain(points)
+    *_, bucket = _buckets(points, int(np.log2(log_prob.shape[1])))
+
+    def by_text(values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.float64), np.zeros(GAP)])
+        total[len(values) + 1:] = total[len(values)]
+        return total[start + length] - total[start]
+
+    n = by_text(counts)
+    mean = np.stack([by_text(np.where(counts, row[bucket], 0)) for row in log_prob], 1) / np.maximum(n, 1)[:, None]
+    return mean, n, by_text(letter), by_text(plain)
+
+
 def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, np.ndarray] = {}
+    counts: dict[tuple[str, int], np.ndarray] = {}
     for batch in sliced(batches):
-        langs = np.array(batch.column("lang").to_pylist(), object)
+        langs, halves = np.array(batch.column("lang").to_pylist(), object), batch.column("half").to_numpy()
         texts = batch.column("text").to_pylist()
-        for lang in sorted(set(langs)):
-            points, start, length = _code_points([texts[i] for i in np.flatnonzero(langs == lang)])
+        for lang, half in sorted(set(zip(langs, halves.tolist()))):
+            points, start, length = _code_points([texts[i] for i in np.flatnonzero((langs == lang) & (halves == half))])
             inside = _inside(start, length, len(points))
-            total = counts.setdefault(lang, np.zeros(1 << bits, np.int64))
+            total = counts.setdefault((lang, half), np.zeros(1 << bits, np.int64))
             for bucket in _buckets(points, bits):
                 total += np.bincount(bucket[inside[:len(bucket)]], minlength=1 << bits)
-    for lang, total in counts.items():
+    for (lang, half), total in counts.items():
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(used)), pa.array(used.astype(np.int32)), pa.array(total[used])], ["lang", "bucket", "n"])
+            [pa.array([lang] * len(used)), pa.array([half] * len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array(total[used])],
+            ["lang", "half", "bucket", "n"])
+
+
+def _log_share(counts: np.ndarray) -> np.ndarray:
+    return np.log(counts / counts.sum(axis=-1, keepdims=True)).astype(np.float32)
+
+
+def _held_out(batches: Iterator[pa.RecordBatch], languages: list[str], log_probs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of every document with letter 3-grams, by the model of the other half: its own language's mean and lead."""
+    at = {lang: i for i, lang in enumerate(languages)}
+    for batch in sliced(batches):
+        langs, halves = np.array([at[x] for x in batch.column("lang").to_pylist()]), batch.column("half").to_numpy()
+        texts = batch.column("text").to_pylist()
+        for half in (0, 1):
+            rows = np.flatnonzero(halves == half)
+            if not len(rows):
+                continue
+            mean, n, _, _ = evidence(log_probs[1 - half], [texts[i] for i in rows])
+            own = mean[np.arange(len(rows)), langs[rows]]
+            mean[np.arange(len(rows)), langs[rows]] = -np.inf
+            lead, some = own - mean.max(axis=1), n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(langs[rows][some].astype(np.int32)), pa.array(own[some]), pa.array(lead[some])], ["at", "fit", "lead"])
+
+
+def _thresholds(n: int, at: np.ndarray, fit: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least fit and least lead of each of ``n`` languages.
+
+    A text with a quarter in another language has half the usual lead.  The fit may be lower than usual by
+    half of what a text of another language is, or as low as that of one in a hundred held-out documents.
+    Held-out documents that fit another language better than their own are left out, unless all do.
+    """
+    least_fit, least_lead = np.full(n, -np.inf), np.full(n, -np.inf)
+    for i in range(n):
+        mine = at == i
+        if (mine & (lead > 0)).any():
+            mine &= lead > 0
+        if mine.any():
+            gap = np.median(lead[mine]) if n > 1 else LONE_GAP
+            least_lead[i] = gap / 2 if n > 1 else -np.inf
+            least_fit[i] = min(np.median(fit[mine]) - max(gap, 0) / 2, np.quantile(fit[mine], 0.01))
+    return least_fit, least_lead
 
 
 def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15, smoothing: float = 0.5,
@@ -82,7 +186,8 @@ def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15,
     At most about ``max_docs_per_language`` documents of a language are used, chosen by a hash of
     the text, so the work of fitting stays bounded; the matrix is bounded by ``2**bits`` buckets times
     ``max_languages`` (more distinct labels raise ``ValueError``).  No usable rows: a model without
-    languages.
+    languages.  The thresholds of :func:`accepted` are learned from about ``HELD_OUT`` of them a language,
+    each scored by the n-grams of the half of the sample (by a hash of the text) that it isn't in.
     """
     rows = docs.select(F.col("text").alias("text"), F.col("lang").alias("lang")).where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
@@ -92,18 +197,25 @@ def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15,
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << bits), np.float32), np.zeros(0))
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = F.lit(0)
-    for lang in languages:
-        share = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * min(1.0, max_docs_per_language / sizes[lang])))).otherwise(share)
-    sample = rows.where(part < share)
-    counted = (sample.mapInArrow(lambda it: _count(it, bits), "lang string, bucket int, n long")
-               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    counts = np.full((len(languages), 1 << bits), smoothing)
+
+    def drawn(most: int) -> DataFrame:
+        share = F.lit(0)
+        for lang in languages:
+            share = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * min(1.0, most / sizes[lang])))).otherwise(share)
+        return rows.where(part < share).withColumn("half", F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int"))
+
+    counted = (drawn(max_docs_per_language).mapInArrow(lambda it: _count(it, bits), "lang string, half int, bucket int, n long")
+               .groupBy("lang", "half", "bucket").agg(F.sum("n").alias("n")))
+    counts = np.zeros((2, len(languages), 1 << bits))
     at = {lang: i for i, lang in enumerate(languages)}
     got = counted.toArrow()
-    counts[[at[x] for x in got.column("lang").to_pylist()], got.column("bucket").to_numpy()] += got.column("n").to_numpy()
+    counts[got.column("half").to_numpy(), [at[x] for x in got.column("lang").to_pylist()], got.column("bucket").to_numpy()] += got.column("n").to_numpy()
     total = np.array([sizes[x] for x in languages], float)
-    return LanguageModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), np.log(total / total.sum()))
+    halves = docs.sparkSession.sparkContext.broadcast(_log_share(counts + smoothing))
+    held = (drawn(min(HELD_OUT, max_docs_per_language))
+            .mapInArrow(lambda it: _held_out(it, languages, halves.value), "at int, fit double, lead double").toArrow())
+    thresholds = _thresholds(len(languages), *(held.column(c).to_numpy() for c in ("at", "fit", "lead")))
+    return LanguageModel(languages, _log_share(counts.sum(axis=0) + smoothing), np.log(total / total.sum()), *thresholds)
 
 
 def log_likelihood(log_prob: np.ndarray, log_prior: np.ndarray, texts: list[str]) -> np.ndarray:
@@ -157,20 +269,39 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id") -> DataF
             .withColumnRenamed("key", key))
 
 
+def clear(model: LanguageModel, texts: list[str]) -> np.ndarray:
+    """Whether each text is clearly in one learned language, as far as its length tells.
+
+    Its letter 3-grams must fit their best language, and lead over the second, by what held-out documents
+    of that language do; and of ``BLOB_LETTERS`` letters or more a quarter must be in words without digits.
+    """
+    mean, n, letters, plain = evidence(model.log_prob, texts)
+    rows, best = np.arange(len(texts)), mean.argmax(axis=1)
+    fit = mean[rows, best]
+    mean[rows, best] = -np.inf
+    slack = SPREAD / np.sqrt(np.maximum(n, 1))
+    holds = (fit + slack >= model.least_fit[best]) & (fit - mean.max(axis=1) + slack >= model.least_lead[best])
+    return (holds | (n == 0)) & ((letters < BLOB_LETTERS) | (plain >= BLOB_SHARE * letters))
+
+
 def accepted(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined with at least ``min_score``.
+    """The rows of ``docs``, all columns, whose language is determined.
 
-    A text without any letter goes, as does one between two languages.  With a model without
-    languages every text that has a letter stays.  Row order and repeats are kept as they are.
+    That takes a letter, a posterior of at least ``min_score`` and a text that is :func:`clear`: random
+    letters, encoded blobs, scripts and languages that weren't learned, and texts with over about a quarter
+    in another language go.  With a model without languages every text that has a letter stays.  Row
+    order and repeats are kept as they are.
     """
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.log_prob, model.log_prior))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in sliced(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(_decide(log_likelihood(*shared.value, texts))[1] >= min_score))
+            score = _decide(log_likelihood(model.log_prob, model.log_prior, texts))[1]
+            yield batch.filter(pa.array((score >= min_score) & clear(model, texts)))
 
     return docs.where(F.col("text").rlike(r"\p{L}")).mapInArrow(keep, schema)

@@ -1,4 +1,6 @@
+import base64
 import math
+import random
 
 import numpy as np
 import pytest
@@ -78,3 +80,30 @@ def test_held_out_accuracy(spark):
     held = docs.where(id_remainder("doc_id", 5) == 0)
     pairs = langid.predict(held, model).join(held.select("doc_id", "lang"), "doc_id").collect()
     assert sum(r["lang_pred"] == r["lang"] for r in pairs) >= 0.98 * len(pairs)
+
+
+def test_texts_in_no_one_language_go(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    model = langid.train(docs.where(id_remainder("doc_id", 5) != 0))
+    held = docs.where(id_remainder("doc_id", 5) == 0).where("text rlike '[a-zA-Z]'")
+    long = {x: [r["text"] for r in held.where(f"lang = '{x}' and length(text) > 1000").orderBy("doc_id").limit(5).collect()] for x in model.languages}
+    rng = random.Random(3)
+    bad = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(400)),
+           base64.b64encode(rng.randbytes(300)).decode(), rng.randbytes(200).hex(), "Съешь ещё этих мягких французских булок, да выпей чаю. " * 5,
+           "我能吞下玻璃而不伤身体。今天天气很好。" * 20, "    return [y for y in range(x) if y % 2 == 0]\n" * 8]
+    for a, b in (("en", "fr"), ("de", "en"), ("es", "fr")):
+        bad += [x[:400] + " " + y[:400] for x, y in zip(long[a], long[b])]  # one half after the other
+        bad += [" ".join(w for pair in zip(x.split()[:60], y.split()[:60]) for w in pair) for x, y in zip(long[a], long[b])]  # and word by word
+    got = langid.accepted(spark.createDataFrame(list(enumerate(bad)), "doc_id long, text string"), model).collect()
+    assert [bad[r["doc_id"]][:80] for r in got] == []
+    good = ["It is.", "A", *(x[:n] for n in (30, 100, 1000) for some in long.values() for x in some)]
+    assert langid.accepted(spark.createDataFrame([(t,) for t in good], "text string"), model).count() == len(good)
+    assert langid.accepted(held, model).count() >= 0.98 * held.count()
+
+
+def test_one_learned_language(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("lang = 'en'")
+    model = langid.train(docs)
+    bad = spark.createDataFrame([("".join(random.Random(3).choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)),)], "text string")
+    assert langid.accepted(bad, model).count() == 0
+    assert langid.accepted(docs, model).count() >= 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
