@@ -12,6 +12,9 @@ A byte goes if it lies in a ``length``-byte string that also starts in a documen
 3. Marks return to their documents, and the bytes they cover go.
 
 Every task sends each anchor and each distinct context once, however many of its documents hold them.
+The contexts of an anchor that occurs very often are not sent whole: they are cut into their strings, dealt
+by all bytes of the string, of which a task again sends the rows of its smallest document only.  Equal
+strings still meet, as the least anchor of a string is in the same place of both.
 """
 
 from __future__ import annotations
@@ -33,7 +36,11 @@ GRAM = 24
 FLUSH_ANCHORS, FLUSH_CONTEXTS = 1_500_000, 300_000
 #: Suffixes sorted at once, unless one gram alone has more.
 SORT = 200_000
+#: A gram that is an anchor this often is dealt by its strings; others go to one bucket each.
+HOT = 20_000
 NO_ID = 2**63 - 1
+#: The bits of an anchor's hash that travel with its places.
+LOW = np.uint64(0xFFFFFFFFFF)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -43,20 +50,25 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, 8)[:len(data)].copy().view(np.uint64).reshape(-1)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each position on."""
-    words = _words(data)
-    n = len(data) - GRAM + 1
-    out = words[:n] * _M1
-    for shift in (8, 16):
+def _hash(*words: np.ndarray) -> np.ndarray:
+    """Hash of the three words of each gram."""
+    out = words[0] * _M1
+    for word, factor in zip(words[1:], (_M2, _M1)):
         out ^= out >> np.uint64(29)
-        out += words[shift:n + shift]
-        out *= _M2 if shift == 8 else _M1
+        out += word
+        out *= factor
         out ^= out >> np.uint64(32)
     out *= _M2
     return out ^ (out >> np.uint64(32))
 
 
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` bytes from each position on."""
+    words = _words(data)
+    n = len(data) - GRAM + 1
+    return _hash(words[:n], words[8:n + 8], words[16:n + 16])
+
+
 def _sliding(a: np.ndarray, best: np.ufunc, width: int) -> np.ndarray:
     span = 1
     while span * 2 <= width:
@@ -131,18 +143,20 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
         # All places of a hash that several documents here hold are known to matter: one is sent for the others.
         yield _sent([(b, blob, None) for b, blob in _places(ids[several], at[several], buckets)])
         lone = ~several | differs(hashes)
+        size = runs(differs(hashes))[1]
+        times = np.where(several, np.repeat(size, size), 1)[lone].astype(np.uint32)
         hashes, ids, at = hashes[lone], ids[lone], at[lone]
         bucket = (hashes >> np.uint64(40)).astype(np.int64) % buckets
         order = np.lexsort((at, ids, bucket))
-        hashes, ids, at, bucket = hashes[order], ids[order], at[order], bucket[order]
+        hashes, ids, at, times, bucket = hashes[order], ids[order], at[order], times[order], bucket[order]
         first, size = runs(differs(bucket))
         for lo, n in zip(first.tolist(), size.tolist()):
             part = slice(lo, lo + n)
             starts, counts = runs(differs(ids[part]))
-            low = hashes[part] & np.uint64(0xFFFFFFFFFF)
+            low = hashes[part] & LOW
             gaps = np.diff(at[part].astype(np.int64), prepend=0).astype(np.int32)  # starts anew, as a negative gap, with each document
             yield _sent([(int(bucket[lo]), None, squeeze(
-                low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), gaps, np.diff(ids[part][starts], prepend=0), counts.astype(np.int32)))])
+                low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8), gaps, np.diff(ids[part][starts], prepend=0), counts.astype(np.int32), times[part]))])
 
     for batch in sliced(batches):
         for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
@@ -183,18 +197,24 @@ def _to_homes(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "known"])
 
 
-def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Places of anchors that several documents hold, by home bucket."""
+def _repeated(batches: Iterator[pa.RecordBatch], buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
+    """Places of anchors that several documents hold, by home bucket; and with -1 for a bucket, the hashes of
+    those that occur ``hot`` times."""
     for bucket, known, blobs in _by_bucket(batches):
         if known is not None:
             yield _to_homes([(bucket, known)])
             continue
         parts = []
         for blob in blobs:
-            low, high, gaps, ids, counts = expand(blob, np.uint32, np.uint8, np.int32, np.int64, np.int32)
-            parts.append((low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), np.repeat(np.cumsum(ids), counts), np.cumsum(gaps, dtype=np.int64).astype(np.uint32)))
-        hashes, ids, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            low, high, gaps, ids, counts, times = expand(blob, np.uint32, np.uint8, np.int32, np.int64, np.int32, np.uint32)
+            parts.append((low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), np.repeat(np.cumsum(ids), counts),
+                          np.cumsum(gaps, dtype=np.int64).astype(np.uint32), times))
+        hashes, ids, at, times = (np.concatenate([p[i] for p in parts]) for i in range(4))
         order, several = _held_by_several(hashes, ids)
+        first, _ = runs(differs(hashes[order]))
+        often = hashes[order][first][np.add.reduceat(times[order], first, dtype=np.int64) >= hot] if len(first) else hashes
+        if len(often):
+            yield _to_homes([(-1, often.tobytes())])
         yield _to_homes(_places(ids[order][several], at[order][several], buckets))
 
 
@@ -272,6 +292,43 @@ class Contexts:
         reach = (self.around.shape[1] - GRAM) // 2
         return np.ascontiguousarray(self.around[:, reach:reach + GRAM]).view(f"S{GRAM}").reshape(-1)
 
+    def gram_hashes(self) -> np.ndarray:
+        """As in the places, without their upper bits."""
+        reach = (self.around.shape[1] - GRAM) // 2
+        words = np.ascontiguousarray(self.around[:, reach:reach + GRAM]).view(np.uint64)
+        return _hash(*words.T) & LOW
+
+    def strings(self, length: int) -> Iterator[Contexts]:
+        """Every possible string as a context of nothing else, in portions; those of one offset come together."""
+        reach = length - GRAM
+        possible = self.possible(length)
+
+        def cut(l: int) -> Contexts:
+            c = self.take(np.flatnonzero(possible >> np.uint64(l) & np.uint64(1)))
+            around = np.zeros_like(c.around)
+            around[:, reach - l:reach - l + length] = c.around[:, reach - l:reach - l + length]
+            n = len(around)
+            return Contexts(around, np.full(n, l, np.uint8), np.full(n, length - l, np.uint8), c.ids, c.texts, c.at)
+
+        step = max(1, FLUSH_CONTEXTS // max(1, len(self.ids)))
+        for lo in range(0, reach + 1, step):
+            yield Contexts.joined([cut(l) for l in range(lo, min(lo + step, reach + 1))])
+
+    def single(self, length: int) -> np.ndarray:
+        """Whether a row has one possible string only."""
+        return self.left.astype(np.int64) + self.right == length
+
+    def string_hashes(self) -> np.ndarray:
+        """Hash of all bytes."""
+        width = self.around.shape[1]
+        padded = np.zeros((len(self.around), -(-width // 8) * 8), np.uint8)
+        padded[:, :width] = self.around
+        out = np.zeros(len(padded), np.uint64)
+        for word in padded.view(np.uint64).T:
+            out = (out ^ word) * _M1
+            out ^= out >> np.uint64(29)
+        return out * _M2 >> np.uint64(33)
+
     def possible(self, length: int) -> np.ndarray:
         """Bit l of each row: the string that starts l bytes before the anchor lies inside the text."""
         back = np.arange(length - GRAM + 1)
@@ -348,28 +405,40 @@ def _marked(c: Contexts, marks: np.ndarray, buckets: int) -> list[tuple]:
     return out
 
 
-def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Contexts of the wanted places; in the batches, a bucket's places stand before its documents."""
     here = AtHome()
     parts: list[Contexts] = []
     held = 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        c, begins = Contexts.joined(parts).classes()
+    def firsts(c: Contexts) -> tuple[pa.RecordBatch, Contexts]:
+        """The marks of contexts that a smaller document of this task has as well: all their strings are repeats; and the others."""
+        c, begins = c.classes()
         least = np.repeat(c.ids[begins], runs(begins)[1])
-        # A context that a smaller document of this task has as well is a repeat for all its strings.
-        yield _sent([(b, blob, None) for b, blob in _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)])
-        c = c.take(c.ids == least)
-        reach = length - GRAM
-        words = np.ascontiguousarray(c.around[:, reach:reach + GRAM]).view(np.uint64)
-        mixed = (words[:, 0] * _M1 ^ words[:, 1]) * _M2 ^ words[:, 2] * _M1
-        bucket = ((mixed ^ mixed >> np.uint64(29)) * _M2 >> np.uint64(33)).astype(np.int64) % buckets
+        marks = _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)
+        return _sent([(b, blob, None) for b, blob in marks]), c.take(c.ids == least)
+
+    def dealt(c: Contexts, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.argsort(bucket, kind="stable")
         c, bucket = c.take(order), bucket[order]
         first, size = runs(differs(bucket))
         for i, n in zip(first.tolist(), size.tolist()):
             yield _sent([(int(bucket[i]), None, c.take(np.arange(i, i + n)).pack())])
 
+    def flush() -> Iterator[pa.RecordBatch]:
+        marks, c = firsts(Contexts.joined(parts))
+        yield marks
+        often = np.isin(c.gram_hashes(), hot)
+        for strings in c.take(often).strings(length) if often.any() else ():
+            marks, strings = firsts(strings)
+            yield marks
+            yield from dealt(strings, strings.string_hashes().astype(np.int64) % buckets)
+        c = c.take(~often)
+        reach = length - GRAM
+        words = np.ascontiguousarray(c.around[:, reach:reach + GRAM]).view(np.uint64)
+        mixed = (words[:, 0] * _M1 ^ words[:, 1]) * _M2 ^ words[:, 2] * _M1
+        yield from dealt(c, ((mixed ^ mixed >> np.uint64(29)) * _M2 >> np.uint64(33)).astype(np.int64) % buckets)
+
     for batch in sliced(batches):
         for bucket, known, i, text_hash, text in zip(*(batch.column(x).to_pylist() for x in ("bucket", "known", "id", "text_hash", "text"))):
             if known is not None:
@@ -411,7 +480,8 @@ def _match(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
         stand = c.take(first)
         gram_first, gram_size = runs(differs(stand.grams()))
         marks = np.zeros(len(first), np.uint64)
-        several = gram_size > 1
+        # Contexts of one string each are all different strings, or the same at another offset: nothing to find.
+        several = (gram_size > 1) & ~np.logical_and.reduceat(stand.single(length), gram_first)
         chunk, count = [], 0
         for a, n in [*zip(gram_first[several].tolist(), gram_size[several].tolist()), (None, 0)]:
             if chunk and (a is None or (count + n) * (length - GRAM + 1) > SORT):
@@ -434,14 +504,15 @@ def covered(size: int, length: int, at: np.ndarray, marks: np.ndarray) -> np.nda
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", hot: int = HOT) -> DataFrame:
     """``key``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes) of each row.
 
     A byte of a text's UTF-8 form is removed if a string of ``length`` bytes that covers it also starts
     in a document with a smaller id; strings are those of the input, and none crosses documents.
     ``n_spans`` counts maximal removed runs.  Nulls and empty texts have no bytes; a null id counts as
     larger than all others; rows with equal ids are not earlier than each other.  ``length`` is from
-    ``GRAM`` + 1 to ``GRAM`` + 63.
+    ``GRAM`` + 1 to ``GRAM`` + 63.  An anchor that occurs ``hot`` times is dealt by its strings; the list of
+    those is at most a ``hot``-th of the anchors, and the result doesn't depend on it.
     """
     if not GRAM < length <= GRAM + 63:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 63}")
@@ -460,8 +531,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id") -> Da
         return dealt(both.withColumn("is_document", F.col("known").isNull()), "is_document")
 
     sent = rows.select("id", "text").mapInArrow(lambda it: _send_anchors(it, length, buckets), SENT)
-    places = stored(dealt(sent).mapInArrow(lambda it: _repeated(it, buckets), HOMES), "places")
-    contexts = with_known(places, "id", "text_hash", "text").mapInArrow(lambda it: _send_contexts(it, length, buckets), SENT)
+    places = stored(dealt(sent).mapInArrow(lambda it: _repeated(it, buckets, hot), HOMES), "places")
+    often = [np.frombuffer(r["known"], np.uint64) for r in places.where("bucket < 0").select("known").collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(np.unique(np.concatenate([np.zeros(0, np.uint64), *often])))
+    contexts = (with_known(places.where("bucket >= 0"), "id", "text_hash", "text")
+                .mapInArrow(lambda it: _send_contexts(it, length, buckets, shared.value), SENT))
     marks = stored(dealt(contexts).mapInArrow(lambda it: _match(it, length, buckets), HOMES), "marks")
     discard(places)
     kind = rows.schema["key"].dataType.simpleString()

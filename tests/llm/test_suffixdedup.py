@@ -93,3 +93,33 @@ def test_empty_table(spark):
 def test_length_is_checked(spark):
     with pytest.raises(ValueError):
         S.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), length=S.GRAM)
+
+
+@pytest.mark.parametrize("hot", [1, 25])
+def test_often_found_anchors_against_brute_force(spark, hot):
+    docs = [d for d in corpus() if len(d[1] or "") < 5000]
+    rng = np.random.default_rng(5)
+    phrase = "this phrase of some forty bytes is common "
+    docs += [(1000 + i, " ".join(map(str, rng.integers(0, 30, 6))) + phrase + " ".join(map(str, rng.integers(0, 30, 6)))) for i in range(150)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in S.remove_repeats(df, hot=hot).collect()]
+    assert sorted(got, key=str) == sorted([(i, *b) for (i, _), b in zip(docs, brute(docs))], key=str)
+
+
+def test_an_often_found_gram_is_dealt_to_many_buckets():
+    import pyarrow as pa
+    texts = [f"{i:040d} a phrase in many texts, of forty bytes {i * 7:040d}" for i in range(500)]
+    at = texts[0].index("phrase")
+    gram = np.frombuffer(texts[0].encode()[at:at + S.GRAM], np.uint8)
+    buckets = 40
+    places = S.squeeze(np.arange(500), np.ones(500, np.int32), np.full(500, at, np.uint32))
+    batch = pa.table({"bucket": pa.array([0] * 501, pa.int32()), "known": pa.array([places] + [None] * 500, pa.binary()), "id": pa.array([None, *range(500)], pa.int64()),
+                      "text_hash": pa.array([None, *range(500)], pa.int64()), "text": [None, *texts]}).to_batches()[0]
+
+    def dealt(hot):
+        rows = [r for b in S._send_contexts(iter([batch]), LENGTH, buckets, hot) for r in b.to_pylist() if r["blob"]]
+        return {b: sum(len(S.Contexts.unpack(r["blob"]).ids) for r in rows if r["bucket"] == b) for b in {r["bucket"] for r in rows}}
+
+    assert list(dealt(np.zeros(0, np.uint64)).values()) == [500]
+    spread = dealt(S.gram_hashes(gram) & S.LOW)
+    assert len(spread) == buckets and max(spread.values()) < 3 * sum(spread.values()) / buckets
