@@ -13,6 +13,7 @@ Layout under one folder, both parts Parquet so that any store Spark can write wi
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain, compress
 from operator import not_
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import sliced
-from .units import Memo
+from .units import Memo, units
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
@@ -58,11 +59,18 @@ def from_planes(count: int, planes: list[bytes]) -> np.ndarray:
     return np.ascontiguousarray(raw).view("<u4").reshape(-1)
 
 
+def _any_of(contents: list[str]) -> re.Pattern | None:
+    return re.compile("|".join(map(re.escape, contents))) if contents else None
+
+
 class LibraryEncoder:
-    """Encodes units of text with the tokenizers library; special tokens in a text are ordinary text.
+    """Encodes units of text as the library's ``encode(text, add_special_tokens=False)`` does whole texts;
+    so an added token that a text holds, special or not, becomes its id.
 
     Units that begin with a space and a character follow each other in one string for the library: no
-    piece of the byte-level pattern spans two of them, and the tokens' bytes tell where each ends.
+    piece of the byte-level pattern spans two of them, and the tokens' bytes tell where each ends.  Those
+    that hold an added token are encoded alone.  Where such a token may reach over a space, a text that
+    holds it isn't cut.
     """
 
     JOINED = 2000
@@ -71,17 +79,24 @@ class LibraryEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = _any_of([t.content for t in added])
+        self.uncut = _any_of([t.content for t in added if t.rstrip or any(map(str.isspace, t.content))])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # one character of a token is one byte
-        self.memo = Memo(self._encode, MEMO_UNITS)
+        self.memo = Memo(self._encode, MEMO_UNITS, self._cut)
+
+    def _cut(self, text: str) -> list[str]:
+        return [text] if self.uncut and self.uncut.search(text) else units(text)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         apart = [len(u) > 1 and u.strip() == u[1:] for u in new]  # one space before, none behind
+        if self.added:
+            apart = [a and not self.added.search(u) for a, u in zip(apart, new)]
         alone, joined = list(compress(new, map(not_, apart))), list(compress(new, apart))
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for lo in range(0, len(alone), self.JOINED):

@@ -33,11 +33,12 @@ class Memo:
     """Remembers the ids of units; :meth:`encode` gives the ids of whole texts.
 
     ``encode_new`` gets distinct units and returns them in an order of its own, their ids in that order,
-    concatenated, and the count of each.
+    concatenated, and the count of each.  ``cut`` gives the units of a text.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]], limit: int = MEMO_UNITS):
-        self.encode_new, self.limit = encode_new, limit
+    def __init__(self, encode_new: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]], limit: int = MEMO_UNITS,
+                 cut: Callable[[str], list[str]] = units):
+        self.encode_new, self.limit, self.cut = encode_new, limit, cut
         self.clear()
 
     def clear(self) -> None:
@@ -57,7 +58,7 @@ class Memo:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, concatenated, and each text's count of ids."""
-        cut = [units(t) for t in texts]
+        cut = [self.cut(t) for t in texts]
         if len(self.at) > self.limit:
             self.clear()
         new = dict.fromkeys(chain.from_iterable(cut)).keys() - self.at.keys()

@@ -69,3 +69,37 @@ def test_query_columns(spark, tmp_dir):
         ids = THEIRS.encode(t or "", add_special_tokens=False).ids + [2]
         assert got[k] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+PLAIN = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+LITERALS = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a  <|endoftext|>\n\n b <|endoftext|><|endoftext|> c", " <|endoftext|> ", "a <|endof text|> b"]
+
+
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "a", "b's", "\n", "é漢", "<|endof", "text|>", "19"]), max_size=12).map("".join), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_added_tokens_encode_as_by_an_untouched_tokenizer(texts):
+    ids, counts = tokenfile.LibraryEncoder.encode(OURS, LITERALS + texts)
+    ends = np.cumsum(counts)
+    assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [PLAIN.encode(t, add_special_tokens=False).ids for t in LITERALS + texts]
+
+
+def test_added_tokens_over_spaces():
+    from tokenizers import AddedToken
+    theirs = Tokenizer.from_str(DEFINITION)
+    theirs.add_tokens([AddedToken("two words", rstrip=True), AddedToken("strip", lstrip=True, rstrip=True), AddedToken("one", single_word=True)])
+    texts = ["a two words b c", "a  strip b strip  c", "one alone one", "nothing of this", "two  words"]
+    ids, counts = tokenfile.LibraryEncoder(theirs.to_str()).encode(texts)
+    ends = np.cumsum(counts)
+    assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_query_with_added_tokens_in_texts(spark, tmp_dir):
+    from ledgerlight.llm.queries import op6_token_files
+    docs = list(enumerate(LITERALS))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/literals/documents.parquet")
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in op6_token_files(spark, f"{tmp_dir}/literals").collect()}
+    at = 0
+    for k, t in docs:
+        ids = PLAIN.encode(t, add_special_tokens=False).ids + [2]
+        assert got[k] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
