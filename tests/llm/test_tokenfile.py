@@ -12,7 +12,6 @@ from ledgerlight.session import scratch_path
 
 DEFINITION = open(P.path("byte_bpe_50k.json"), encoding="utf-8").read()
 THEIRS = Tokenizer.from_str(DEFINITION)
-THEIRS.encode_special_tokens = True
 OURS = tokenfile.LibraryEncoder(DEFINITION)
 
 
