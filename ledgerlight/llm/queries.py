@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, filteraudit, imatch, katz, langid, secrets, simhash, suffixdedup, tokenfile, urls
+from . import bpe, conversations, decontaminate, filteraudit, imatch, katz, langid, secrets, simhash, suffixdedup, tokenfile, urls
 from ..session import scratch_path
 from .common import id_remainder, table
 
@@ -83,6 +83,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its lightest repair, and the digest of what that gives."""
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove from the documents of each language, in all 120 orders."""
     return filteraudit.interactions(*filteraudit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch": op8_imatch,
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
 
