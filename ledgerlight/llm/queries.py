@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, decontaminate, filteraudit, imatch, katz, langid, secrets, simhash, suffixdedup, tokenfile, urls
+from . import bpe, conversations, decontaminate, filteraudit, htmltext, imatch, katz, langid, secrets, simhash, suffixdedup, tokenfile, urls
 from ..session import scratch_path
 from .common import id_remainder, table
 
@@ -88,6 +88,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by weights learnt from pages that mark theirs."""
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extracted(pages, htmltext.learn(pages))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove from the documents of each language, in all 120 orders."""
     return filteraudit.interactions(*filteraudit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_language_id": op10_language_id,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_html_text": op12_html_text,
     "op13_filter_audit": op13_filter_audit,
 }
 
