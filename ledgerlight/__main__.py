@@ -43,8 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.cmd == "etl":
             from .plans.etl import daily_etl
-            for name, path in daily_etl(spark, args.source, args.target, args.as_of).items():
-                print(f"{name}\t{path}")
+            done = daily_etl(spark, args.source, args.target, args.as_of)
+            for name, keys in sorted(done.manifest.folders.items()):
+                print(f"{name}\tversion {done.manifest.version}\t{len(keys)} folders below {done.root}")
+            print(f"reports\t{done.reports}")
         else:
             df = catalog.load_all()[args.key].build(spark, args.source)
             w = df.write.mode("overwrite")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from ..operators import features as FE
 from ..operators import quality as Q
+from ..session import scratch_path
 from ..sources import tables as T
 from .catalog import register
+from .etl import daily_etl
 from .sqltext import CUSTOMER_ORDERS, SALES_AS_OF
 from .feature_queries import CM_CTE, NORM_CTE
 
@@ -94,6 +96,37 @@ def q_dq_quarantine(spark, sf_dir):
     return bad
 
 
+#: Two days on which the daily run is made, and the first day that the second one extracts.
+RUNS, SECOND_EXTRACT = ("2001-08-02", "2001-08-03"), "2001-07-01"
+
+
+def _two_runs(spark, sf_dir):
+    """The daily run over the defective landing: everything, then the next day's extract."""
+    root = scratch_path(spark, "warehouse")
+    return [daily_etl(spark, sf_dir, root, day, extract=T.staging_sales_raw) for day in RUNS][-1]
+
+
+@register("etl_fact_sales", ids=("SK-05", "SC-05"), doubles=["order_value", "discount"], sql=f"""
+WITH {RAW_SALES},{CHECKED}
+SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id, CAST(product_id AS BIGINT) AS product_id,
+       CAST(order_date AS TIMESTAMP) AS order_date, CAST(order_value AS DOUBLE) AS order_value, CAST(quantity AS INTEGER) AS quantity,
+       CAST(discount AS DOUBLE) AS discount, status, strftime(CAST(order_date AS TIMESTAMP), '%Y-%m') AS order_month
+FROM checked WHERE dq_reasons = ''""")
+def q_etl_fact_sales(spark, sf_dir):
+    """fact_sales after two daily runs: every valid row once."""
+    return _two_runs(spark, sf_dir).read("fact_sales")
+
+
+@register("etl_quarantine", ids=("VQ-04", "SC-05"), sql=f"""
+WITH {RAW_SALES.replace("SELECT if(", "SELECT o.o_orderdate AS sold, if(", 1)},{CHECKED},
+rejected AS (SELECT * EXCLUDE (sold), sold FROM checked WHERE dq_reasons <> '')
+SELECT * EXCLUDE (sold), '{RUNS[0]}' AS run_date FROM rejected
+UNION ALL SELECT * EXCLUDE (sold), '{RUNS[1]}' FROM rejected WHERE sold >= TIMESTAMP '{SECOND_EXTRACT}'""")
+def q_etl_quarantine(spark, sf_dir):
+    """Rows that two daily runs rejected, with their reasons: the second looks at its extract only."""
+    return _two_runs(spark, sf_dir).quarantine()
+
+
 @register("dq_score", ids=("VQ-05", "D5"), doubles=["quality_score"], sql=f"""
 WITH {RAW_SALES},{CHECKED}
 SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE dq_reasons = '') AS valid_rows,

@@ -3,7 +3,8 @@
 All writes are idempotent or append-only so a failed job can be re-run:
 facts and daily reports overwrite only the partitions they touch
 (``partitionOverwriteMode=dynamic``); dimensions are rebuilt newest-row-per-key
-and overwritten (Parquet tables reject MERGE).  The reference's load batch
+and overwritten (Parquet tables reject MERGE).  The daily run replaces its tables
+through ``versioned`` instead, so that readers see all of a run or nothing of it.  The reference's load batch
 of 5,000 rows maps to JDBC ``batchsize`` when the target is a database.
 """
 
@@ -114,39 +115,6 @@ def load_fact_sales(ss: DataFrame, path: str) -> None:
        .partitionBy("order_month").parquet(path))
 
 
-def month_of(day: _dt.date, days: int) -> str:
-    """``'yyyy-MM'`` of the day ``days`` before ``day``."""
-    return (day - _dt.timedelta(days=days)).strftime("%Y-%m")
-
-
-def text_month(col: str):
-    """:func:`month_key` of a date still in text form; text that is no date sorts after all months."""
-    return F.coalesce(F.date_format(F.col(col).try_cast("timestamp_ntz"), MONTH_PATTERN), F.lit("~"))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
-def replace_months(ss: DataFrame, path: str, first_month: str | None) -> None:
-    """SK-05 for a recurring load: ``ss`` holds all rows of the months from ``first_month`` on (None: of all).
-
-    Those months are replaced, and the ones among them that ``ss`` has no row of are removed; earlier
-    months stay.  Months are few, so their names may be listed on the driver.
-    """
-    spark = ss.sparkSession
-    load_fact_sales(ss, path)
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    kept = {r[0] for r in ss.select(month_key("order_date")).distinct().collect()}
-    for status in fs.listStatus(fs_path(path)):
-        name = status.getPath().getName()
-        month = name.removeprefix("order_month=")
-        if month != name and month >= (first_month or "") and month not in kept:
-            fs.delete(status.getPath(), True)
-
-
 def newest_order(df: DataFrame, date_col: str) -> list[str]:
     """``date_col``, then all other columns in order of their names: a total order up to equal rows."""
     return [date_col, *sorted(c for c in df.columns if c != date_col)]

@@ -17,9 +17,13 @@ the same way.  In production these would be materialised staging tables.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_literal
+
 # Fixed values (FIXTURES.md): order status letters to the reference's status names.
 STATUS_NAMES = {"F": "completed", "O": "pending", "P": "cancelled"}
 # Fixed values (FIXTURES.md): price scale so spend lands in the reference's score bands.
@@ -136,16 +140,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events")
 
 
-def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staging_sales_raw(spark: SparkSession, sf_dir: str, first_day: _dt.date | None = None, undated_after: int | None = None) -> DataFrame:
     """``staging_sales`` as landed text, before validation, with defects by the order key.
 
     Every column is a string (as read from a CSV / API landing zone).  ``order_value`` is the unscaled
     line price; some orders lack a key, or have words, fractions or zeros where numbers and dates belong,
-    so every rule has violations to find.
+    so every rule has violations to find.  The bounds are those of :func:`recent`.
     """
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                 "l_extendedprice", "l_discount")
     od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    od = recent(od, "o_orderdate", "o_orderkey", first_day, undated_after)
     s = lambda c: F.col(c).cast("string")
     hit = lambda n: F.col("o_orderkey") % n == 0
     quantity = F.col("l_quantity").cast("int").cast("string")
@@ -161,17 +166,25 @@ def staging_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _status("o_orderstatus").alias("status")))
 
 
-def staging_sales_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`staging_sales` as the source lands it: every column text, not yet validated."""
-    ss = staging_sales(spark, sf_dir)
+#: Columns of the sales source and their types once validated.
+SALES_TYPES = {"order_id": "bigint", "customer_id": "bigint", "product_id": "bigint", "order_date": "timestamp_ntz",
+               "order_value": "double", "quantity": "int", "discount": "double", "status": "string"}
+
+
+def staging_sales_text(spark: SparkSession, sf_dir: str, first_day: _dt.date | None = None, undated_after: int | None = None) -> DataFrame:
+    """:func:`staging_sales` as the source lands it: every column text, not yet validated; bounds as for :func:`recent`."""
+    ss = recent(staging_sales(spark, sf_dir), "order_date", "order_id", first_day, undated_after)
     return ss.select(*[F.col(c).cast("string").alias(c) for c in ss.columns])
 
 
-def typed_sales(landed: DataFrame) -> DataFrame:
-    """Validated text rows with the types of :func:`staging_sales`."""
-    kinds = {"order_id": "bigint", "customer_id": "bigint", "product_id": "bigint", "order_date": "timestamp_ntz",
-             "order_value": "double", "quantity": "int", "discount": "double", "status": "string"}
-    return landed.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+def recent(rows: DataFrame, date: str, key: str, first_day: _dt.date | None, undated_after: int | None) -> DataFrame:
+    """Rows from ``first_day`` on (None: all), and those without a date whose ``key`` is above ``undated_after``.
+
+    Both are predicates on source columns, so they reach the scan."""
+    if first_day is None:
+        return rows
+    undated = F.col(date).isNull() & (F.lit(True) if undated_after is None else F.col(key) > F.lit(undated_after))
+    return rows.filter((F.col(date) >= ts_literal(first_day)) | undated)
 
 
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,54 +4,139 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from ledgerlight.plans import etl
 from ledgerlight.plans.etl import daily_etl
+from ledgerlight.sinks import versioned as V
 from ledgerlight.sources import tables as T
 
 
 def test_daily_etl_outputs_are_complete_and_rerunnable(spark, tmp_dir):
     target = os.path.join(tmp_dir, "warehouse")
-    for _ in range(2):                      # a repeated run overwrites, it does not duplicate
+    for _ in range(2):                      # a repeated run replaces, it does not duplicate
         out = daily_etl(spark, SMALL, target, "2001-08-02")
     n = T.staging_sales(spark, SMALL).count()
-    staged = spark.read.parquet(out["fact_sales"]).count()
-    assert staged == n
-    assert spark.read.parquet(out["fact_sales"]).drop("order_month").exceptAll(T.staging_sales(spark, SMALL)).count() == 0
-    assert spark.read.parquet(out["dim_customers"]).count() == T.read(spark, SMALL, "customer").count()
-    assert spark.read.parquet(out["dim_products"]).count() == T.read(spark, SMALL, "part").count()
-    summary = spark.read.parquet(out["sales_summary"])
-    assert spark.read.parquet(out["daily_reports"]).count() == summary.count() > 0
-    q = spark.read.parquet(out["quality"]).first()
+    staged = out.read("fact_sales")
+    assert staged.count() == n
+    assert staged.drop("order_month").exceptAll(T.staging_sales(spark, SMALL)).count() == 0
+    assert out.read("dim_customers").count() == T.read(spark, SMALL, "customer").count()
+    assert out.read("dim_products").count() == T.read(spark, SMALL, "part").count()
+    assert out.read("daily_reports").count() == out.read("sales_summary").count() > 0
+    q = out.read("quality").first()
     recent = T.staging_sales(spark, SMALL).filter("order_date >= timestamp_ntz'2001-07-01 00:00:00'").count()
     assert q.total_rows == q.valid_rows == recent  # the second run extracts whole months only
-    reports = sorted(os.listdir(out["reports"]))
+    reports = sorted(os.listdir(out.reports))
     assert reports == ["customer_analysis_report_2001-08-02", "daily_sales_report_2001-08-02"]
+    assert out.read("fact_sales", lambda month: month >= "2001-07").count() == recent
 
 
-def test_daily_etl_follows_changes_of_the_source(spark, tmp_dir, monkeypatch):
-    """A moved row, a deleted row, a month whose rows all become invalid, and an old month that stays."""
-    from ledgerlight.plans import etl
+TEXT = ", ".join(f"{c} string" for c in T.SALES_TYPES)
+
+
+def landing(rows):
+    """An extract of rows (id, date, value); text that is no date lies in the extract, no text at all is undated."""
+    def extract(spark, _, first, mark):
+        frame = spark.createDataFrame([(str(i), "1", "2", d, v, "3", "0.5", "completed") for i, d, v in rows], TEXT)
+        if first is None:
+            return frame
+        undated = F.col("order_date").isNull() & (F.col("order_id").cast("bigint") > (-1 if mark is None else mark))
+        return frame.filter((F.coalesce(F.col("order_date").try_cast("date"), F.current_date()) >= F.lit(first)) & F.col("order_date").isNotNull() | undated)
+    return extract
 
-    def source(rows):
-        text = ", ".join(f"{c} string" for c in ("order_id", "customer_id", "product_id", "order_date", "order_value", "quantity", "discount", "status"))
-        frame = spark.createDataFrame([(str(i), "1", "2", d, v, "3", "0.5", "completed") for i, d, v in rows], text)
-        monkeypatch.setattr(etl.T, "staging_sales_text", lambda *_: frame)
 
-    def loaded(out):
-        rows = spark.read.parquet(out["fact_sales"]).collect()
-        return sorted((r.order_id, r.order_date.strftime("%Y-%m-%d"), r.order_month) for r in rows)
+def loaded(out):
+    return sorted((r.order_id, r.order_date and r.order_date.strftime("%Y-%m-%d"), r.order_month) for r in out.read("fact_sales").collect())
 
+
+def test_daily_etl_follows_changes_of_the_source(spark, tmp_dir):
+    """A moved row, a deleted row, a month whose rows all become invalid, and an old month that stays."""
     target = os.path.join(tmp_dir, "warehouse")
-    source([(1, "2001-03-05", "10"), (2, "2001-07-05", "10"), (3, "2001-07-20", "10"), (4, "2001-08-01", "10"), (5, "bad", "10"), (6, "2001-08-01", "-4")])
-    out = etl.daily_etl(spark, SMALL, target, "2001-08-02")
+    rows = [(1, "2001-03-05", "10"), (2, "2001-07-05", "10"), (3, "2001-07-20", "10"), (4, "2001-08-01", "10"), (5, "bad", "10"), (6, "2001-08-01", "-4")]
+    out = daily_etl(spark, SMALL, target, "2001-08-02", extract=landing(rows))
     assert loaded(out) == [(1, "2001-03-05", "2001-03"), (2, "2001-07-05", "2001-07"), (3, "2001-07-20", "2001-07"), (4, "2001-08-01", "2001-08")]
-    assert spark.read.parquet(out["quarantine"]).count() == 2
-    source([(2, "2001-08-01", "10"), (4, "2001-08-01", "10"), (3, "2001-07-20", "none")])
-    out = etl.daily_etl(spark, SMALL, target, "2001-08-03")
+    assert out.quarantine().count() == 2
+    rows = [(1, "2001-03-05", "99"), (2, "2001-08-01", "10"), (4, "2001-08-01", "10"), (3, "2001-07-20", "none")]
+    out = daily_etl(spark, SMALL, target, "2001-08-03", extract=landing(rows))
     assert loaded(out) == [(1, "2001-03-05", "2001-03"), (2, "2001-08-01", "2001-08"), (4, "2001-08-01", "2001-08")]
-    assert spark.read.parquet(out["quarantine"]).filter("run_date = '2001-08-03'").count() == 1
+    assert [(r.order_id, r.dq_reasons) for r in out.quarantine().filter("run_date = '2001-08-03'").collect()] == [("3", "type_order_value")]
+    assert out.quarantine().count() == 3
+
+
+def test_undated_rows_come_once_whatever_is_repeated(spark, tmp_dir, monkeypatch):
+    target = os.path.join(tmp_dir, "warehouse")
+    rows = [(1, None, "10"), (2, None, "-1"), (3, "2001-08-01", "10")]
+    daily_etl(spark, SMALL, target, "2001-08-02", extract=landing(rows))
+    rows += [(8, None, "20"), (9, None, "x")]
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:                 # the mark of a run that did not commit is not kept
+        m.setattr(etl.V, "commit", killed)
+        with pytest.raises(RuntimeError):
+            daily_etl(spark, SMALL, target, "2001-08-03", extract=landing(rows))
+    for _ in range(2):
+        out = daily_etl(spark, SMALL, target, "2001-08-03", extract=landing(rows))
+    assert loaded(out) == [(1, None, None), (3, "2001-08-01", "2001-08"), (8, None, None)]
+    assert sorted((r.order_id, r.run_date) for r in out.quarantine().collect()) == [("2", "2001-08-02"), ("9", "2001-08-03")]
+    assert out.manifest.marks == {"order_id": 9}
+
+
+def test_extract_pushes_its_bounds_and_reads_the_lines_once(spark, tmp_dir):
+    import datetime as dt
+    landed = T.staging_sales_text(spark, SMALL, dt.date(2001, 7, 1), 5)
+    plan = etl.dealt_sales(landed)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 2 and sum("l_orderkey" in s for s in scans) == 1
+    orders, = [s for s in scans if "o_orderdate" in s]
+    pushed = orders[orders.index("PushedFilters"):]
+    assert "[Or(GreaterThanOrEqual(o_orderdate,2001-07-01T00:00),And(IsNull(o_orderdate),GreaterThan(o_order" in pushed
+
+
+STEPS = ["write_keyed", "newest_per_key", "commit"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_dies_leaves_the_old_tables(spark, tmp_dir, monkeypatch, step):
+    target = os.path.join(tmp_dir, "warehouse")
+    old = daily_etl(spark, SMALL, target, "2001-08-02", extract=landing([(1, "2001-07-05", "10"), (2, "2001-08-01", "10")]))
+    where = etl.W if step == "newest_per_key" else etl.V
+    real = getattr(where, step)
+
+    def dies(*args, **kwargs):
+        if step == "write_keyed":
+            real(*args, **kwargs)
+        raise RuntimeError("killed")
+
+    rows = [(2, "2001-08-01", "30"), (3, "2001-08-02", "10")]
+    with monkeypatch.context() as m:
+        m.setattr(where, step, dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            daily_etl(spark, SMALL, target, "2001-08-03", extract=landing(rows))
+    now = etl.Warehouse(spark, target, V.current(spark, target))
+    assert now.manifest == old.manifest and loaded(now) == [(1, "2001-07-05", "2001-07"), (2, "2001-08-01", "2001-08")]
+    new = daily_etl(spark, SMALL, target, "2001-08-03", extract=landing(rows))
+    assert loaded(new) == [(2, "2001-08-01", "2001-08"), (3, "2001-08-02", "2001-08")]
+    assert loaded(old) == [(1, "2001-07-05", "2001-07"), (2, "2001-08-01", "2001-08")]  # a reader of the old version goes on
+    gone = V.vacuum(spark, target, keep=1)
+    assert len(gone) == 1 and loaded(new) == loaded(etl.Warehouse(spark, target, V.current(spark, target)))
+
+
+def test_of_two_runs_from_one_manifest_one_commits(spark, tmp_dir):
+    base = V.current(spark, tmp_dir)
+    first = V.commit(spark, tmp_dir, base.marking(k=1))
+    with pytest.raises(V.CommitConflict):
+        V.commit(spark, tmp_dir, base.marking(k=2))
+    assert V.current(spark, tmp_dir) == first and first.version == 1
+    assert V.current(spark, os.path.join(tmp_dir, "nowhere")) == V.Manifest()
+
+
+def test_nothing_landed(spark, tmp_dir):
+    out = daily_etl(spark, SMALL, os.path.join(tmp_dir, "warehouse"), "2001-08-02", extract=landing([]))
+    assert loaded(out) == [] and out.quarantine().count() == 0 and out.read("quality").first().total_rows == 0
 
 
 def test_dimensions_keep_the_newest_version(spark, tmp_dir):
