@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.rules import first_match
-from .ordered import exact_percentiles, neighbors
+from .ordered import exact_percentiles, neighbors, tie_slice, value_cell
 
 # Volatility label cuts of the reference.
 VOLATILITY_LABELS = [(100, "Low Volatility"), (500, "Medium Volatility")]
@@ -78,7 +78,7 @@ def metric_summary_advanced(df: DataFrame) -> DataFrame:
                     F.var_samp(v).alias("variance"))
                .withColumns({"median_value": v.cast("double"), "p95_value": v.cast("double")}))
     nb = neighbors(grouped, ["category"], ["created_at", "subcategory", "metric_value"],
-                   D.trunc_ts("minute", "created_at"), "metric_value")
+                   tie_slice("created_at", F.col("subcategory").alias("subcategory"), value_cell("metric_value").alias("cell")), "metric_value")
     prev = F.col("prev_value")
     nb = nb.withColumn("growth_rate_percent", F.when(prev > 0, (v - prev) / prev * 100))
     return nb.select("category", "subcategory", "metric_count", "avg_value", "median_value", "p95_value",
@@ -90,14 +90,11 @@ def metric_stats(df: DataFrame, group_cols=("category", "subcategory")) -> DataF
     """AG-10..12: the same statistics at a grain where they mean something.
 
     Exact interpolated median and p95 (``PERCENTILE_CONT``) come from
-    ``exact_percentiles``, which carries the mergeable statistics along.
+    ``exact_percentiles``, which takes the other statistics from the same frequencies.
     """
     g = list(group_cols)
-    v = F.col("metric_value")
-    stats = [F.avg(v).alias("avg_value"), F.max(v).alias("max_value"), F.min(v).alias("min_value"),
-             F.sum(v).alias("total_value"), F.stddev_samp(v).alias("std_deviation"),
-             F.var_samp(v).alias("variance")]
-    out = exact_percentiles(df, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95}, extra_aggs=stats)
+    moments = {"avg": "avg_value", "max": "max_value", "min": "min_value", "sum": "total_value", "stddev": "std_deviation", "variance": "variance"}
+    out = exact_percentiles(df, g, "metric_value", {"median_value": 0.5, "p95_value": 0.95}, moments)
     out = out.withColumnRenamed("n", "metric_count")
     return out.select(*g, "metric_count", "avg_value", "median_value", "p95_value", "max_value",
                       "min_value", "total_value", "std_deviation", "variance")

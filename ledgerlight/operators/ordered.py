@@ -5,13 +5,14 @@ normally evaluated with the whole group ``g`` inside one task.  The metric table
 *category*, a handful of values, so one group can hold a third of all rows.  Each operator here
 has one form, used at every size:
 
-* Percentiles select by rank over the bits of the value: three rounds count the group's rows by the
-  next bits of an order-preserving key and keep the one cell that holds the wanted rank, so a task
-  sees counts of at most ``2**22`` cells, whatever the number of rows.
+* Percentiles select by rank in three rounds over one table of value frequencies, which is made by one scan and one
+  shuffle: cells by the value's logarithm, equal parts of the cell that holds the wanted rank, the values of the one part.
+  A task ranks at most as many cells, parts (``2**20``) or doubles as one part can hold (about ``2**19``), whatever the
+  number of rows.  Counts and moments come from the cells.
 * Neighbours and running maxima cut a group into slices, given by a function of the order column
-  (a minute, a block of bucket numbers), so a row's slice depends on the row alone and recomputation
-  after a lost executor finds the same slices.  Windows run inside slices; a small edge table (one row
-  a slice) carries values across their borders.
+  (a minute and, where times tie on it, what comes next in the order; a block of bucket numbers), so a row's slice
+  depends on the row alone and recomputation after a lost executor finds the same slices.  Windows run inside
+  slices; an edge table (one row a slice) carries values across their borders.
 
 Nothing runs while a plan is built.  The sort keys must be a total order (add a unique tie-breaker)
 so results do not depend on arrival order.
@@ -24,8 +25,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Shifts of the three rounds of a percentile: 22, 21 and 21 bits of the key each.
-KEY_SHIFTS = (42, 21, 0)
+#: Cells of a doubling of the value, the parts a cell is cut into, and the cell numbers of the least size and of infinity.
+OCTAVE_CELLS, PARTS = 16384, 2**20
+ZERO_OFFSET, OUTER = 1075 * OCTAVE_CELLS, 2**40
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -39,51 +41,94 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def ordered_key(value: str | Column) -> Column:
-    """A BIGINT that sorts as the DOUBLE ``value`` does (NaN last): its bits, negative ones turned round."""
+def value_cell(value: str | Column) -> Column:
+    """A BIGINT cell that doesn't fall as the DOUBLE ``value`` rises (NULL first, NaN last): by sign and logarithm.
+
+    Logarithm, product and floor are monotone, also in floating point.  Zero, the infinities and NaN have a cell each."""
     v = F.col(value) if isinstance(value, str) else value
-    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), v).cast("bigint")
-    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
+    size = F.floor(F.log2(F.abs(v)) * OCTAVE_CELLS).cast("bigint") + ZERO_OFFSET
+    inf = F.lit(float("inf"))
+    cell = (F.when(F.isnan(v), OUTER + 1).when(v == inf, OUTER).when(v == -inf, -OUTER).when(v == 0, 0)
+            .when(v > 0, size).otherwise(-size)).cast("bigint")
+    return F.coalesce(F.when(v.isNotNull(), cell), F.lit(-OUTER - 1).cast("bigint"))
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: dict[str, float], extra_aggs: Sequence[Column] = ()) -> DataFrame:
+                      probs: dict[str, float], moments: dict[str, str] | None = None) -> DataFrame:
     """Exact ``PERCENTILE_CONT`` per group without collecting a group in one task.
 
-    Returns ``group_cols + [n] + list(probs) + extra_aggs`` (named aggregates over the non-NULL rows).
-    The row at rank ``floor(p(n-1))`` and that at ``ceil(p(n-1))`` are selected by bits (module text),
-    then interpolated as ``lo + (pos - floor(pos)) * (hi - lo)``.  NULL values are ignored, as by
-    the SQL aggregate; a NULL group key is a group.
+    Returns ``group_cols + [n] + list(probs)`` and, if asked for, ``moments``: names for ``avg``, ``max``, ``min``, ``sum``,
+    ``stddev`` and ``variance`` (of a sample) of the non-NULL rows.  The rows at ranks ``floor(p(n-1))`` and ``ceil(p(n-1))`` are
+    selected in three rounds over one table of value frequencies (module text), then interpolated as
+    ``lo + (pos - floor(pos)) * (hi - lo)``.  NULL values are ignored, as by the SQL aggregate; a NULL group key is a group.
     """
     if not group_cols:
-        return exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value_col, probs, extra_aggs).drop("_all")
-    g = list(group_cols)
-    rows = df.filter(F.col(value_col).isNotNull())
-    freq = (rows.groupBy(*g, F.col(value_col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-            .withColumn("_key", ordered_key("_v")))
-    totals = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), *extra_aggs)
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("n") - 1).cast("double")
-
-    wanted = F.array(*[F.struct(F.lit(2 * i + up).alias("_t"), edge(position(p)).cast("bigint").alias("_rank"))
+        return exact_percentiles(df.withColumn("_all", F.lit(1)), ["_all"], value_col, probs, moments).drop("_all")
+    # The group as one struct: never NULL itself, and equal where its fields are, so joins on it need no null-safe form.
+    v, c, n, cell = F.col("_v"), F.col("_c"), F.col("_n"), F.col("_cell")
+    freq = (df.filter(F.col(value_col).isNotNull()).groupBy(F.struct(*group_cols).alias("_g"), F.col(value_col).cast("double").alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_c")).select("_g", "_v", "_c", value_cell("_v").alias("_cell")))
+
+    # Round 1: cells of a group, and in the same pass its count and moments, each cell's about a point of its own.
+    def point(k: Column) -> Column:
+        size = F.pow(F.lit(2.0), (F.abs(k) - ZERO_OFFSET) / OCTAVE_CELLS)
+        return F.when((k == 0) | (F.abs(k) >= OUTER), 0.0).otherwise(F.signum(k) * size)
+
+    off = v - point(cell)
+    cells = freq.groupBy("_g", "_cell").agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum(c * v).alias("_sum"),
+                                            F.sum(c * off).alias("_off"), F.sum(c * off * off).alias("_off2"))
+    whole, upto = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cells.select("*", F.sum("_n").over(whole).alias("_all"), F.sum("_sum").over(whole).alias("_total"), (F.sum("_n").over(upto) - n).alias("_under"))
+    shift = point(cell) - F.col("_total") / F.col("_all")
+    squares = F.sum(F.col("_off2") + 2 * shift * F.col("_off") + n * shift * shift).over(whole)
+    facts = F.struct(F.col("_all").alias("n"), F.col("_total").alias("sum"), F.min("_lo").over(whole).alias("min"), F.max("_hi").over(whole).alias("max"),
+                     F.greatest(squares, F.lit(0.0)).alias("squares"))
+
+    def position(p: float, count: Column) -> Column:
+        return F.lit(float(p)) * (count - 1).cast("double")
+
+    wanted = F.array(*[F.struct(F.lit(2 * i + up).alias("t"), edge(position(p, F.col("_all"))).cast("bigint").alias("rank"))
                        for i, p in enumerate(probs.values()) for up, edge in enumerate((F.floor, F.ceil))])
-    targets = totals.select(*g, F.explode(wanted).alias("_w")).select(*g, "_w._t", "_w._rank", F.lit(0).cast("bigint").alias("_cell"))
-    for i, shift in enumerate(KEY_SHIFTS):
-        parent = F.lit(0).cast("bigint") if i == 0 else F.shiftright("_key", KEY_SHIFTS[i - 1])
-        inside = null_safe_join(freq.withColumn("_cell", parent), targets.drop("_v"), [*g, "_cell"])
-        cells = (inside.groupBy(*g, "_t", "_rank", F.shiftright("_key", shift).alias("_cell"))
-                 .agg(F.sum("_c").alias("_n"), F.min("_v").alias("_v")))
-        upto = F.sum("_n").over(Window.partitionBy(*g, "_t").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        targets = (cells.withColumn("_upto", upto).filter((F.col("_upto") - F.col("_n") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
-                   .select(*g, "_t", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"), "_cell", "_v"))
-    values = targets.groupBy(*g).agg(*[F.max(F.when(F.col("_t") == t, F.col("_v"))).alias(f"_v{t}") for t in range(2 * len(probs))])
-    out = null_safe_join(totals, values, g)
-    for i, (name, p) in enumerate(probs.items()):
-        low, high, pos = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), position(p)
+    inside = F.filter(wanted, lambda x: (F.col("_under") <= x["rank"]) & (x["rank"] < F.col("_under") + n))
+    targets = ranked.select("_g", "_cell", "_lo", "_hi", "_under", facts.alias("_m"), inside.alias("_w")).select(
+        "_g", "_cell", "_lo", "_hi", "_under", "_m", F.explode("_w").alias("_w")).select(
+        "_g", "_cell", "_lo", "_hi", "_m", F.col("_w.t").alias("_t"), (F.col("_w.rank") - F.col("_under")).alias("_rank"))
+
+    # Rounds 2 and 3: equal parts of the cell that holds the rank, then the values of one part.
+    def held(rows: DataFrame, order: str, *more: str) -> DataFrame:
+        upto = F.sum("_n").over(Window.partitionBy("_g", "_t").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - n
+        return rows.select("*", upto.alias("_under")).filter((F.col("_under") <= F.col("_rank")) & (F.col("_rank") < F.col("_under") + n)).select(
+            "_g", "_t", "_m", (F.col("_rank") - F.col("_under")).alias("_rank"), *more)
+
+    width = F.col("_hi") - F.col("_lo")
+    share = F.when(width > 0, F.least(F.floor((v - F.col("_lo")) / width * PARTS), F.lit(PARTS - 1))).otherwise(0).cast("bigint")
+    parts = (freq.join(targets, ["_g", "_cell"]).groupBy("_g", "_t", "_rank", "_m", "_cell", share.alias("_part"))
+             .agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+    targets = held(parts, "_part", "_cell", "_lo", "_hi")
+    values = freq.withColumnRenamed("_c", "_n").join(targets, ["_g", "_cell"]).filter(v.between(F.col("_lo"), F.col("_hi"))).repartition("_g")
+    out = held(values, "_v", "_v").groupBy("_g").agg(F.first("_m").alias("_m"), *[F.max(F.when(F.col("_t") == t, v)).alias(f"_v{t}") for t in range(2 * len(probs))])
+
+    def between(i: int, p: float) -> Column:
+        low, high, pos = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), position(p, F.col("_m.n"))
         # Equal neighbours stay as they are, infinite ones too.
-        out = out.withColumn(name, F.when(low == high, low).otherwise(low + (pos - F.floor(pos)) * (high - low)))
-    return out.drop(*[f"_v{t}" for t in range(2 * len(probs))])
+        return F.when(low == high, low).otherwise(low + (pos - F.floor(pos)) * (high - low))
+
+    count, total = F.col("_m.n"), F.col("_m.sum")
+    variance = F.when(count > 1, F.col("_m.squares") / (count - 1))
+    known = {"avg": total / count, "max": F.col("_m.max"), "min": F.col("_m.min"), "sum": total, "stddev": F.sqrt(variance), "variance": variance}
+    return out.select(*[F.col(f"_g.{name}").alias(name) for name in group_cols], count.alias("n"),
+                      *[between(i, p).alias(name) for i, (name, p) in enumerate(probs.items())],
+                      *[known[m].alias(name) for m, name in (moments or {}).items()])
+
+
+def tie_slice(ts: str, *rest: Column) -> Column:
+    """Slices for an order by ``ts`` and then by ``rest``: the minute, and for rows exactly on it the cells of ``rest``.
+
+    Timestamps of a coarse grain (a day, an hour, a minute) tie many rows, which so are dealt by what comes next in the
+    order; the rows between two minutes follow in one slice.  A row's slice depends on the row alone."""
+    minute = F.date_trunc("minute", ts).cast("timestamp_ntz")
+    tied = F.col(ts) == minute
+    return F.struct(minute.alias("minute"), (~tied).alias("between"), F.when(tied, F.struct(*rest)).alias("tie"))
 
 
 def neighbors(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column], slice_by: Column,

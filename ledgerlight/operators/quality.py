@@ -30,17 +30,15 @@ def _parsed(col: str, kind: str) -> Column:
     return F.col(col).cast("string").try_cast(target)
 
 
-def rule_columns(rules: dict = DEFAULT_RULES) -> dict[str, Column]:
-    """``{reason: Column(bool)}``: True where the row *breaks* the rule."""
+def rule_columns(rules: dict, parsed: dict[str, Column]) -> dict[str, Column]:
+    """``{reason: Column(bool)}``: True where the row *breaks* the rule; ``parsed`` has the values of typed columns."""
     out: dict[str, Column] = {}
     for c in rules.get("not_null", []):
         out[f"null_{c}"] = F.col(c).isNull()
-    for c, kind in rules.get("types", {}).items():
-        out[f"type_{c}"] = F.col(c).isNotNull() & _parsed(c, kind).isNull()
-    types = rules.get("types", {})
+    for c in rules.get("types", {}):
+        out[f"type_{c}"] = F.col(c).isNotNull() & parsed[c].isNull()
     for c, (lo, hi) in rules.get("range", {}).items():
-        v = _parsed(c, types.get(c, "numeric"))
-        out[f"range_{c}"] = v.isNotNull() & ~v.between(lo, hi)
+        out[f"range_{c}"] = parsed[c].isNotNull() & ~parsed[c].between(lo, hi)
     return out
 
 
@@ -74,10 +72,20 @@ def range_report(df: DataFrame, ranges: dict = DEFAULT_RULES["range"],
 
 
 def with_reasons(df: DataFrame, rules: dict = DEFAULT_RULES) -> DataFrame:
-    """VQ-04: add ``dq_reasons`` (comma-separated broken rules, '' when valid) and ``is_valid``."""
-    cols = rule_columns(rules)
-    reasons = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in cols.items()])
-    return df.withColumn("dq_reasons", reasons).withColumn("is_valid", F.col("dq_reasons") == "")
+    """VQ-04: add ``dq_reasons`` (comma-separated broken rules, '' when valid) and ``is_valid``.
+
+    Each field is parsed once and the rules become the bits of one number.  That column depends on the partition's number,
+    for the optimiser only: such a column is neither written out again above nor moved below, so a filter on ``is_valid``
+    doesn't parse the fields a second time, and only rejected rows get their reasons spelled out.
+    """
+    types, ranges = rules.get("types", {}), rules.get("range", {})
+    kinds = {c: types.get(c, "numeric") for c in [*types, *(c for c in ranges if c not in types)]}
+    fields = df.withColumns({f"_dq_{c}": _parsed(c, kind) for c, kind in kinds.items()})
+    broken = rule_columns(rules, {c: F.col(f"_dq_{c}") for c in kinds})
+    bits = sum((F.when(cond, 1 << i).otherwise(0) for i, cond in enumerate(broken.values())), F.lit(0))
+    flagged = fields.select(*df.columns, F.when(F.spark_partition_id() >= 0, bits).alias("_dq"))
+    reasons = F.concat_ws(",", *[F.when(F.col("_dq").bitwiseAND(F.lit(1 << i)) != 0, name) for i, name in enumerate(broken)])
+    return flagged.select(*df.columns, reasons.alias("dq_reasons"), (F.col("_dq") == 0).alias("is_valid"))
 
 
 def split_valid(df: DataFrame, rules: dict = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:

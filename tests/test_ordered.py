@@ -93,3 +93,44 @@ def test_plans_run_no_job_while_they_are_built(spark):
     metric_stats(m), metric_summary_advanced(m), debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id")
     spark.sparkContext.setJobGroup("other", "")
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+
+
+def test_rows_of_one_day_grained_time_are_not_one_task(spark):
+    """A category whose rows all carry one midnight: lag and lead as by one window, in many slices."""
+    from ledgerlight.operators.ordered import tie_slice, value_cell
+    rng = random.Random(3)
+    rows = {("hot", rng.choice("abc"), rng.choice([None, float(rng.randrange(-500, 500)), rng.random()])) for _ in range(3000)}
+    day = "2024-01-05 00:00:00"
+    df = spark.createDataFrame([(c, day, s, v) for c, s, v in rows] + [("x", "2024-01-05 00:01:00.5", "a", float(i)) for i in range(5)] + [("hot", "2024-01-05 00:00:00.25", "a", 7.0)],
+                               "category string, t string, subcategory string, v double").withColumn("created_at", F.col("t").cast("timestamp_ntz")).drop("t")
+    levels = tie_slice("created_at", F.col("subcategory").alias("s"), value_cell("v").alias("c"))
+    sizes = [r["count"] for r in df.groupBy("category", levels).count().collect()]
+    assert max(sizes) < 0.2 * len(rows) and len(sizes) > 500
+    order = ["created_at", "subcategory", "v"]
+    got = neighbors(df, ["category"], order, levels, "v", "p", "n")
+    w = Window.partitionBy("category").orderBy(*order)
+    want = df.select("*", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_percentiles_of_values_that_lie_close_together(spark):
+    """All values of a group in one cell: the later rounds tell them apart."""
+    rng = random.Random(8)
+    values = [1e9 + rng.random() for _ in range(4000)] + [-1e9 - rng.random() * 1e-3 for _ in range(500)]
+    df = spark.createDataFrame([(None, v) for v in values], "g string, v double")
+    probs = {f"q{i}": i / 50 for i in range(51)}
+    names = {"avg": "a", "max": "hi", "min": "lo", "sum": "s", "stddev": "sd", "variance": "var"}
+    got = exact_percentiles(df, ["g"], "v", probs, names).first()
+    want = df.agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()], F.avg("v").alias("a"), F.max("v").alias("hi"), F.min("v").alias("lo"),
+                  F.sum("v").alias("s"), F.stddev_samp("v").alias("sd"), F.var_samp("v").alias("var")).first()
+    assert got.n == len(values)
+    for name in [*probs, *names.values()]:
+        assert got[name] == pytest.approx(want[name], rel=1e-12), name
+
+
+def test_moments_keep_a_small_variance_beside_a_large_mean(spark):
+    df = spark.createDataFrame([(1e9 + i % 2,) for i in range(1000)] + [(None,)], "v double")
+    got = exact_percentiles(df, [], "v", {"m": 0.5}, {"variance": "var", "stddev": "sd"}).first()
+    assert got["var"] == pytest.approx(250 / 999, rel=1e-5) and got.m == 1e9 + 0.5
+    one = exact_percentiles(df.limit(1), [], "v", {"m": 0.5}, {"variance": "var"}).first()
+    assert one["var"] is None and one.n == 1
