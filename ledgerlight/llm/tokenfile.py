@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, compress
 from operator import not_
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import sliced
-from .units import Memo, units
+from .units import spans, units
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
@@ -63,6 +63,56 @@ def _any_of(contents: list[str]) -> re.Pattern | None:
     return re.compile("|".join(map(re.escape, contents))) if contents else None
 
 
+class _Numbers(dict):
+    """Numbers keys as they are first looked up, and lists those that are new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+
+class UnitMemo:
+    """Remembers the ids of units, which it looks up once for each time that they occur.
+
+    ``encode_new`` gets distinct units and returns them in an order of its own, their ids concatenated, and the count of each."""
+
+    def __init__(self, encode_new: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]], limit: int):
+        self.encode_new, self.limit = encode_new, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.used = _Numbers(), 0
+        self.ids, self.first, self.count = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+
+    def _add(self) -> None:
+        order, ids, counts = self.encode_new(self.numbers.new)  # may hold more than was asked for
+        at = np.fromiter(map(self.numbers.__getitem__, order), np.int64, len(order))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.numbers) > len(self.first):
+            self.first, self.count = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.count))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.first[at], self.count[at] = self.used + np.cumsum(counts) - counts, counts
+        self.used += len(ids)
+        self.numbers.new = []
+
+    def encode(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, given as lists of units, concatenated, and each text's count of ids."""
+        if len(self.numbers) > self.limit:
+            self.clear()
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        parts = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        if self.numbers.new:
+            self._add()
+        counts = self.count[parts]
+        ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        return spans(self.ids, self.first[parts], counts), np.diff(ends[np.cumsum(np.concatenate([[0], sizes]))])
+
+
 class LibraryEncoder:
     """Encodes units of text as the library's ``encode(text, add_special_tokens=False)`` does whole texts;
     so an added token that a text holds, special or not, becomes its id.
@@ -73,7 +123,8 @@ class LibraryEncoder:
     holds it isn't cut.
     """
 
-    JOINED = 2000
+    #: Units in one string, and strings in one call of the library.
+    JOINED, STRINGS = 20, 250
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,7 +136,8 @@ class LibraryEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # one character of a token is one byte
-        self.memo = Memo(self._encode, MEMO_UNITS, self._cut)
+        self.signs = {c: i[0] for c in ".," if len(i := self._ids([c])[0]) == 1}
+        self.memo = UnitMemo(self._encode, MEMO_UNITS)
 
     def _cut(self, text: str) -> list[str]:
         return [text] if self.uncut and self.uncut.search(text) else units(text)
@@ -94,20 +146,49 @@ class LibraryEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """A unit that ends in a full stop or comma behind an ASCII letter takes the ids of what stands before, which is a
+        unit itself, and that of the sign: a piece of the pattern ends there."""
+        ended = [u[-1:] in self.signs and u[-2:-1].isascii() and u[-2:-1].isalpha() for u in new]
+        if self.added and self.added.search("\0".join(new)):
+            ended = [e and not self.added.search(u) for e, u in zip(ended, new)]
+        whole, cut = list(compress(new, map(not_, ended))), list(compress(new, ended))
+        known, fresh = self.memo.numbers, set(new)
+        stems = [u[:-1] for u in cut]
+        order, ids, counts = self._encode_whole([*whole, *{t for t in stems if t not in known and t not in fresh}])
+        if not cut:
+            return order, ids, counts
+        # A stem is remembered, or among the new ones; those of ``fresh`` that end so are never a stem, which ends in a letter.
+        used = self.memo.used
+        place = dict(zip(order, range(len(order))))
+        at = np.array([place[t] if t in place else len(order) + known[t] for t in stems])
+        first = np.concatenate([used + np.cumsum(counts) - counts, self.memo.first])[at]
+        count = np.concatenate([counts, self.memo.count])[at]
+        ends = np.cumsum(count + 1)
+        joined = np.empty(ends[-1], np.int32)
+        last = np.zeros(len(joined), bool)
+        last[ends - 1] = True
+        joined[~last] = spans(np.concatenate([self.memo.ids[:used], ids]), first, count)
+        joined[last] = [self.signs[u[-1]] for u in cut]
+        return order + cut, np.concatenate([ids, joined]), np.concatenate([counts, count + 1])
+
+    def _encode_whole(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         apart = [len(u) > 1 and u.strip() == u[1:] for u in new]  # one space before, none behind
-        if self.added:
+        if self.added and self.added.search("\0".join(new)):
             apart = [a and not self.added.search(u) for a, u in zip(apart, new)]
         alone, joined = list(compress(new, map(not_, apart))), list(compress(new, apart))
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for lo in range(0, len(alone), self.JOINED):
-            found = self._ids(alone[lo:lo + self.JOINED])
+        most = self.JOINED * self.STRINGS
+        for lo in range(0, len(alone), most):
+            found = self._ids(alone[lo:lo + most])
             ids.append(np.fromiter(chain.from_iterable(found), np.int32))
             counts.append(np.fromiter(map(len, found), np.int64, len(found)))
-        for lo in range(0, len(joined), self.JOINED):
-            part = joined[lo:lo + self.JOINED]
-            found = np.array(self._ids(["".join(part)])[0], np.int32)
+        for lo in range(0, len(joined), most):
+            part = joined[lo:lo + most]
+            strings = ["".join(part[i:i + self.JOINED]) for i in range(0, len(part), self.JOINED)]
+            found = np.fromiter(chain.from_iterable(self._ids(strings)), np.int32)
             ends = np.cumsum(self.bytes[found])
-            wanted = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in part])
+            ascii_only = all(map(str.isascii, strings))
+            wanted = np.cumsum(list(map(len, part)) if ascii_only else [len(u.encode("utf-8", "surrogatepass")) for u in part])
             at = np.searchsorted(ends, wanted)
             if not (ends[at] == wanted).all():
                 raise ValueError("the tokenizer is not byte-level")
@@ -116,7 +197,7 @@ class LibraryEncoder:
         return alone + joined, np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.memo.encode(texts)
+        return self.memo.encode(list(map(self._cut, texts)))
 
 
 def _schema(kind: str) -> str:

@@ -102,3 +102,23 @@ def test_query_with_added_tokens_in_texts(spark, tmp_dir):
         ids = PLAIN.encode(t, add_special_tokens=False).ids + [2]
         assert got[k] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+@given(st.lists(st.text(alphabet="aZé漢,.'1 \n*", max_size=30), max_size=8), st.lists(st.text(alphabet="ab, .", max_size=12), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_units_that_end_in_signs(texts, more):
+    """Stems met before, in the same batch, later, and only with a sign."""
+    fresh = tokenfile.LibraryEncoder.__new__(tokenfile.LibraryEncoder)
+    fresh.__dict__.update(OURS.__dict__)
+    fresh.memo = tokenfile.UnitMemo(fresh._encode, 5)
+    for batch in (texts, more, [t + "," for t in texts], texts + more):
+        ids, counts = fresh.encode(batch)
+        ends = np.cumsum(counts)
+        assert [ids[e - c:e].tolist() for e, c in zip(ends, counts)] == [THEIRS.encode(t, add_special_tokens=False).ids for t in batch]
+
+
+def test_a_large_memo_grows():
+    ours = tokenfile.LibraryEncoder(DEFINITION)
+    texts = [" ".join(f"w{i * 7919 % 100_003}x{'.' if i % 3 else ''}" for i in range(lo, lo + 30_000)) for lo in range(0, 90_000, 30_000)]
+    for t in texts:
+        assert ours.encode([t])[0].tolist() == THEIRS.encode(t, add_special_tokens=False).ids
