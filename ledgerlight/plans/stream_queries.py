@@ -108,7 +108,7 @@ def q_stream_fanout(spark, sf_dir):
     run = MSG.fan_out(handlers)
     stream = spark.readStream.schema(T.events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parquet*")
     stream.writeStream.foreachBatch(run).option("checkpointLocation", scratch_path(spark, "fan-out-progress")).trigger(availableNow=True).start().awaitTermination()
-    failures = {name: sum(e[1] == name for e in run.errors) for name in ("all", "failing", "purchases")}
+    failures = {name: run.error_counts[name] for name in ("all", "failing", "purchases")}
     names = spark.createDataFrame(list(failures.items()), "handler string, failures int")
     written = spark.read.parquet(path).groupBy("handler").agg(F.count("*").alias("rows"))
     return names.join(written, "handler", "left").select("handler", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "failures")
@@ -131,8 +131,7 @@ def q_stream_status(spark, sf_dir):
             waited += 1
     finally:
         spark.streams.removeListener(listener)
-    rows = sum(info["rows"] for kind, info in listener.events if kind == "progress")
-    return spark.createDataFrame([(listener.counts["connected"], rows, listener.counts["error"], listener.counts["disconnected"])],
+    return spark.createDataFrame([(listener.counts["connected"], listener.rows, listener.counts["error"], listener.counts["disconnected"])],
                                  "connected int, rows bigint, failed int, disconnected int")
 
 

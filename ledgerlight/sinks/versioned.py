@@ -49,6 +49,27 @@ def _files(spark: SparkSession, root: str):
     return jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).toUri(), spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def exists(spark: SparkSession, name: str) -> bool:
+    files, path = _files(spark, name)
+    return files.util().exists(path(name))
+
+
+def touch(spark: SparkSession, name: str) -> None:
+    """Make an empty file."""
+    _write(spark, name, "")
+
+
+def _write(spark: SparkSession, name: str, text: str) -> None:
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    files, path = _files(spark, name)
+    flags = jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE, jvm.org.apache.hadoop.fs.CreateFlag.OVERWRITE)
+    stream = files.create(path(name), flags, gateway.new_array(jvm.org.apache.hadoop.fs.Options.CreateOpts, 0))
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+
+
 def _names(spark: SparkSession, folder: str) -> list[str]:
     files, path = _files(spark, folder)
     if not files.util().exists(path(folder)):
@@ -86,12 +107,7 @@ def commit(spark: SparkSession, root: str, new: Manifest) -> Manifest:
     folder = f"{root}/{MANIFESTS}"
     files.mkdir(path(folder), None, True)
     aside = path(f"{folder}/.{uuid.uuid4().hex}")
-    flags = jvm.java.util.EnumSet.of(jvm.org.apache.hadoop.fs.CreateFlag.CREATE)
-    stream = files.create(aside, flags, gateway.new_array(jvm.org.apache.hadoop.fs.Options.CreateOpts, 0))
-    try:
-        stream.write(text.encode("utf-8"))
-    finally:
-        stream.close()
+    _write(spark, aside.toString(), text)
     try:
         if _versions(spark, root)[-1:] >= [new.version]:
             raise CommitConflict(f"{root}: version {new.version} is taken")

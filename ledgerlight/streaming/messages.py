@@ -29,16 +29,12 @@ JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def parse_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """ST-01: ``(parsed, dead_letter)``.
+def tag_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
+    """ST-01: every message once: ``message`` (a struct, NULL if the text can't be read), ``raw_message`` and ``error`` (NULL if it can).
 
-    A message that cannot be read goes to the dead-letter frame with its text
-    and a reason instead of failing the stream (the reference emits an error
-    event and carries on).  Empty or blank text and text after the record are
-    bad, as for a strict parser: ``from_json`` reads the first value only, so
-    the whole text is also read as an array around it, which trailing text
-    breaks.  Rejected messages are looked at again to tell malformed JSON from
-    JSON that does not fit the schema.
+    Empty or blank text and text after the record are bad, as for a strict parser: ``from_json`` reads the
+    first value only, so the whole text is also read as an array around it, which trailing text breaks.
+    Rejected messages are looked at again to tell malformed JSON from JSON that does not fit the schema.
     """
     txt = F.col(text_col)
     corrupt = "_corrupt_record"
@@ -49,12 +45,22 @@ def parse_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value"
     blank = F.col("_raw").isNull() | (F.trim(F.col("_raw"), F.lit(" \t\r\n")) == "")
     trailing = F.coalesce(F.col("_values"), F.lit(0)) != 1
     bad = blank | F.col("m").isNull() | F.col(f"m.{corrupt}").isNotNull() | trailing
-    parsed = tagged.filter(~bad).select(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields])
     reason = (F.when(blank, "empty message")
               .when(trailing | F.try_parse_json(F.col("_raw")).isNull(), "malformed JSON")
               .otherwise("schema mismatch"))
-    dead = tagged.filter(bad).select(F.col("_raw").alias("raw_message"), reason.alias("error"))
-    return parsed, dead
+    fields = F.struct(*[F.col(f"m.{f.name}").alias(f.name) for f in schema.fields])
+    return tagged.select(F.when(~bad, fields).alias("message"), F.col("_raw").alias("raw_message"), F.when(bad, reason).alias("error"))
+
+
+def parse_messages(raw: DataFrame, schema: T.StructType, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """ST-01: ``(parsed, dead_letter)``.
+
+    A message that cannot be read goes to the dead-letter frame with its text and a reason instead of failing the
+    stream (the reference emits an error event and carries on); see :func:`tag_messages`.
+    """
+    tagged = tag_messages(raw, schema, text_col)
+    return (tagged.filter(F.col("error").isNull()).select("message.*"),
+            tagged.filter(F.col("error").isNotNull()).select("raw_message", "error"))
 
 
 def to_json_messages(df: DataFrame, out_col: str = "value") -> DataFrame:
@@ -80,28 +86,34 @@ def fan_out(handlers: Sequence[Callable[[DataFrame, int], None]]):
     The batch is persisted once so handlers do not recompute it; a failing
     handler is logged and recorded, and the others still run.  The returned
     function has the last ``NOTICES`` ``errors`` as ``(epoch_id, handler_name, message)``
-    and ``error_count``, all of them (what is kept is for looking at, and bounded).
+    and ``error_counts`` by handler, of all of them (what is kept is for looking at, and bounded).
     """
-    errors: deque[tuple[int, str, str]] = deque(maxlen=NOTICES)
-
     def run(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
             for h in handlers:
-                try:
-                    h(batch, epoch_id)
-                except Exception as e:  # noqa: BLE001 -- isolation is the feature
-                    log.error("handler %s failed on batch %s: %s", getattr(h, "__name__", h), epoch_id, e)
-                    errors.append((epoch_id, getattr(h, "__name__", repr(h)), str(e)))
-                    run.error_count += 1
+                guarded(run, h, batch, epoch_id)
         finally:
             batch.unpersist()
 
-    run.errors = errors
-    run.error_count = 0
+    run.errors = deque(maxlen=NOTICES)
+    run.error_counts = Counter()
     return run
 
 
+def guarded(run, handler: Callable[[DataFrame, int], None], batch: DataFrame, epoch_id: int) -> bool:
+    """Whether ``handler`` has taken the batch; a failure is logged and recorded on ``run``."""
+    name = getattr(handler, "__name__", repr(handler))
+    try:
+        handler(batch, epoch_id)
+    except Exception as e:  # noqa: BLE001 -- isolation is the feature
+        log.error("handler %s failed on batch %s: %s", name, epoch_id, e)
+        run.errors.append((epoch_id, name, str(e)))
+        run.error_counts[name] += 1
+        return False
+    return True
+
+
 def kpi_windows(events: DataFrame, ts_col: str = "ts", window: str = "1 hour",
                 watermark: str | None = None) -> DataFrame:
     """ST-05: per event type and time window: events, value total, largest value.
@@ -123,12 +135,13 @@ def kpi_windows(events: DataFrame, ts_col: str = "ts", window: str = "1 hour",
 class StatusListener(StreamingQueryListener):
     """ST-06: lifecycle notices -- connected, progress (data), disconnected, error.
 
-    ``events`` holds the last ``NOTICES`` notices, ``counts`` the number of each kind.
+    ``events`` holds the last ``NOTICES`` notices; ``counts`` the number of each kind and ``rows`` the rows that all of them report.
     """
 
     def __init__(self, callback: Callable[[str, dict], None] | None = None):
         self.events: deque[tuple[str, dict]] = deque(maxlen=NOTICES)
         self.counts: Counter[str] = Counter()
+        self.rows = 0
         self.callback = callback
 
     def _emit(self, kind: str, info: dict) -> None:
@@ -145,6 +158,7 @@ class StatusListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
+        self.rows += p.numInputRows
         self._emit("progress", {"id": str(p.id), "batch": p.batchId, "rows": p.numInputRows})
 
     def onQueryIdle(self, event):

@@ -14,14 +14,19 @@ as a lag of the previous bucket end and a running max of session starts.
 A key's buckets are cut into blocks of ``SLICE_BUCKETS`` numbers, so even
 the bucket rows of a hot key are never gathered into one task.
 
-Streaming form: ``withWatermark`` + ``session_window`` + ``max_by``; state is
-kept per key and dropped once the watermark passes a session's end.
+Streaming forms.  :func:`debounce_stream`: ``withWatermark`` + ``session_window`` + ``max_by``; state is kept per key and
+dropped once the watermark passes a session's end.  :func:`debounce_timers`: own state (``transformWithState``) with
+a timer a key, which emits a burst when its gap of quiet has passed; a key keeps one row for each burst that the
+watermark leaves open, however many events it has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ordered import neighbors, running_max
 
@@ -95,3 +100,87 @@ def debounce_stream(stream: DataFrame, key: str, ts: str, value: str, gap: str,
                       F.col("session.end").cast("timestamp_ntz").alias("session_end"),
                       F.col("last_ts").cast("timestamp_ntz").alias("last_ts"),
                       "last_value", "n_events")
+
+
+#: The state store that own state needs.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _processor(gap: int, fields: list[str], state: T.StructType):
+    """A stateful processor that keeps each key's open bursts.  Defined here so that executors get it by value."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Debounce(StatefulProcessor):
+        """State: (first, last, events, order of the last, last value) of each open burst, in time order."""
+
+        def init(self, handle) -> None:
+            self.handle, self.bursts = handle, handle.getListState("bursts", state)
+
+        def close(self) -> None:
+            pass
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+            found = [tuple(b) for b in self.bursts.get()]
+            for part in rows:
+                part = part.set_axis(["_key", "_ts", "_value", "_tie", "_us"], axis=1).sort_values(["_us", "_tie"], kind="stable")
+                burst = (part["_us"].diff() >= gap).cumsum()
+                each = part.groupby(burst, sort=True).agg(first=("_us", "first"), last=("_us", "last"), n=("_us", "size"), tie=("_tie", "last"))
+                values = part["_value"].astype(object).where(part["_value"].notna(), None).groupby(burst, sort=True).agg(lambda s: s.iloc[-1])
+                found = self._joined([*found, *zip(each["first"].tolist(), each["last"].tolist(), each["n"].tolist(), each["tie"].tolist(), values.tolist())])
+            self._keep(found)
+            return iter(())
+
+        @staticmethod
+        def _joined(bursts: list[tuple]) -> list[tuple]:
+            out: list[tuple] = []
+            for b in sorted(bursts, key=lambda b: b[:2]):
+                if out and b[0] - out[-1][1] < gap:
+                    a = out.pop()
+                    newest = max(a, b, key=lambda x: (x[1], x[3]))
+                    b = (a[0], newest[1], a[2] + b[2], newest[3], newest[4])
+                out.append(b)
+            return out
+
+        def _keep(self, bursts: list[tuple]) -> None:
+            """Store the open bursts, and one timer for the first that ends."""
+            wanted = [-(-(bursts[0][1] + gap) // 1000)] if bursts else []
+            held = list(self.handle.listTimers())
+            for t in held:
+                if t not in wanted:
+                    self.handle.deleteTimer(t)
+            for t in wanted:
+                if t not in held:
+                    self.handle.registerTimer(t)
+            if bursts:
+                self.bursts.put(bursts)
+            else:
+                self.bursts.clear()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
+            now = timerValues.getCurrentWatermarkInMs() * 1000
+            bursts = [tuple(b) for b in self.bursts.get()]
+            over = [b for b in bursts if b[1] + gap <= now]
+            self._keep(bursts[len(over):])
+            if over:
+                yield pd.DataFrame([(key[0], b[0], b[1], b[4], b[2]) for b in over], columns=fields).astype({fields[3]: object})
+
+    return Debounce()
+
+
+def debounce_timers(stream: DataFrame, key: str, ts: str, value: str, gap: str, watermark: str, tiebreak: str) -> DataFrame:
+    """Streaming debounce with own state and timers: the sessions of :func:`debounce`, each emitted once, when the watermark
+    reaches its end.  ``tiebreak`` is an integer column.  Set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
+    store (``STATE_STORE``), which own state needs.
+    """
+    kind, value_kind = stream.schema[key].dataType, stream.schema[value].dataType
+    s = stream.select(F.col(key).alias(key), F.col(ts).cast("timestamp").alias("_ts"), F.col(value).alias("_value"),
+                      F.col(tiebreak).cast("long").alias("_tie")).withColumn("_us", F.unix_micros("_ts")).withWatermark("_ts", watermark)
+    long = T.LongType()
+    state = T.StructType([T.StructField(n, t) for n, t in (("first", long), ("last", long), ("n", long), ("tie", long), ("value", value_kind))])
+    fields = [key, "_first", "_last", "last_value", "n_events"]
+    out = T.StructType([T.StructField(n, t) for n, t in zip(fields, (kind, long, long, value_kind, long))])
+    found = s.groupBy(key).transformWithStateInPandas(_processor(_gap_micros(gap), fields, state), out, "Append", "EventTime")
+    at = lambda us: F.timestamp_micros(us).cast("timestamp_ntz")
+    return found.select(key, at(F.col("_first")).alias("session_start"), at(F.col("_last") + _gap_micros(gap)).alias("session_end"),
+                        at(F.col("_last")).alias("last_ts"), "last_value", "n_events")

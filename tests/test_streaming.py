@@ -170,27 +170,65 @@ def test_enrich_points_columns(spark):
 
 
 def test_message_job_restarts_without_loss_or_repeats(spark, tmp_dir):
-    from ledgerlight.streaming.jobs import message_stream_job
+    from ledgerlight.streaming.jobs import dead_letters, landed_messages, message_stream_job
     log = message_log(spark, SMALL)
     first = log.filter(F.col("value").contains('"event_type":"view"'))
     rest = log.filter(~F.col("value").contains('"event_type":"view"'))
-    src, out, dead, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "out", "dead", "ckpt"))
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "out", "ckpt"))
     first.write.text(os.path.join(src, "part1"))
     seen = []
-    for q in message_stream_job(spark, src + "/*", EVENT_FIELDS, out, dead, ckpt,
-                                handlers=[lambda df, e: seen.append(df.count())]):
-        q.awaitTermination()
+    message_stream_job(spark, src + "/*", EVENT_FIELDS, out, ckpt, handlers=[lambda df, e: seen.append(df.count())]).awaitTermination()
     rest.write.text(os.path.join(src, "part2"))
-    for q in message_stream_job(spark, src + "/*", EVENT_FIELDS, out, dead, ckpt):   # restart, same checkpoint
-        q.awaitTermination()
+    message_stream_job(spark, src + "/*", EVENT_FIELDS, out, ckpt).awaitTermination()   # restart, same checkpoint
     ev = T.events(spark, SMALL)
-    got = spark.read.parquet(out)
+    got = landed_messages(spark, out, EVENT_FIELDS)
     assert got.count() == ev.count()
     assert got.exceptAll(ev).count() == 0 and ev.exceptAll(got).count() == 0
-    assert spark.read.parquet(dead).count() == ev.filter(F.col("event_type") == "error").count()
+    assert dead_letters(spark, out, EVENT_FIELDS).count() == ev.filter(F.col("event_type") == "error").count()
     assert sum(seen) == first.count()
 
 
+def test_a_replayed_message_batch_changes_nothing(spark, tmp_dir):
+    """The same batch given twice under one id, as after a failure between the write and the checkpoint."""
+    from ledgerlight.streaming import jobs
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "out")
+    message_log(spark, SMALL).write.text(src)
+    taken, broken = [], [True]
+
+    def steady(df, epoch):
+        taken.append((epoch, df.count()))
+
+    def flaky(df, epoch):
+        if broken.pop():
+            raise RuntimeError("down")
+        taken.append(("flaky", epoch))
+
+    def run(checkpoint):
+        q = jobs.message_stream_job(spark, src, EVENT_FIELDS, out, os.path.join(tmp_dir, checkpoint), handlers=[steady, flaky])
+        q.awaitTermination()
+        return q
+
+    broken.insert(0, False)
+    first = run("c1")
+    files = sorted(os.listdir(os.path.join(out, "epoch=0", "ok=true")))
+    again = run("c2")               # a new checkpoint replays batch 0
+    assert first.error_counts == {"flaky": 1} and not again.error_counts
+    n = T.events(spark, SMALL).count()
+    assert taken == [(0, n), ("flaky", 0)]
+    assert sorted(os.listdir(os.path.join(out, "epoch=0", "ok=true"))) == files
+    assert jobs.landed_messages(spark, out, EVENT_FIELDS).count() == n
+
+
+def test_message_job_reads_its_source_once(spark, tmp_dir):
+    from ledgerlight.streaming import jobs
+    src = os.path.join(tmp_dir, "src")
+    log = message_log(spark, SMALL)
+    log.write.text(src)
+    q = jobs.message_stream_job(spark, src, EVENT_FIELDS, os.path.join(tmp_dir, "o"), os.path.join(tmp_dir, "c"), handlers=[lambda df, e: df.count()])
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == log.count()
+
+
 def test_debounce_job_writes_closed_sessions(spark, tmp_dir):
     from ledgerlight.streaming.jobs import debounce_stream_job
     ev = T.events(spark, SMALL)
@@ -260,3 +298,69 @@ def test_status_listener_reports_failure(spark, tmp_dir):
         spark.streams.removeListener(listener)
     kinds = [k for k, _ in listener.events]
     assert "error" in kinds and kinds[-1] == "disconnected"
+
+
+def test_kpi_files_stay_as_few_as_the_days_need(spark, tmp_dir):
+    """Many refreshes of the same windows, some replayed: newest rows, and no more files than after the first ones."""
+    from ledgerlight.streaming.jobs import latest_kpis, upsert_kpis
+    root = os.path.join(tmp_dir, "kpi")
+    counts = []
+    for epoch in range(9):
+        rows = [(dt.datetime(2024, 1, 1 + d, h), dt.datetime(2024, 1, 1 + d, h + 1), "view", epoch + 1, float(epoch), 1.0) for d in range(2) for h in range(3)]
+        batch = spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, event_type string, events long, total_value double, max_value double")
+        upsert_kpis(batch, root, epoch)
+        if epoch == 4:
+            upsert_kpis(batch.withColumn("events", F.lit(99).cast("long")), root, 3)
+        counts.append(sum(len(f) for _, _, f in os.walk(os.path.join(root, "runs"))))
+    assert max(counts[2:]) <= counts[1] and len(os.listdir(os.path.join(root, "runs"))) <= 2
+    got = latest_kpis(spark, root)
+    assert got.count() == 6 and {r.events for r in got.collect()} == {9}
+
+
+def test_debounce_with_timers_equals_batch(spark, tmp_dir):
+    """Out-of-order batches with own state: closed sessions as in the batch form, one state row an open burst."""
+    from ledgerlight.streaming.sessions import STATE_STORE, debounce_timers
+    ev = T.events(spark, SMALL)
+    src = os.path.join(tmp_dir, "events")
+    last = ev.agg(F.max("ts")).first()[0]
+    for k in range(3):
+        ev.filter(F.pmod("event_id", F.lit(3)) == k).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    end = spark.createDataFrame([(10**9, last + dt.timedelta(days=300), 10**6, "end", None, None)], ev.schema)
+    end.coalesce(1).write.mode("append").parquet(src)
+    spark.conf.set(*STATE_STORE)
+    try:
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (debounce_timers(stream, "user_id", "ts", "value", "30 minutes", "90 days", "event_id")
+             .writeStream.outputMode("append").format("memory").queryName("timers").option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).start())
+        q.processAllAvailable()
+        q.stop()
+    finally:
+        spark.conf.unset(STATE_STORE[0])
+    cols = ["user_id", "session_start", "session_end", "last_ts", "last_value", "n_events"]
+    got, want = spark.table("timers").select(cols), debounce(ev, "user_id", "ts", "value", "30 minutes", tiebreak="event_id").select(cols)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_debounce_timers_keep_one_row_for_a_hot_key(spark, tmp_dir):
+    from ledgerlight.streaming.sessions import STATE_STORE, debounce_timers
+    start = dt.datetime(2024, 1, 1)
+    rows = [(1, start + dt.timedelta(milliseconds=50 * i), float(i), i) for i in range(4000)] + [(2, start + dt.timedelta(minutes=10), None, 5000)]
+    src = os.path.join(tmp_dir, "ev")
+    schema = "user_id long, ts timestamp_ntz, value double, event_id long"
+    for lo in (0, 2000, 4000):
+        spark.createDataFrame(rows[lo:lo + 2000], schema).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    spark.conf.set(*STATE_STORE)
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (debounce_timers(stream, "user_id", "ts", "value", "300 milliseconds", "0 seconds", "event_id")
+             .writeStream.outputMode("append").format("memory").queryName("hot").option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).start())
+        q.processAllAvailable()
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        q.stop()
+    finally:
+        spark.conf.unset(STATE_STORE[0])
+    got, = spark.table("hot").collect()
+    assert (got.user_id, got.session_start, got.last_value, got.n_events) == (1, start, 3999.0, 4000)
+    assert max(states) <= 12   # bursts, their count and timers of two keys, not events
