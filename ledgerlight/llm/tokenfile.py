@@ -31,7 +31,7 @@ from .units import spans, units
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 18
 #: Distinct units that a worker remembers (about 150 bytes each): the library's work is on those it hasn't met.
-MEMO_UNITS = 800_000
+MEMO_UNITS = 1_250_000
 WIDTH = {"byte": 4, "bit": 32}
 
 
