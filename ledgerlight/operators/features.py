@@ -3,16 +3,12 @@
 Input is ``customer_orders`` (line-item grain with order id, date, time of
 day, value, product category and payment method).
 
-Plan shape.  ``customer_metrics`` is one aggregate with four exact distinct
-counts; Spark plans it with an Expand, partially aggregating on
-``(customer, distinct value)`` before the shuffle, so a hot customer is
-split across reducers.  The z-scores need global mean and stddev: they are
+Plan shape.  ``customer_metrics`` is one aggregate.  Its only DISTINCT is that of the orders, which Spark plans
+as a partial aggregate on ``(customer, order)`` before the one on the customer; months, categories and
+payment methods are few values each and are merged as sets.  The z-scores need global mean and stddev: they are
 one-row aggregates used as scalar subqueries (Spark merges them into one
 job and ships the scalars), never an ``OVER ()`` window that would pull all
-customers into one task, and never a cross join.  The customer table is
-read by both the stats and the row projection, so it is written once as a
-Parquet table in the shared checkpoint folder and read back (one job, and
-the lineage is cut).
+customers into one task, and never a cross join.
 """
 
 from __future__ import annotations

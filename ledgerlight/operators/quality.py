@@ -21,6 +21,8 @@ DEFAULT_RULES = {
     "types": {"order_value": "numeric", "quantity": "integer", "order_date": "datetime"},
     "range": {"order_value": (0, 100000), "quantity": (1, 1000)},
 }
+#: Column with the text of a record that could not be read, and the reason such a row gets.
+CORRUPT, MALFORMED = "_corrupt_record", "malformed_record"
 TYPE_TARGETS = {"numeric": "double", "integer": "bigint", "datetime": "timestamp_ntz"}
 
 
@@ -76,22 +78,27 @@ def with_reasons(df: DataFrame, rules: dict = DEFAULT_RULES) -> DataFrame:
 
     Each field is parsed once and the rules become the bits of one number.  That column depends on the partition's number,
     for the optimiser only: such a column is neither written out again above nor moved below, so a filter on ``is_valid``
-    doesn't parse the fields a second time, and only rejected rows get their reasons spelled out.
+    doesn't parse the fields a second time, and only rejected rows get their reasons spelled out.  A row with text in
+    ``_corrupt_record`` (``sources.readers``) is malformed, which is its only reason: its fields tell nothing.
     """
     types, ranges = rules.get("types", {}), rules.get("range", {})
     kinds = {c: types.get(c, "numeric") for c in [*types, *(c for c in ranges if c not in types)]}
     fields = df.withColumns({f"_dq_{c}": _parsed(c, kind) for c, kind in kinds.items()})
     broken = rule_columns(rules, {c: F.col(f"_dq_{c}") for c in kinds})
     bits = sum((F.when(cond, 1 << i).otherwise(0) for i, cond in enumerate(broken.values())), F.lit(0))
+    if CORRUPT in df.columns:
+        malformed = F.col(CORRUPT).isNotNull()
+        bits = F.when(malformed, 1 << len(broken)).otherwise(bits)
+        broken[MALFORMED] = malformed
     flagged = fields.select(*df.columns, F.when(F.spark_partition_id() >= 0, bits).alias("_dq"))
     reasons = F.concat_ws(",", *[F.when(F.col("_dq").bitwiseAND(F.lit(1 << i)) != 0, name) for i, name in enumerate(broken)])
     return flagged.select(*df.columns, reasons.alias("dq_reasons"), (F.col("_dq") == 0).alias("is_valid"))
 
 
 def split_valid(df: DataFrame, rules: dict = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
-    """VQ-04: ``(valid, quarantined)``; quarantined rows keep their reasons."""
+    """VQ-04: ``(valid, quarantined)``; quarantined rows keep their reasons, and malformed ones their text."""
     tagged = with_reasons(df, rules)
-    return (tagged.filter(F.col("is_valid")).drop("dq_reasons", "is_valid"),
+    return (tagged.filter(F.col("is_valid")).drop("dq_reasons", "is_valid", CORRUPT),
             tagged.filter(~F.col("is_valid")).drop("is_valid"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T_
 from ..operators import customers as C
 from ..operators import features as FE
 from ..operators import sales as S
+from ..operators import quality as Q
 from ..operators.quality import dataset_report
 from ..session import scratch_path
 from ..sinks import writers as W
@@ -95,6 +96,40 @@ def q_src_csv(spark, sf_dir):
     return R.load_csv(spark, path, src.schema)
 
 
+CUSTOMER_RULES = {"not_null": ["c_custkey"], "range": {"c_acctbal": (-900, 9900)}}
+
+
+def _bad_customer_lines(spark, sf_dir):
+    """Customers landed as CSV, in which some lines are cut off, have a word for the balance, or a field too many."""
+    src = T.read(spark, sf_dir, "customer")
+    path, key = scratch_path(spark, "csv-bad-lines"), F.col("c_custkey")
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.col(c).cast("string"), '"', '\\\\"'), F.lit('"'))
+    fields = [F.when((key % 41 == 0) & F.lit(c == "c_acctbal"), F.lit("unknown")).otherwise(quoted(c)) for c in src.columns]
+    whole = F.concat_ws(",", *fields)
+    line = F.when(key % 37 == 0, F.concat(key.cast("string"), F.lit(',"cut'))).when(key % 43 == 0, F.concat(whole, F.lit(',"more"'))).otherwise(whole)
+    src.select(line.alias("value")).write.text(path)
+    return Q.split_valid(R.load_csv(spark, path, src.schema, header=False, corrupt=Q.CORRUPT), CUSTOMER_RULES)
+
+
+@register("src_csv_valid", ids=("SC-09", "VQ-04"), doubles=["c_acctbal"], sql="""
+SELECT * FROM customer WHERE c_custkey % 37 <> 0 AND c_custkey % 41 <> 0 AND c_custkey % 43 <> 0 AND c_acctbal BETWEEN -900 AND 9900""")
+def q_src_csv_valid(spark, sf_dir):
+    """Lines of a CSV landing that can be read and keep the rules."""
+    return _bad_customer_lines(spark, sf_dir)[0]
+
+
+@register("src_csv_quarantine", ids=("SC-09", "VQ-04"), sql="""
+SELECT c_custkey, CASE WHEN c_custkey % 37 = 0 OR c_custkey % 41 = 0 OR c_custkey % 43 = 0 THEN 'malformed_record' ELSE 'range_c_acctbal' END AS dq_reasons,
+       c_custkey % 37 = 0 AS cut_off
+FROM customer WHERE c_custkey % 37 = 0 OR c_custkey % 41 = 0 OR c_custkey % 43 = 0 OR NOT c_acctbal BETWEEN -900 AND 9900""")
+def q_src_csv_quarantine(spark, sf_dir):
+    """The other lines, with the reason; a malformed one by the key and the end found in its text."""
+    _, bad = _bad_customer_lines(spark, sf_dir)
+    text = F.col(Q.CORRUPT)
+    key = F.coalesce(F.regexp_extract(text, r'^"?(\d+)', 1).cast("bigint"), "c_custkey")
+    return bad.select(key.alias("c_custkey"), "dq_reasons", F.coalesce(F.endswith(text, F.lit('"cut')), F.lit(False)).alias("cut_off"))
+
+
 EVENT_SCHEMA = T_.StructType([
     T_.StructField("event_id", T_.LongType()), T_.StructField("ts", T_.TimestampNTZType()),
     T_.StructField("user_id", T_.LongType()), T_.StructField("event_type", T_.StringType()),
@@ -111,6 +146,20 @@ def q_src_json_landed(spark, sf_dir):
     return R.load_json_landed(spark, path, EVENT_SCHEMA).drop("_corrupt_record")
 
 
+@register("src_json_quarantine", ids=("SC-08", "VQ-04"), sql="""
+SELECT event_id, 'malformed_record' AS dq_reasons, COUNT(*) AS n FROM events WHERE event_type = 'error' GROUP BY event_id
+UNION ALL SELECT event_id, 'range_value', COUNT(*) FROM events WHERE NOT value BETWEEN 0 AND 400 GROUP BY event_id""")
+def q_src_json_quarantine(spark, sf_dir):
+    """Events landed as JSON lines, each error event also cut off half-way: what is quarantined, counted by event."""
+    path = scratch_path(spark, "json-bad-lines")
+    messages = T.read(spark, sf_dir, "events").select("event_type", F.to_json(F.struct("*"), {"timestampNTZFormat": R.JSON_TS_FORMAT}).alias("value"))
+    broken = messages.filter("event_type = 'error'").select(F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    messages.select("value").unionByName(broken).write.text(path)
+    _, bad = Q.split_valid(R.load_json_landed(spark, path, EVENT_SCHEMA), {"not_null": ["event_id"], "range": {"value": (0, 400)}})
+    event = F.coalesce("event_id", F.regexp_extract(Q.CORRUPT, r'"event_id":(\d+)', 1).cast("bigint"))
+    return bad.groupBy(event.alias("event_id"), "dq_reasons").agg(F.count("*").alias("n"))
+
+
 @register("dataset_report", ids=("AG-19",), sql="""
 SELECT COUNT(*) AS total_records,
        ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority'] AS columns,

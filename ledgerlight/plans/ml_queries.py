@@ -56,6 +56,43 @@ def q_ml_evaluate(spark, sf_dir):
     return ML.evaluate_model(ML.predict(_model(spark, sf_dir), test))
 
 
+FRAME = """
+WITH keyed AS (
+    SELECT *, concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS row_key FROM lineitem
+),
+frame AS (
+    SELECT l_quantity AS quantity, l_discount AS discount, ('0x' || substr(md5(row_key), 1, 8))::BIGINT % 100 >= 80 AS held_out,
+           100.0 * l_quantity - 500.0 * l_discount
+               + (CAST(('0x' || substr(md5(row_key), 9, 4))::BIGINT AS DOUBLE) / 65535.0 - 0.5) * 10.0 AS target
+    FROM keyed
+)"""
+
+
+@register("ml_evaluate_given", ids=("ML-04",), doubles=["mse", "r2_score"], sql=f"""{FRAME},
+errors AS (SELECT target, target - (100.0 * quantity - 500.0 * discount) AS e FROM frame WHERE held_out),
+centre AS (SELECT AVG(target) AS mean FROM errors)
+SELECT COUNT(*) AS n, AVG(e * e) AS mse, 1.0 - SUM(e * e) / SUM((target - mean) * (target - mean)) AS r2_score FROM errors, centre""")
+def q_ml_evaluate_given(spark, sf_dir):
+    """MSE and R2 of a known prediction, the planted signal without its noise, for the held-out rows."""
+    _, test = _split(spark, sf_dir)
+    return ML.evaluate_model(test.withColumn("prediction", F.lit(100.0) * F.col("quantity") - F.lit(500.0) * F.col("discount")))
+
+
+@register("ml_model_facts", ids=("ML-02", "ML-03"), sql=f"""{FRAME}
+SELECT COUNT(*) AS n, 100 AS trees, ['discount', 'quantity', 'tax'] AS features, TRUE AS sums_to_one, 'quantity' AS strongest, TRUE AS explains
+FROM frame WHERE held_out""")
+def q_ml_model_facts(spark, sf_dir):
+    """What is known of the forest beforehand: its size, that importances of the features sum to one, quantity leading, and
+    that it explains over nine tenths of the held-out rows."""
+    _, test = _split(spark, sf_dir)
+    model = _model(spark, sf_dir)
+    weights = ML.feature_importance(model, FEATURES).agg(
+        F.array_sort(F.collect_list("feature")).alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.max_by("feature", "importance").alias("strongest"))
+    found = ML.evaluate_model(ML.predict(model, test)).select("n", (F.col("r2_score") > 0.9).alias("explains"))
+    return found.join(weights, F.lit(True)).select("n", F.lit(model.stages[-1].getNumTrees).alias("trees"), "features", "sums_to_one", "strongest", "explains")
+
+
 @register("ml_save_load", ids=("ML-05",), sql="""
 SELECT COUNT(*) AS n, 0 AS n_different
 FROM (SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS row_key FROM lineitem)
@@ -65,7 +102,7 @@ def q_ml_save_load(spark, sf_dir):
     from pyspark.ml import PipelineModel
 
     train, test = _split(spark, sf_dir)
-    model = ML.train_model(train, FEATURES, num_trees=10)
+    model = ML.train_model(train, FEATURES)
     path = scratch_path(spark, "forest")
     ML.save_model(model, path)
     again = PipelineModel.load(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import features as FE
 from ..operators import quality as Q
 from ..session import scratch_path
@@ -166,3 +168,12 @@ def q_dq_duplicate_lines(spark, sf_dir):
 def q_run_metrics(spark, sf_dir):
     """Rows and throughput of one full pass over staging_sales (timing is not comparable)."""
     return Q.run_metrics(T.staging_sales(spark, sf_dir), "staging_sales")
+
+
+@register("run_metrics_rows", ids=("VQ-07",), sql="""
+SELECT 'lines' AS run, COUNT(*) AS rows, TRUE AS consistent FROM lineitem""")
+def q_run_metrics_rows(spark, sf_dir):
+    """What is comparable of a run's metrics: its rows, and that throughput is rows over duration."""
+    found = Q.run_metrics(T.read(spark, sf_dir, "lineitem"), "lines")
+    consistent = (F.col("duration_s") > 0) & (F.abs(F.col("rows_per_s") * F.col("duration_s") - F.col("rows")) < 1e-3 * F.col("rows"))
+    return found.select("run", "rows", consistent.alias("consistent"))

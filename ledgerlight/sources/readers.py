@@ -133,10 +133,19 @@ def page_after(df: DataFrame, key: str, last, limit: int) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             header: bool = True) -> DataFrame:
-    """SC-09: CSV load with header; an explicit schema avoids an inference pass."""
+             header: bool = True, corrupt: str | None = None) -> DataFrame:
+    """SC-09: CSV load with header; an explicit schema avoids an inference pass.
+
+    With ``corrupt`` (needs a schema), lines that don't fit, by their number of fields or a field's type, keep their text in
+    the column of that name instead of becoming NULLs; every line is then parsed whole, whatever columns are asked for.
+    """
     r = spark.read.option("header", str(header).lower())
     if schema is not None:
+        if isinstance(schema, str):
+            schema = T.StructType.fromDDL(schema)
+        if corrupt:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).option("columnPruning", "false")
         r = r.schema(schema)
     else:
         r = r.option("inferSchema", "true")
