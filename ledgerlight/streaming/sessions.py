@@ -9,10 +9,10 @@ Batch form, skew-safe.  Events are cut into time buckets ``gap`` wide.
 Two events in one bucket are less than ``gap`` apart, so a session never
 breaks inside a bucket: per ``(key, bucket)`` only min / max time, count
 and last value matter, which is a mergeable aggregate (a hot key is
-reduced map-side).  Breaks are then found between consecutive bucket rows
-as a lag of the previous bucket end and a running max of session starts.
-A key's buckets are cut into blocks of ``SLICE_BUCKETS`` numbers, so even
-the bucket rows of a hot key are never gathered into one task.
+reduced map-side).  A key's buckets are cut into blocks of ``SLICE_BUCKETS``
+numbers, so even the bucket rows of a hot key are never gathered into one
+task.  One pass over a block finds the starts inside it; one row a block then
+tells whether its first bucket goes on from the block before, and with which start.
 
 Streaming forms.  :func:`debounce_stream`: ``withWatermark`` + ``session_window`` + ``max_by``; state is kept per key and
 dropped once the watermark passes a session's end.  :func:`debounce_timers`: own state (``transformWithState``) with
@@ -24,12 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ordered import neighbors, running_max
-
 # Fixed value: the reference's debounce delay (300 ms).  The registered
 # query uses a 30-minute gap on the events table (FIXTURES.md).
 DEBOUNCE_DELAY = "300 milliseconds"
@@ -66,19 +64,27 @@ def debounce(df: DataFrame, key: str, ts: str, value: str, gap: str, tiebreak: s
                     F.min(ts).alias("_first_ts"), F.max(ts).alias("_last_ts"),
                     F.count(F.lit(1)).alias("_n"),
                     F.max_by(value, "_ord").alias("_last_value"), F.max("_ord").alias("_last_ord")))
-    def start_of(prev):
-        return F.when(prev.isNull() | (F.col("_min_us") - prev >= F.lit(g)), F.col("_bucket"))
-
+    # The key as a struct, which is never NULL: equal keys, NULL ones too, then join plainly and stay where they are.
     block = F.shiftright("_bucket", SLICE_BUCKETS.bit_length() - 1)
-    nb = neighbors(buckets, [key], ["_bucket"], block, "_max_us", "_prev_max_us", None)
-    nb = nb.withColumn("_start_bucket", start_of(F.col("_prev_max_us")))
-    sess = running_max(nb, [key], ["_bucket"], block, "_start_bucket", "_session")
-    out = (sess.groupBy(key, "_session")
+    rows = buckets.select(F.struct(key).alias("_k"), block.alias("_block"), *[c for c in buckets.columns if c != key])
+    inside = Window.partitionBy("_k", "_block").orderBy("_bucket")
+    before = F.lag("_max_us").over(inside)
+    rows = rows.withColumn("_start", F.when(F.col("_min_us") - before >= g, F.col("_bucket")))
+    rows = rows.withColumn("_start", F.max("_start").over(inside))  # NULL: as the block begins
+    # One row a block: does it go on from the block before, and with which start?
+    edges = rows.groupBy("_k", "_block").agg(F.min("_bucket").alias("_first"), F.min("_min_us").alias("_from"), F.max("_max_us").alias("_upto"), F.max("_start").alias("_last"))
+    along = Window.partitionBy("_k").orderBy("_block")
+    gone = F.coalesce(F.col("_from") - F.lag("_upto").over(along) >= g, F.lit(True))
+    edges = edges.withColumn("_own", F.when(gone, F.col("_first")))
+    # The last start in this block or before it, and that in blocks before.
+    latest = F.max(F.coalesce("_last", "_own")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    edges = edges.select("_k", "_block", F.coalesce("_own", latest).alias("_carried"))
+    out = (rows.join(edges, ["_k", "_block"]).groupBy("_k", F.coalesce("_start", "_carried").alias("_session"))
            .agg(F.min("_first_ts").alias("session_start"),
                 F.max("_last_ts").alias("last_ts"),
                 F.sum("_n").alias("n_events"),
                 F.max_by("_last_value", "_last_ord").alias("last_value")))
-    return out.select(key, "session_start",
+    return out.select(F.col(f"_k.{key}").alias(key), "session_start",
                       (F.col("last_ts") + F.expr(f"INTERVAL {g} MICROSECONDS")).alias("session_end"),
                       "last_ts", "last_value", "n_events")
 
