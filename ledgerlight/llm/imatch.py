@@ -56,17 +56,16 @@ class Lexicon:
     terms: list[bytes]  #: in order
 
 
-def lexicon(docs: DataFrame, least_share: float = 0.001, most_share: float = 0.2, least_docs: int = 2, max_terms: int = 400_000) -> Lexicon:
+def lexicon(docs: DataFrame, least_share: float = 0.001, most_share: float = 0.2, least_docs: int = 2) -> Lexicon:
     """Terms in at least ``least_share`` and at most ``most_share`` of all documents (and ``least_docs``).
 
     The lower share bounds the lexicon whatever the corpus: at most (mean distinct terms of a
-    document) / ``least_share`` terms lie above it.  Should that be over ``max_terms``, the band begins
-    at the share of the most frequent ``max_terms``.
+    document) / ``least_share`` terms lie above it.  All of them are kept.
     """
     n = docs.count()
     least = max(least_docs, int(np.ceil(least_share * n)))
     band = counted(docs, terms, least).where(F.col("n") <= max(least, int(most_share * n)))
-    kept = band.orderBy(F.col("n").desc(), "term").limit(max_terms).select("term").toArrow()
+    kept = band.select("term").toArrow()
     return Lexicon(sorted(kept.column("term").to_pylist()))
 
 

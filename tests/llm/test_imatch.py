@@ -79,3 +79,9 @@ def test_small_tables(docs, spark):
     lone = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     row = imatch.robustness(lone, imatch.lexicon(lone)).first()
     assert (row["doc_id"], row["near_next"]) == (1, 1.0)
+
+
+def test_lexicon_has_no_cap(spark):
+    text = " ".join(f"w{i}" for i in range(410_000))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "x")], "doc_id long, text string")
+    assert len(imatch.lexicon(docs, 0.001, 1.0).terms) == 410_000
