@@ -8,7 +8,7 @@ by document.
 The posterior of a text of more than a few letters is 1 whatever the text is, so :func:`accepted` also
 asks for evidence that doesn't grow with length: the mean log-probability of the text's letter 3-grams
 in the best language, and its lead over the second.  What both must reach is learned per language from
-documents that the scoring model wasn't fitted on.
+all training documents, each scored by a model that wasn't fitted on it.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from .common import sliced
 GAP = 2
 UNDETERMINED = "und"
 LETTER, SPACE, DIGIT = 1, 2, 3
-#: Documents of a language, about, that its thresholds are learned from.
-HELD_OUT = 2_000
+#: Held-out fits and leads are counted to the nearest of this many parts of a nat, so that what the quantiles
+#: are taken from is bounded by their range, not by the number of documents.
+GRID = 4096
 #: A mean over n letter 3-grams is uncertain by this, in nats, over sqrt(n): two deviations of a single one.
 SPREAD = 4.0
 #: The gap assumed between a language and others where only one is learned, in nats a 3-gram.
@@ -160,7 +161,15 @@ def _held_out(batches: Iterator[pa.RecordBatch], languages: list[str], log_probs
             yield pa.RecordBatch.from_arrays([pa.array(langs[rows][some].astype(np.int32)), pa.array(own[some]), pa.array(lead[some])], ["at", "fit", "lead"])
 
 
-def _thresholds(n: int, at: np.ndarray, fit: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _quantiles(held: DataFrame) -> list[tuple]:
+    """``at, leads, measure, [0.01 quantile, median]`` of the fits and leads of all rows, apart for those that lead and others."""
+    values = held.select("at", (F.col("lead") > 0).alias("leads"), F.expr("stack(2, 'fit', fit, 'lead', lead) as (measure, value)"))
+    counted = (values.withColumn("value", F.rint(F.col("value") * GRID) / GRID)
+               .groupBy("at", "leads", "measure", "value").agg(F.count("*").alias("n")))
+    return counted.groupBy("at", "leads", "measure").agg(F.percentile("value", [0.01, 0.5], F.col("n")).alias("q")).collect()
+
+
+def _thresholds(n: int, quantiles: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Least fit and least lead of each of ``n`` languages.
 
     A text with a quarter in another language has half the usual lead.  The fit may be lower than usual by
@@ -168,26 +177,26 @@ def _thresholds(n: int, at: np.ndarray, fit: np.ndarray, lead: np.ndarray) -> tu
     Held-out documents that fit another language better than their own are left out, unless all do.
     """
     least_fit, least_lead = np.full(n, -np.inf), np.full(n, -np.inf)
+    found = {(at, leads, measure): q for at, leads, measure, q in quantiles}
     for i in range(n):
-        mine = at == i
-        if (mine & (lead > 0)).any():
-            mine &= lead > 0
-        if mine.any():
-            gap = np.median(lead[mine]) if n > 1 else LONE_GAP
+        leads = (i, True, "fit") in found
+        if (i, leads, "fit") in found:
+            (low, usual), (_, lead) = found[i, leads, "fit"], found[i, leads, "lead"]
+            gap = lead if n > 1 else LONE_GAP
             least_lead[i] = gap / 2 if n > 1 else -np.inf
-            least_fit[i] = min(np.median(fit[mine]) - max(gap, 0) / 2, np.quantile(fit[mine], 0.01))
+            least_fit[i] = min(usual - max(gap, 0) / 2, low)
     return least_fit, least_lead
 
 
-def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15, smoothing: float = 0.5,
+def train(docs: DataFrame, max_docs_per_language: int | None = None, bits: int = 15, smoothing: float = 0.5,
           max_languages: int = 128) -> LanguageModel:
     """Fit on ``text`` and ``lang`` of the given documents; rows with a null in either are left out.
 
-    At most about ``max_docs_per_language`` documents of a language are used, chosen by a hash of
-    the text, so the work of fitting stays bounded; the matrix is bounded by ``2**bits`` buckets times
-    ``max_languages`` (more distinct labels raise ``ValueError``).  No usable rows: a model without
-    languages.  The thresholds of :func:`accepted` are learned from about ``HELD_OUT`` of them a language,
-    each scored by the n-grams of the half of the sample (by a hash of the text) that it isn't in.
+    Counts, priors and the thresholds of :func:`accepted` come from every document; for the latter each is
+    scored by the n-grams of the half of the documents (by a hash of the text) that it isn't in.  The matrix
+    is bounded by ``2**bits`` buckets times ``max_languages`` (more distinct labels raise ``ValueError``).
+    No usable rows: a model without languages.  A caller that wants less work may name
+    ``max_docs_per_language``: counts and thresholds then come from about as many, chosen by a hash of the text.
     """
     rows = docs.select(F.col("text").alias("text"), F.col("lang").alias("lang")).where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()}
@@ -196,15 +205,13 @@ def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15,
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros((0, 1 << bits), np.float32), np.zeros(0))
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-
-    def drawn(most: int) -> DataFrame:
+    if max_docs_per_language is not None:
         share = F.lit(0)
         for lang in languages:
-            share = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * min(1.0, most / sizes[lang])))).otherwise(share)
-        return rows.where(part < share).withColumn("half", F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int"))
-
-    counted = (drawn(max_docs_per_language).mapInArrow(lambda it: _count(it, bits), "lang string, half int, bucket int, n long")
+            share = F.when(F.col("lang") == lang, F.lit(int((1 << 30) * min(1.0, max_docs_per_language / sizes[lang])))).otherwise(share)
+        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    halved = rows.withColumn("half", F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int"))
+    counted = (halved.mapInArrow(lambda it: _count(it, bits), "lang string, half int, bucket int, n long")
                .groupBy("lang", "half", "bucket").agg(F.sum("n").alias("n")))
     counts = np.zeros((2, len(languages), 1 << bits))
     at = {lang: i for i, lang in enumerate(languages)}
@@ -212,9 +219,8 @@ def train(docs: DataFrame, max_docs_per_language: int = 20_000, bits: int = 15,
     counts[got.column("half").to_numpy(), [at[x] for x in got.column("lang").to_pylist()], got.column("bucket").to_numpy()] += got.column("n").to_numpy()
     total = np.array([sizes[x] for x in languages], float)
     halves = docs.sparkSession.sparkContext.broadcast(_log_share(counts + smoothing))
-    held = (drawn(min(HELD_OUT, max_docs_per_language))
-            .mapInArrow(lambda it: _held_out(it, languages, halves.value), "at int, fit double, lead double").toArrow())
-    thresholds = _thresholds(len(languages), *(held.column(c).to_numpy() for c in ("at", "fit", "lead")))
+    held = halved.mapInArrow(lambda it: _held_out(it, languages, halves.value), "at int, fit double, lead double")
+    thresholds = _thresholds(len(languages), _quantiles(held))
     return LanguageModel(languages, _log_share(counts.sum(axis=0) + smoothing), np.log(total / total.sum()), *thresholds)
 
 

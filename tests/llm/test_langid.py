@@ -74,6 +74,32 @@ def test_a_bounded_sample_is_drawn_by_text(spark, docs):
     assert model.languages == ["de", "en"]
 
 
+def test_counts_and_thresholds_come_from_every_document(spark):
+    """More documents of a language than the 20,000 once counted, and the 2,000 once scored for the thresholds."""
+    texts = [(f"the w{i} and {'cat' * (i % 9)} of it", "en") for i in range(21_000)] + [(f"der k{i} und {'hund' * (i % 7)} da", "de") for i in range(3_000)]
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(4)
+    model = langid.train(docs)
+    rows = docs.selectExpr("text", "lang", "cast(pmod(xxhash64(text, 'half'), 2) as int) as half").collect()
+    counts = np.zeros((2, 2, 1 << 15))
+    for half in (0, 1):
+        for i, lang in enumerate(["de", "en"]):
+            points, start, length = langid._code_points([r["text"] for r in rows if r["half"] == half and r["lang"] == lang])
+            inside = langid._inside(start, length, len(points))
+            for bucket in langid._buckets(points, 15):
+                counts[half, i] += np.bincount(bucket[inside[:len(bucket)]], minlength=1 << 15)
+    assert np.allclose(model.log_prob, langid._log_share(counts.sum(axis=0) + 0.5), atol=1e-5)
+    for i, lang in enumerate(["de", "en"]):
+        fit, lead = [], []
+        for half in (0, 1):
+            mean, n, _, _ = langid.evidence(langid._log_share(counts + 0.5)[1 - half], [r["text"] for r in rows if r["half"] == half and r["lang"] == lang])
+            fit, lead = [*fit, *mean[n > 0, i]], [*lead, *(mean[:, i] - mean[:, 1 - i])[n > 0]]
+        fit, lead = np.array(fit), np.array(lead)
+        fit, lead = fit[lead > 0], lead[lead > 0]
+        assert len(fit) > 2_900
+        assert model.least_lead[i] == pytest.approx(np.median(lead) / 2, abs=2 / langid.GRID)
+        assert model.least_fit[i] == pytest.approx(min(np.median(fit) - np.median(lead) / 2, np.quantile(fit, 0.01)), abs=2 / langid.GRID)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     model = langid.train(docs.where(id_remainder("doc_id", 5) != 0))
