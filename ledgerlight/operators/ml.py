@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 TEST_PERCENT = 20
 SEED = 42
 NUM_TREES = 100
+#: Training rows a task: at most the first, and about the second where that gives fewer than ``SPREAD`` tasks.
+#: The forest keeps about 500 bytes of a row (its count in each of 100 trees) and works it through every tree.
+TASK_ROWS, SMALL_TASK_ROWS, SPREAD = 500_000, 50_000, 64
 
 
 def split_bucket(key: Column) -> Column:
@@ -47,6 +50,19 @@ def prepare_data(df: DataFrame, key: Column, test_percent: int = TEST_PERCENT) -
             tagged.filter(F.col("_bucket") >= cut).drop("_bucket"))
 
 
+def spread(train: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``columns`` of all rows, dealt evenly to tasks by their count alone, whatever the layout of the files.
+
+    A file of one row group is otherwise one task, whose rows in all trees one core has to hold and to work through.
+    Rows of a task are sorted by ``order``, so that neighbours take the same way through a tree and add to the
+    same bins.  Few rows stay where they are.
+    """
+    train = train.select(*dict.fromkeys(columns))
+    rows = train.count()
+    tasks = max(-(-rows // TASK_ROWS), min(SPREAD, -(-rows // SMALL_TASK_ROWS)))
+    return train if tasks < 2 else train.repartition(tasks).sortWithinPartitions(*order)
+
+
 def train_model(train: DataFrame, features: Sequence[str], target: str = "target",
                 num_trees: int = NUM_TREES, seed: int = SEED, feature_steps: Sequence = (), **forest) -> PipelineModel:
     """ML-02: assemble features and fit a random forest regressor.
@@ -54,6 +70,8 @@ def train_model(train: DataFrame, features: Sequence[str], target: str = "target
     ``feature_steps`` are Spark ML stages that run before the assembler, in training and prediction
     alike (the hook for engineered features).
     """
+    if not feature_steps:  # their inputs aren't known
+        train = spread(train, [*features, target], features)
     asm = VectorAssembler(inputCols=list(features), outputCol="features")
     rf = RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=num_trees, seed=seed,
                                featureSubsetStrategy=forest.pop("featureSubsetStrategy", "all"), **forest)

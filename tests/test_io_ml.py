@@ -126,3 +126,16 @@ def test_forest_learns_planted_signal_and_round_trips(spark, tmp_dir):
     p1 = ML.predict(model, test).select("row_key", "prediction")
     p2 = ML.predict(again, test).select("row_key", "prediction")
     assert p1.exceptAll(p2).count() == 0
+
+
+def test_training_rows_are_spread_evenly_whatever_the_files(spark):
+    """One partition (a file of one row group) holds all rows, with one key and null features among them."""
+    from collections import Counter
+
+    rows = spark.range(0, 120_000, 1, 1).selectExpr("'same' as row_key", "if(id % 7 = 0, null, double(id % 50)) as quantity", "0.5D as discount", "double(id) as target")
+    dealt = ML.spread(rows, ["quantity", "discount", "target"], ["quantity", "discount"])
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 3 and max(sizes) < 1.01 * min(sizes)
+    assert Counter(map(tuple, dealt.collect())) == Counter(map(tuple, rows.drop("row_key").collect()))
+    few = rows.limit(100)
+    assert ML.spread(few, ["quantity", "target"], ["quantity"]).rdd.getNumPartitions() == few.rdd.getNumPartitions()
