@@ -73,13 +73,14 @@ def range_report(df: DataFrame, ranges: dict = DEFAULT_RULES["range"],
     return long.withColumns({"min_value": lows[F.col("column_name")], "max_value": highs[F.col("column_name")]})
 
 
-def with_reasons(df: DataFrame, rules: dict = DEFAULT_RULES) -> DataFrame:
+def with_reasons(df: DataFrame, rules: dict = DEFAULT_RULES, parsed: Sequence[str] = ()) -> DataFrame:
     """VQ-04: add ``dq_reasons`` (comma-separated broken rules, '' when valid) and ``is_valid``.
 
     Each field is parsed once and the rules become the bits of one number.  That column depends on the partition's number,
     for the optimiser only: such a column is neither written out again above nor moved below, so a filter on ``is_valid``
     doesn't parse the fields a second time, and only rejected rows get their reasons spelled out.  A row with text in
-    ``_corrupt_record`` (``sources.readers``) is malformed, which is its only reason: its fields tell nothing.
+    ``_corrupt_record`` (``sources.readers``) is malformed, which is its only reason: its fields tell nothing.  The values of the
+    ``parsed`` columns are kept as ``_dq_<column>``, so that a caller who types the rows doesn't parse them again.
     """
     types, ranges = rules.get("types", {}), rules.get("range", {})
     kinds = {c: types.get(c, "numeric") for c in [*types, *(c for c in ranges if c not in types)]}
@@ -90,9 +91,10 @@ def with_reasons(df: DataFrame, rules: dict = DEFAULT_RULES) -> DataFrame:
         malformed = F.col(CORRUPT).isNotNull()
         bits = F.when(malformed, 1 << len(broken)).otherwise(bits)
         broken[MALFORMED] = malformed
-    flagged = fields.select(*df.columns, F.when(F.spark_partition_id() >= 0, bits).alias("_dq"))
+    kept = [*df.columns, *(f"_dq_{c}" for c in parsed)]
+    flagged = fields.select(*kept, F.when(F.spark_partition_id() >= 0, bits).alias("_dq"))
     reasons = F.concat_ws(",", *[F.when(F.col("_dq").bitwiseAND(F.lit(1 << i)) != 0, name) for i, name in enumerate(broken)])
-    return flagged.select(*df.columns, reasons.alias("dq_reasons"), (F.col("_dq") == 0).alias("is_valid"))
+    return flagged.select(*kept, reasons.alias("dq_reasons"), (F.col("_dq") == 0).alias("is_valid"))
 
 
 def split_valid(df: DataFrame, rules: dict = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:

@@ -7,8 +7,9 @@ report files) without code to run it.  ``daily_etl`` runs it as a sequence of Sp
    month they begin in, so every month the extract touches is whole, and the undated rows that came after the last run's
    high-water mark.  Both bounds are predicates on source columns, pushed into the scan;
 2. validate it and write it in one pass, dealt by validity and month: valid rows typed, rejected ones as they landed with
-   their reasons.  Row counts, months and the new high-water mark are observed by that write;
-3. transform the sales as they will be: customer analysis, sales summary, product performance;
+   their reasons.  Row counts and the new high-water mark are observed by that write, months are the folders it leaves;
+3. transform the sales as they will be: customer analysis, sales summary, product performance, each from the months that it
+   looks back on;
 4. dimensions (newest row per key) and daily reports (by day);
 5. commit all of it, and the mark, by one manifest (``sinks.versioned``), then write the dated report files.
 
@@ -18,6 +19,7 @@ A run that fails or is killed before step 5 changes nothing that readers see, an
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -37,6 +39,7 @@ EXTRACT_DAYS = 30
 #: Gives the landed text of (spark, source folder, first day or None, order key after which undated rows are new or None).
 Extract = Callable[[SparkSession, str, "_dt.date | None", "int | None"], DataFrame]
 MARK, UNDATED = "order_id", "undated"
+MONTH = re.compile(r"\d{4}-\d\d")
 
 
 class Warehouse(NamedTuple):
@@ -65,13 +68,24 @@ def first_day_of(today: _dt.date) -> _dt.date:
 def dealt_sales(landed: DataFrame, rules: dict = Q.DEFAULT_RULES) -> DataFrame:
     """Every landed row once: typed if valid, else whole in ``rejected``.  ``_month`` is the month of a valid row, ``undated`` of
     any row without a date, ``dated`` of other rejected rows."""
-    tagged = Q.with_reasons(landed, rules)
-    valid = F.col("is_valid")
-    month = F.when(F.col("order_date").isNull(), UNDATED).when(valid, W.month_key("order_date")).otherwise("dated")
-    return tagged.select(*[F.when(valid, F.col(c).try_cast(kind)).alias(c) for c, kind in T.SALES_TYPES.items()],
-                         F.when(valid, W.month_key("order_date")).alias("order_month"),
-                         F.when(~valid, F.struct(*landed.columns, "dq_reasons")).alias("rejected"),
-                         F.col(MARK).try_cast("bigint").alias("_mark"), valid.alias("_valid"), month.alias("_month"))
+    texts = {c for c, kind in landed.dtypes if kind == "string"}
+    parsed = [c for c, kind in rules.get("types", {}).items() if c in texts and Q.TYPE_TARGETS[kind] == T.SALES_TYPES.get(c)]
+    tagged, valid = Q.with_reasons(landed, rules, parsed), F.col("is_valid")
+    # The day and its month in steps of their own, so that each is worked out once a row.
+    dated = tagged.withColumn("_day", F.when(valid, F.col("order_date").cast("timestamp")).cast("date"))
+    dated = dated.withColumn("order_month", W.month_of_day("_day"))
+    month = F.when(F.col("order_date").isNull(), UNDATED).when(valid, F.col("order_month")).otherwise("dated")
+    value = {c: F.col(f"_dq_{c}") if c in parsed else F.col(c).try_cast(kind) for c, kind in T.SALES_TYPES.items()}
+    return dated.select(*[F.when(valid, v).alias(c) for c, v in value.items()], "order_month",
+                        F.when(~valid, F.struct(*landed.columns, "dq_reasons")).alias("rejected"),
+                        valid.alias("_valid"), month.alias("_month"))
+
+
+def months_since(first: _dt.date) -> Callable[[str], bool]:
+    """Keys of ``fact_sales`` that can hold a row from ``first`` on: all but earlier months.  The month of a time with an offset may
+    be that of the day before; a key that is no month of four digits is kept."""
+    month = (first - _dt.timedelta(days=1)).strftime("%Y-%m")
+    return lambda key: key >= month or not MONTH.fullmatch(key)
 
 
 def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None, rules: dict = Q.DEFAULT_RULES,
@@ -83,9 +97,11 @@ def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None,
     first = first_day_of(today) if "fact_sales" in before.schemas else None
 
     # 1, 2. extract, validate, write once
-    dealt = dealt_sales(extract(spark, source_dir, first, before.marks.get(MARK)), rules).withColumn("run_date", F.lit(day))
+    dealt = dealt_sales(extract(spark, source_dir, first, before.marks.get(MARK)), rules)
+    dealt = dealt.withColumn("run_date", F.when(~F.col("_valid"), F.lit(day)))
+    mark = F.coalesce(MARK, F.col(f"rejected.{MARK}").try_cast("bigint"))
     keys, facts = V.write_keyed(dealt, target_dir, f"{run}/sales", {"_valid": F.col("_valid"), "_month": F.col("_month")}, {
-        "total": F.count(F.lit(1)), "valid": F.count_if("_valid"), "mark": F.max("_mark")})
+        "total": F.count(F.lit(1)), "valid": F.count_if("_valid"), "mark": F.max(mark)})
     marks = [m for m in (before.marks.get(MARK), facts["mark"]) if m is not None]
     pending = before.marking(**{MARK: max(marks)} if marks else {})
     sales = {(f"{UNDATED} {day}" if k["_month"] == UNDATED else k["_month"]): k["folder"] for k in keys if k["_valid"] == "true"}
@@ -107,10 +123,13 @@ def daily_etl(spark: SparkSession, source_dir: str, target_dir: str, as_of=None,
                                "total_rows bigint, valid_rows bigint, quarantined_rows bigint, quality_score double, run_date string"), "quality")
 
     # 3. transforms
-    staged = V.read(spark, target_dir, pending, "fact_sales").drop("order_month")
-    analysis = keep(C.customer_analysis(staged, as_of), "customer_analysis")
-    summary = keep(S.sales_summary(staged, as_of), "sales_summary")
-    keep(S.product_performance(staged, as_of), "product_performance")
+    def staged(n: int, unit: str) -> DataFrame:
+        """The sales of the months that a look back over ``n`` units touches."""
+        return V.read(spark, target_dir, pending, "fact_sales", months_since(D.lookback_start(today, n, unit))).drop("order_month")
+
+    analysis = keep(C.customer_analysis(staged(1, "years"), as_of), "customer_analysis")
+    summary = keep(S.sales_summary(staged(90, "days"), as_of), "sales_summary")
+    keep(S.product_performance(staged(30, "days"), as_of), "product_performance")
 
     # 4. loads; ties of the date go to the row that sorts last
     customers, products = T.customers(spark, source_dir), T.products(spark, source_dir)

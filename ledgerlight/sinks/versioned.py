@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -128,19 +129,28 @@ def new_run(label: str) -> str:
 def write_keyed(df: DataFrame, root: str, folder: str, by: dict[str, Column], facts: dict[str, Column] | None = None) -> tuple[list[dict], dict]:
     """Write ``df`` once, dealt into subfolders by the columns of ``by`` (names from ``_`` on, so readers don't see them).
 
-    Returns the keys that have rows, as dicts with their ``folder``, and the values of the aggregates ``facts``.  Both are
-    observed by the tasks that write, whose results count once even if executors are lost; there is no other pass.
+    Returns the keys that have rows, as dicts with their ``folder``, and the values of the aggregates ``facts``.  The keys are
+    the subfolders that the job has committed; the facts are observed by the tasks that write, whose results count once even
+    if executors are lost.  There is no other pass.
     The rebalance hint puts a key into few large files and lets a key that holds much of the data go to many writers.
     """
     names = list(by)
     seen = Observation(uuid.uuid4().hex)
     keyed = df.withColumns(by).hint("rebalance", *names)
-    keyed = keyed.observe(seen, F.collect_set(F.struct(*[F.col(n).cast("string").alias(n) for n in names])).alias("keys"),
-                          *[c.alias(n) for n, c in (facts or {}).items()])
+    if facts:
+        keyed = keyed.observe(seen, *[c.alias(n) for n, c in facts.items()])
     keyed.write.partitionBy(*names).parquet(f"{root}/{folder}")
-    found = dict(seen.get)
-    keys = [{n: k[n] for n in names} for k in found.pop("keys")]
-    return [k | {"folder": "/".join([folder, *[f"{n}={k[n]}" for n in names]])} for k in keys], found
+    keys = [{"folder": folder}]
+    for n in names:
+        keys = [k | {n: _value(sub), "folder": f"{k['folder']}/{sub}"}
+                for k in keys for sub in _names(df.sparkSession, f"{root}/{k['folder']}") if sub.startswith(f"{n}=")]
+    return keys, dict(seen.get) if facts else {}
+
+
+def _value(folder: str) -> str | None:
+    """The value in the name of a partition's folder, where Spark writes some characters as % and two digits."""
+    text = unquote(folder.split("=", 1)[1])
+    return None if text == "__HIVE_DEFAULT_PARTITION__" else text
 
 
 def read(spark: SparkSession, root: str, manifest: Manifest, table: str, keys: Callable[[str], bool] = lambda key: True) -> DataFrame:
