@@ -15,10 +15,15 @@ Every task sends each anchor and each distinct context once, however many of its
 The contexts of an anchor that occurs very often are not sent whole: they are cut into their strings, dealt
 by all bytes of the string, of which a task again sends the rows of its smallest document only.  Equal
 strings still meet, as the least anchor of a string is in the same place of both.
+
+Memory.  The number of buckets follows the bytes of text, not the number of partitions; a task takes its
+buckets one after the other.  The contexts of a bucket stay packed and are unpacked in portions of whole
+grams (of whole strings, where those were cut).
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +39,14 @@ from .packing import differs, expand, runs, squeeze
 GRAM = 24
 #: Anchors, and contexts, that a task holds before it sends them; bounds its memory.
 FLUSH_ANCHORS, FLUSH_CONTEXTS = 1_500_000, 300_000
+#: Places, or marks, that a task gathers before it sends them to their documents.
+FLUSH_FOUND = 500_000
+#: Bytes of text a bucket; a bucket's anchors, and what comes for its documents, are held at once.
+BUCKET_BYTES = 8_000_000
+#: Contexts unpacked at once, unless one gram alone has more.
+PORTION = 200_000
+#: Bytes of an Arrow batch of blobs; executors and Python workers hold one or two a task.
+BATCH_BYTES, BATCH_CONF = 8_000_000, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Suffixes sorted at once, unless one gram alone has more.
 SORT = 200_000
 #: A gram that is an anchor this often is dealt by its strings; others go to one bucket each.
@@ -104,8 +117,17 @@ def home(i: int, buckets: int) -> int:
 
 
 def _homes(ids: np.ndarray, buckets: int) -> np.ndarray:
-    distinct, at = np.unique(ids, return_inverse=True)
-    return np.fromiter((home(i, buckets) for i in distinct.tolist()), np.int32, len(distinct))[at]
+    """:func:`home` of each id: xxHash64 of eight bytes, step by step."""
+    p1, p2, p3, p4, p5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+    out = turned(ids.astype(np.int64).view(np.uint64) * p2, 31) * p1 ^ p5 + np.uint64(42 + 8)
+    out = turned(out, 27) * p1 + p4
+    out = (out ^ out >> np.uint64(33)) * p2
+    out = (out ^ out >> np.uint64(29)) * p3
+    return ((out ^ out >> np.uint64(32)).view(np.int64) % buckets).astype(np.int32)
 
 
 SENT = "bucket int, known binary, blob binary"
@@ -138,6 +160,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
 
     def flush() -> Iterator[pa.RecordBatch]:
         hashes, ids, at = (np.concatenate([f[i] for f in found]) for i in range(3))
+        found.clear()
         order, several = _held_by_several(hashes, ids)
         hashes, ids, at = hashes[order], ids[order], at[order]
         # All places of a hash that several documents here hold are known to matter: one is sent for the others.
@@ -168,7 +191,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], length: int, buckets: int)
             held += len(at)
             if held >= FLUSH_ANCHORS:
                 yield from flush()
-                found, held = [], 0
+                held = 0
     if found:
         yield from flush()
 
@@ -177,15 +200,16 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes |
     """From batches sorted by bucket: each ``known`` as it comes, and all blobs of each bucket."""
     now, rows = None, []
     for batch in batches:
-        for bucket, known, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "known", "blob"))):
-            if known is not None:
-                yield bucket, known, []
+        for bucket, known, blob in zip(*(batch.column(c) for c in ("bucket", "known", "blob"))):
+            bucket = bucket.as_py()
+            if known.is_valid:
+                yield bucket, known.as_py(), []
                 continue
             if bucket != now and rows:
                 yield now, None, rows
                 rows = []
             now = bucket
-            rows.append(blob)
+            rows.append(blob.as_py())  # one by one: a batch holds blobs of many buckets
     if rows:
         yield now, None, rows
 
@@ -200,6 +224,14 @@ def _to_homes(rows: list[tuple]) -> pa.RecordBatch:
 def _repeated(batches: Iterator[pa.RecordBatch], buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Places of anchors that several documents hold, by home bucket; and with -1 for a bucket, the hashes of
     those that occur ``hot`` times."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def flush() -> pa.RecordBatch:
+        both = [np.concatenate(c) for c in zip(*found)]
+        found.clear()
+        return _to_homes(_places(*both, buckets))
+
     for bucket, known, blobs in _by_bucket(batches):
         if known is not None:
             yield _to_homes([(bucket, known)])
@@ -215,7 +247,13 @@ def _repeated(batches: Iterator[pa.RecordBatch], buckets: int, hot: int) -> Iter
         often = hashes[order][first][np.add.reduceat(times[order], first, dtype=np.int64) >= hot] if len(first) else hashes
         if len(often):
             yield _to_homes([(-1, often.tobytes())])
-        yield _to_homes(_places(ids[order][several], at[order][several], buckets))
+        found.append((ids[order[several]], at[order[several]]))
+        held += len(found[-1][0])
+        if held >= FLUSH_FOUND:
+            yield flush()
+            held = 0
+    if found:
+        yield flush()
 
 
 class AtHome:
@@ -259,6 +297,9 @@ class Contexts:
     def __init__(self, around, left, right, ids, texts, at):
         self.around, self.left, self.right, self.ids, self.texts, self.at = around, left, right, ids, texts, at
 
+    #: Before a packed blob: bytes of its small columns, rows, and whether each is cut to one string.
+    HEAD = "<QQ?"
+
     def take(self, rows: np.ndarray) -> Contexts:
         return Contexts(*(c[rows] for c in vars(self).values()))
 
@@ -266,18 +307,46 @@ class Contexts:
     def joined(parts: list) -> Contexts:
         return Contexts(*(np.concatenate(c) for c in zip(*(vars(p).values() for p in parts))))
 
-    def pack(self) -> bytes:
+    def pack(self, cut: bool = False) -> bytes:
         pairs, which = np.unique(np.stack([self.ids, self.texts], 1), axis=0, return_inverse=True)
         small = squeeze(self.left, self.right, self.at, which.reshape(-1).astype(np.uint32), pairs[:, 0].copy(), pairs[:, 1].copy())
-        return len(small).to_bytes(8, "little") + small + zstandard.compress(self.around.tobytes(), 3)
+        return struct.pack(self.HEAD, len(small), len(self.ids), cut) + small + zstandard.compress(np.ascontiguousarray(self.around), 3)
 
     @staticmethod
     def unpack(blob: bytes) -> Contexts:
-        n = int.from_bytes(blob[:8], "little")
-        left, right, at, which, ids, texts = expand(blob[8:8 + n], np.uint8, np.uint8, np.uint32, np.uint32, np.int64, np.int64)
-        around = np.frombuffer(zstandard.decompress(blob[8 + n:]), np.uint8).reshape(len(left), -1)
+        start = struct.calcsize(Contexts.HEAD)
+        to = start + struct.unpack_from(Contexts.HEAD, blob)[0]
+        left, right, at, which, ids, texts = expand(blob[start:to], np.uint8, np.uint8, np.uint32, np.uint32, np.int64, np.int64)
+        around = np.frombuffer(zstandard.decompress(memoryview(blob)[to:]), np.uint8).reshape(len(left), -1)
         return Contexts(around, left, right, ids[which], texts[which], at)
 
+    @staticmethod
+    def portions(blobs: list[bytes]) -> Iterator[Contexts]:
+        """All rows of some blobs; rows of one gram come together, or of one string where they are cut to it."""
+        for cut in (False, True):
+            mine = [(blob, rows) for blob in blobs for _, rows, kind in [struct.unpack_from(Contexts.HEAD, blob)] if kind == cut]
+            times = -(-sum(rows for _, rows in mine) // PORTION)
+            for k in range(times):
+                parts = []
+                for blob, _ in mine:
+                    c = Contexts.unpack(blob)
+                    if times > 1:  # by other bits than those that chose the bucket
+                        c = c.take(np.flatnonzero((c.dealt_by(cut) * _M1 >> np.uint64(32)) % np.uint64(times) == k))
+                    parts.append(c)
+                c = Contexts.joined(parts)
+                del parts
+                if len(c.ids):
+                    yield c
+
+    def dealt_by(self, cut: bool) -> np.ndarray:
+        """Hash of the gram, or of the string that each row is cut to."""
+        if cut:
+            return self.string_hashes()
+        reach = (self.around.shape[1] - GRAM) // 2
+        words = np.ascontiguousarray(self.around[:, reach:reach + GRAM]).view(np.uint64)
+        mixed = (words[:, 0] * _M1 ^ words[:, 1]) * _M2 ^ words[:, 2] * _M1
+        return (mixed ^ mixed >> np.uint64(29)) * _M2 >> np.uint64(33)
+
     def classes(self) -> tuple[Contexts, np.ndarray]:
         """Rows ordered by gram, whole context and id; and where a new whole context begins."""
         width = self.around.shape[1]
@@ -331,9 +400,8 @@ class Contexts:
 
     def possible(self, length: int) -> np.ndarray:
         """Bit l of each row: the string that starts l bytes before the anchor lies inside the text."""
-        back = np.arange(length - GRAM + 1)
-        inside = (back <= self.left[:, None]) & (length - back <= self.right[:, None])
-        return (inside.astype(np.uint64) << back.astype(np.uint64)).sum(axis=1, dtype=np.uint64)
+        least, most = (length - self.right.astype(np.int64)).astype(np.uint64), self.left.astype(np.uint64)
+        return np.where(least <= most, (np.uint64(2) << most) - (np.uint64(1) << least), np.uint64(0))
 
 
 def longest_previous(order: np.ndarray, common: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -389,19 +457,17 @@ def _earlier(c: Contexts, length: int) -> np.ndarray:
     return out
 
 
-def _marked(c: Contexts, marks: np.ndarray, buckets: int) -> list[tuple]:
+def _marked(ids: np.ndarray, texts: np.ndarray, at: np.ndarray, marks: np.ndarray, buckets: int) -> list[tuple]:
     """(home bucket, packed documents and anchor positions with their marked strings)."""
-    on = marks != 0
-    c, marks = c.take(on), marks[on]
-    homes = _homes(c.ids, buckets)
-    order = np.lexsort((c.at, c.texts, c.ids, homes))
-    c, marks, homes = c.take(order), marks[order], homes[order]
+    homes = _homes(ids, buckets)
+    order = np.lexsort((at, texts, ids, homes))
+    ids, texts, at, marks, homes = (c[order] for c in (ids, texts, at, marks, homes))
     first, size = runs(differs(homes))
     out = []
     for lo, n in zip(first.tolist(), size.tolist()):
         part = slice(lo, lo + n)
-        starts, counts = runs(differs(c.ids[part], c.texts[part]))
-        out.append((int(homes[lo]), squeeze(c.ids[part][starts], c.texts[part][starts], counts.astype(np.int32), c.at[part].astype(np.uint32), marks[part])))
+        starts, counts = runs(differs(ids[part], texts[part]))
+        out.append((int(homes[lo]), squeeze(ids[part][starts], texts[part][starts], counts.astype(np.int32), at[part].astype(np.uint32), marks[part])))
     return out
 
 
@@ -415,29 +481,34 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int,
         """The marks of contexts that a smaller document of this task has as well: all their strings are repeats; and the others."""
         c, begins = c.classes()
         least = np.repeat(c.ids[begins], runs(begins)[1])
-        marks = _marked(c.take(c.ids > least), c.possible(length)[c.ids > least], buckets)
+        marks, later = c.possible(length), c.ids > least
+        later &= marks != 0
+        marks = _marked(c.ids[later], c.texts[later], c.at[later], marks[later], buckets)
         return _sent([(b, blob, None) for b, blob in marks]), c.take(c.ids == least)
 
-    def dealt(c: Contexts, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def dealt(c: Contexts, cut: bool) -> Iterator[pa.RecordBatch]:
+        bucket = c.dealt_by(cut).astype(np.int64) % buckets
         order = np.argsort(bucket, kind="stable")
-        c, bucket = c.take(order), bucket[order]
+        bucket = bucket[order]
         first, size = runs(differs(bucket))
         for i, n in zip(first.tolist(), size.tolist()):
-            yield _sent([(int(bucket[i]), None, c.take(np.arange(i, i + n)).pack())])
+            yield _sent([(int(bucket[i]), None, c.take(order[i:i + n]).pack(cut))])
 
     def flush() -> Iterator[pa.RecordBatch]:
-        marks, c = firsts(Contexts.joined(parts))
+        c = Contexts.joined(parts)
+        parts.clear()
+        marks, c = firsts(c)
         yield marks
+        del marks
         often = np.isin(c.gram_hashes(), hot)
-        for strings in c.take(often).strings(length) if often.any() else ():
-            marks, strings = firsts(strings)
-            yield marks
-            yield from dealt(strings, strings.string_hashes().astype(np.int64) % buckets)
-        c = c.take(~often)
-        reach = length - GRAM
-        words = np.ascontiguousarray(c.around[:, reach:reach + GRAM]).view(np.uint64)
-        mixed = (words[:, 0] * _M1 ^ words[:, 1]) * _M2 ^ words[:, 2] * _M1
-        yield from dealt(c, ((mixed ^ mixed >> np.uint64(29)) * _M2 >> np.uint64(33)).astype(np.int64) % buckets)
+        if often.any():
+            for strings in c.take(often).strings(length):
+                marks, strings = firsts(strings)
+                yield marks
+                yield from dealt(strings, True)
+            del marks, strings
+            c = c.take(~often)
+        yield from dealt(c, False)
 
     for batch in sliced(batches):
         for bucket, known, i, text_hash, text in zip(*(batch.column(x).to_pylist() for x in ("bucket", "known", "id", "text_hash", "text"))):
@@ -460,38 +531,70 @@ def _send_contexts(batches: Iterator[pa.RecordBatch], length: int, buckets: int,
                 held += len(part)
                 if held >= FLUSH_CONTEXTS:
                     yield from flush()
-                    parts, held = [], 0
+                    held = 0
     if parts:
         yield from flush()
 
 
 def _match(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Marks of the contexts of each bucket, by home bucket."""
+    found: list[tuple[np.ndarray, ...]] = []
+    held = 0
+
+    def flush() -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*found)]
+        found.clear()
+        return _to_homes(_marked(*columns, buckets))
+
     for bucket, known, blobs in _by_bucket(batches):
         if known is not None:
             yield _to_homes([(bucket, known)])
             continue
-        c, begins = Contexts.joined([Contexts.unpack(b) for b in blobs]).classes()
-        first, size = runs(begins)
-        least = np.repeat(c.ids[first], size)
-        # A context that a smaller document has as well is a repeat for all its strings.  One row of each
-        # context stands for all rows of its smallest document in the suffix order.
-        context = np.repeat(np.arange(len(first)), size)
-        stand = c.take(first)
-        gram_first, gram_size = runs(differs(stand.grams()))
-        marks = np.zeros(len(first), np.uint64)
-        # Contexts of one string each are all different strings, or the same at another offset: nothing to find.
-        several = (gram_size > 1) & ~np.logical_and.reduceat(stand.single(length), gram_first)
-        chunk, count = [], 0
-        for a, n in [*zip(gram_first[several].tolist(), gram_size[several].tolist()), (None, 0)]:
-            if chunk and (a is None or (count + n) * (length - GRAM + 1) > SORT):
-                rows_of = np.concatenate(chunk)
-                marks[rows_of] = _earlier(stand.take(rows_of), length)
-                chunk, count = [], 0
-            if a is not None:
-                chunk.append(np.arange(a, a + n))
-                count += n
-        yield _to_homes(_marked(c, np.where(c.ids > least, c.possible(length), marks[context]), buckets))
+        for c in Contexts.portions(blobs):
+            found.append(_matched(c, length))
+            held += len(found[-1][0])
+            if held >= FLUSH_FOUND:
+                yield flush()
+                held = 0
+    if found:
+        yield flush()
+
+
+def _matched(c: Contexts, length: int) -> tuple[np.ndarray, ...]:
+    """Ids, text hashes, anchor positions and marks of the rows with marks; all rows of a gram, or of a string, are there."""
+    c, begins = c.classes()
+    first, size = runs(begins)
+    least = np.repeat(c.ids[first], size)
+    # A context that a smaller document has as well is a repeat for all its strings.  One row of each
+    # context stands for all rows of its smallest document in the suffix order.
+    stand = c.take(first)
+    gram_first, gram_size = runs(differs(stand.grams()))
+    marks = np.zeros(len(first), np.uint64)
+    # Contexts of one string each are all different strings, or the same at another offset: nothing to find.
+    several = (gram_size > 1) & ~np.logical_and.reduceat(stand.single(length), gram_first)
+    chunk, count = [], 0
+    for a, n in [*zip(gram_first[several].tolist(), gram_size[several].tolist()), (None, 0)]:
+        if chunk and (a is None or (count + n) * (length - GRAM + 1) > SORT):
+            rows_of = np.concatenate(chunk)
+            marks[rows_of] = _earlier(stand.take(rows_of), length)
+            chunk, count = [], 0
+        if a is not None:
+            chunk.append(np.arange(a, a + n))
+            count += n
+    marks = np.where(c.ids > least, c.possible(length), np.repeat(marks, size))
+    on = marks != 0
+    return c.ids[on], c.texts[on], c.at[on], marks[on]
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, with Arrow batches of ``BATCH_BYTES`` for its write."""
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_CONF, None)
+    conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        return stored(df, name)
+    finally:
+        conf.unset(BATCH_CONF) if before is None else conf.set(BATCH_CONF, before)
 
 
 def covered(size: int, length: int, at: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -516,13 +619,15 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", hot:
     """
     if not GRAM < length <= GRAM + 63:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 63}")
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
                        F.coalesce("text", F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(partitions, -(-size // BUCKET_BYTES))
     rows = rows.withColumns({"text_hash": F.xxhash64("text"), "bucket": F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")})
 
     def dealt(df: DataFrame, *order: str) -> DataFrame:
-        return df.repartition(buckets, "bucket").sortWithinPartitions("bucket", *order)
+        return df.repartition(partitions, "bucket").sortWithinPartitions("bucket", *order)
 
     def with_known(known: DataFrame, *columns: str) -> DataFrame:
         """Documents beside what has come for them, which sorts first in a bucket."""
@@ -531,12 +636,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, key: str = "doc_id", hot:
         return dealt(both.withColumn("is_document", F.col("known").isNull()), "is_document")
 
     sent = rows.select("id", "text").mapInArrow(lambda it: _send_anchors(it, length, buckets), SENT)
-    places = stored(dealt(sent).mapInArrow(lambda it: _repeated(it, buckets, hot), HOMES), "places")
+    places = _stored(dealt(sent).mapInArrow(lambda it: _repeated(it, buckets, hot), HOMES), "places")
     often = [np.frombuffer(r["known"], np.uint64) for r in places.where("bucket < 0").select("known").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(np.concatenate([np.zeros(0, np.uint64), *often])))
     contexts = (with_known(places.where("bucket >= 0"), "id", "text_hash", "text")
                 .mapInArrow(lambda it: _send_contexts(it, length, buckets, shared.value), SENT))
-    marks = stored(dealt(contexts).mapInArrow(lambda it: _match(it, length, buckets), HOMES), "marks")
+    marks = _stored(dealt(contexts).mapInArrow(lambda it: _match(it, length, buckets), HOMES), "marks")
     discard(places)
     kind = rows.schema["key"].dataType.simpleString()
 

@@ -123,3 +123,59 @@ def test_an_often_found_gram_is_dealt_to_many_buckets():
     assert list(dealt(np.zeros(0, np.uint64)).values()) == [500]
     spread = dealt(S.gram_hashes(gram) & S.LOW)
     assert len(spread) == buckets and max(spread.values()) < 3 * sum(spread.values()) / buckets
+
+
+@pytest.mark.parametrize("hot", [1, S.HOT])
+def test_many_buckets_and_portions_against_brute_force(spark, monkeypatch, hot):
+    for name, value in (("BUCKET_BYTES", 500), ("PORTION", 7), ("FLUSH_FOUND", 20), ("BATCH_BYTES", 1000)):
+        monkeypatch.setattr(S, name, value)
+    docs = [d for d in corpus() if len(d[1] or "") < 2000]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    before = spark.conf.get(S.BATCH_CONF)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in S.remove_repeats(df, hot=hot).collect()]
+    assert sorted(got, key=str) == sorted([(i, *b) for (i, _), b in zip(docs, brute(docs))], key=str)
+    assert spark.conf.get(S.BATCH_CONF) == before
+
+
+def test_matching_a_large_bucket_takes_bounded_memory():
+    """400,000 contexts, 300 of which a second document has too, took 295 MB when a bucket was unpacked at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    n, reach = 20_000, LENGTH - S.GRAM
+
+    def contexts(around, i):
+        rows = len(around)
+        return S.Contexts(around, np.full(rows, reach, np.uint8), np.full(rows, LENGTH, np.uint8), np.full(rows, i), np.full(rows, i), np.arange(rows, dtype=np.uint32))
+
+    blobs, again = [], []
+    for i in range(20):
+        around = rng.integers(0, 4, (n, reach + LENGTH), np.uint8)
+        again.append(around[:15])
+        blobs.append(contexts(around, i).pack())
+    blobs.append(contexts(np.concatenate(again), 99).pack())
+    batches = [S._sent([(0, None, b)]) for b in blobs]
+    tracemalloc.start()
+    rows = pa.Table.from_batches(S._match(iter(batches), LENGTH, 10)).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = [S.expand(r["known"], np.int64, np.int64, np.int32, np.uint32, np.uint64) for r in rows]
+    assert sorted(np.concatenate([f[3] for f in found]).tolist()) == list(range(300))
+    assert all((f[0] == 99).all() and (f[4] == 2 ** (reach + 1) - 1).all() for f in found)
+    assert peak < 150e6
+
+
+def test_homes_of_many_ids():
+    ids = np.r_[np.random.default_rng(1).integers(-2**63, 2**63 - 1, 500), 0, 1, -1, 2**63 - 1, -2**63]
+    for buckets in (1, 51, 7919):
+        assert S._homes(ids, buckets).tolist() == [S.home(i, buckets) for i in ids.tolist()]
+
+
+@pytest.mark.parametrize("length", [S.GRAM + 1, LENGTH, S.GRAM + 63])
+def test_possible_strings(length):
+    reach = length - S.GRAM
+    left, right = (c.reshape(-1).astype(np.uint8) for c in np.meshgrid(np.arange(reach + 1), np.arange(S.GRAM, length + 1)))
+    c = S.Contexts(None, left, right, None, None, None)
+    want = [sum(1 << l for l in range(reach + 1) if l <= a and length - l <= b) for a, b in zip(left.tolist(), right.tolist())]
+    assert c.possible(length).tolist() == want
